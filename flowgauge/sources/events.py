@@ -18,8 +18,12 @@ def _status() -> Column:
 
 
 def event_swipes(spark: SparkSession, folder: str) -> DataFrame:
+    return swipes_of_events(events_table(spark, folder))
+
+
+def swipes_of_events(events: DataFrame) -> DataFrame:
     """Users as stations, four lines of which one has no name, views as entries, clicks as exits."""
-    return events_table(spark, folder).select(
+    return events.select(
         "event_id",
         F.col("ts").alias("time"),
         F.col("user_id").alias("stationID"),

@@ -13,12 +13,21 @@ from flowgauge.sources.schemas import BAD_RECORD, REPORT, SWIPE
 DATE_IN_PATH = r".*(\d{4}-\d{2}-\d{2})"
 
 
-def _file_schema(spark: SparkSession, path: str | list[str], declared: T.StructType) -> T.StructType:
-    """Declared types in the order of the file's own header; other columns are text."""
-    header = spark.read.option("header", True).csv(path).columns
+def _csv_files(
+    spark: SparkSession, path: str | list[str], declared: T.StructType, recursive: bool = False
+) -> DataFrame:
+    """Declared types in the order of the files' own header; other columns are text."""
+    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    header = reader.csv(path).columns
     types = {field.name: field.dataType for field in declared}
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
-    return T.StructType([*fields, T.StructField(BAD_RECORD, T.StringType())])
+    return (
+        reader.schema(T.StructType([*fields, T.StructField(BAD_RECORD, T.StringType())]))
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD)
+        .csv(path)
+    )
 
 
 def read_swipes(
@@ -29,14 +38,7 @@ def read_swipes(
     Columns are found by name and all files must have the same header. A line that does not
     parse keeps what could be read; ``keep_bad`` adds the line itself as ``_bad``.
     """
-    df = (
-        spark.read.schema(_file_schema(spark, path, declared))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .csv(path)
-    )
+    df = _csv_files(spark, path, declared)
     return df if keep_bad else df.drop(BAD_RECORD)
 
 
@@ -47,17 +49,15 @@ def read_days(
     end: datetime.date,
     declared: T.StructType = SWIPE,
 ) -> DataFrame:
-    """Swipe files of a range of days, with the ``date`` that stands in each file's name.
+    """Swipe files of a range of days, with the ``date`` that stands in each file's path.
 
-    The filter is on file metadata, so files outside the range are not opened. A day without
-    a file simply has no rows; ``missing_days`` reports it.
+    ``record_2024-01-05.csv`` and ``day=2024-01-05/part-0.csv`` are both found. The filter is on
+    file metadata, so files outside the range are not opened. A day without a file simply has
+    no rows; ``missing_days`` reports it.
     """
-    day = F.to_date(F.regexp_extract("_metadata.file_name", DATE_IN_PATH, 1))
-    return (
-        read_swipes(spark, folder, declared)
-        .withColumn("date", day)
-        .where(F.col("date").between(F.lit(start), F.lit(end)))
-    )
+    day = F.to_date(F.regexp_extract("_metadata.file_path", DATE_IN_PATH, 1))
+    files = _csv_files(spark, folder, declared, recursive=True)
+    return files.withColumn("date", day).where(F.col("date").between(F.lit(start), F.lit(end))).drop(BAD_RECORD)
 
 
 def read_flow(
