@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.functions.timefns import bucket
+from flowgauge.functions.timefns import bucket, date_text
 from flowgauge.models.competition import (
     TARGETS,
     fit_all,
@@ -360,7 +360,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def on_swipes(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf: operator(event_swipes(spark, sf))
 
-    return {
+    def with_text_dates(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        """Dates leave a query as text, which reads the same in every engine."""
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            df = query(spark, sf)
+            return df.withColumns({c: date_text(c).alias(c) for c, kind in df.dtypes if kind == "date"})
+
+        return run
+
+    registered = {
         # Sources and sinks
         "swipes_csv_roundtrip": swipes_csv_roundtrip,
         "read_days_roundtrip": read_days_roundtrip,
@@ -437,6 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Streaming
         "flow_stream": flow_stream_query,
     }
+    return {name: with_text_dates(query) for name, query in registered.items()}
 
 
 # ---------------------------------------------------------------- SQL counterparts
@@ -613,7 +623,7 @@ def oracle_sql() -> dict[str, str]:
         for f in ("hour", "minute", "weekday")
     )
     dated_flow = 'SELECT *, CAST("startTime" AS DATE) AS "date" FROM flow'
-    return {
+    statements = {
         "swipes_csv_roundtrip": _with("swipes", f"{raw} FROM swipes"),
         "read_days_roundtrip": _with("swipes", f'{raw}, CAST("time" AS DATE) AS "date" FROM swipes'),
         "flow_parquet_roundtrip": _with(_FLOW, dated_flow),
@@ -699,8 +709,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "line_time_grid": _with(
             _HOURLY,
-            """SELECT "lineName", point, make_timestamp(CAST(round(epoch_us(lo)
-            + (epoch_us(hi) - epoch_us(lo)) * CAST(point AS DOUBLE) / 299) AS BIGINT)) AS "time" FROM (
+            """SELECT "lineName", point, make_timestamp(epoch_us(lo)
+            + CAST(round((epoch_us(hi) - epoch_us(lo)) * point / 299.0) AS BIGINT)) AS "time" FROM (
                 SELECT "lineName", min("time") AS lo, max("time") AS hi,
                 CAST(unnest(range(0, 300)) AS INTEGER) AS point FROM hourly GROUP BY 1)""",
         ),
@@ -775,3 +785,9 @@ def oracle_sql() -> dict[str, str]:
             <= (SELECT max("time") FROM valid) - INTERVAL 10 MINUTE""",
         ),
     }
+    dated = """read_days_roundtrip flow_parquet_roundtrip missing_days weekday_rows weekend_rows date_label_by_day
+        daily_totals daily_flow station_daily_flow daily_features station_daily_features last_days last_day
+        slot_features folds recursive_linear""".split()
+    for name in dated:
+        statements[name] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({statements[name]})'
+    return statements

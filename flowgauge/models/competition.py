@@ -1,22 +1,24 @@
 """Fitting the candidates, scoring them and keeping the winners."""
 
-import os
-from collections.abc import Hashable
+import functools
+from collections.abc import Callable, Hashable
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.models.estimators import DAILY_CANDIDATES, SLOT_CANDIDATES, Candidate
 from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_feature_columns, slot_features
-from flowgauge.operators.flow import union_all
 from flowgauge.operators.rows import for_stations
 from flowgauge.operators.sampling import contiguous_folds, with_test_flag
 from flowgauge.operators.stats import best_model, fold_summary, regression_metrics
 
+Result = TypeVar("Result")
+
 TARGETS = ["inNums", "outNums"]
 DAY_TYPES = {"weekday": 0, "weekend": 1}
 LEADERBOARD = "day_type string, target string, model string, place int, n bigint, mse double, rmse double, r2 double"
@@ -32,18 +34,28 @@ class Fitted:
     features: list[str]
 
 
+def run_all(spark: SparkSession, work: dict[Hashable, Callable[[], Result]], parallelism: int = 8) -> dict[Hashable, Result]:
+    """Run pieces of driver work that start Spark jobs, several side by side."""
+
+    @inheritable_thread_target(spark)
+    def run(key: Hashable) -> tuple[Hashable, Result]:
+        return key, work[key]()
+
+    with ThreadPool(max(1, min(parallelism, len(work)))) as pool:
+        return dict(pool.map(run, work, chunksize=1))
+
+
 def fit_all(
     spark: SparkSession, work: dict[Hashable, tuple[Estimator, DataFrame]], parallelism: int = 8
 ) -> dict[Hashable, Transformer]:
-    """Fit many models; each fit is a series of Spark jobs, and several run side by side."""
+    """Fit many models; each fit is a series of Spark jobs."""
+    return run_all(spark, {k: functools.partial(e.fit, df) for k, (e, df) in work.items()}, parallelism)
 
-    @inheritable_thread_target(spark)
-    def fit(item: tuple[Hashable, tuple[Estimator, DataFrame]]) -> tuple[Hashable, Transformer]:
-        key, (estimator, train) = item
-        return key, estimator.fit(train)
 
-    with ThreadPool(min(parallelism, max(len(work), 1), (os.cpu_count() or 1) * 2)) as pool:
-        return dict(pool.map(fit, work.items(), chunksize=1))
+def fit_and_score(estimator: Estimator, train: DataFrame, test: DataFrame, label: str) -> tuple[Transformer, Row]:
+    """A fitted model and its one row of scores on the test rows."""
+    model = estimator.fit(train)
+    return model, regression_metrics(predict(test, model), label, "prediction").first()
 
 
 def predict(df: DataFrame, model: Transformer, name: str = "prediction") -> DataFrame:
@@ -81,37 +93,29 @@ def fit_slot_models(
     }
     try:
         work = {
-            (day_type, target, model): (build(features, target), rows[day_type].where(~F.col("is_test")))
+            (day_type, target, model): functools.partial(
+                fit_and_score,
+                build(features, target),
+                rows[day_type].where(~F.col("is_test")),
+                rows[day_type].where("is_test"),
+                target,
+            )
             for day_type in day_types
             for target in TARGETS
             for model, build in candidates.items()
         }
-        fitted = fit_all(spark, work)
-        place = {model: i for i, model in enumerate(candidates)}
-        scored = [
-            predict(rows[day_type].where("is_test"), model).select(
-                F.lit(day_type).alias("day_type"),
-                F.lit(target).alias("target"),
-                F.lit(name).alias("model"),
-                F.lit(place[name]).alias("place"),
-                F.col(target).alias("label"),
-                "prediction",
-            )
-            for (day_type, target, name), model in fitted.items()
-        ]
-        if scored:
-            scores = regression_metrics(
-                union_all(scored), "label", "prediction", ["day_type", "target", "model", "place"]
-            ).collect()
-        else:
-            scores = []
+        done = run_all(spark, work)
     finally:
         for frame in rows.values():
             frame.unpersist()
         table.unpersist()
+    place = {model: i for i, model in enumerate(candidates)}
+    scores = [
+        (*key, place[key[2]], row["n"], row["mse"], row["rmse"], row["r2"]) for key, (_, row) in done.items()
+    ]
     leaderboard = spark.createDataFrame(scores, LEADERBOARD)
     winners = best_model(leaderboard, "mse", ["day_type", "target"], "place")
-    models = {(r["day_type"], r["target"]): fitted[(r["day_type"], r["target"], r["model"])] for r in winners.collect()}
+    models = {(r["day_type"], r["target"]): done[(r["day_type"], r["target"], r["model"])][0] for r in winners.collect()}
     return Fitted(models, leaderboard, winners, features)
 
 
@@ -131,29 +135,25 @@ def cross_validate(
     try:
         used = [r["fold"] for r in numbered.select("fold").distinct().collect()]
         work = {
-            (target, model, fold): (build(features, target), numbered.where(F.col("fold") != fold))
+            (target, model, fold): functools.partial(
+                fit_and_score,
+                build(features, target),
+                numbered.where(F.col("fold") != fold),
+                numbered.where(F.col("fold") == fold),
+                target,
+            )
             for target in TARGETS
             for model, build in candidates.items()
             for fold in used
         }
-        fitted = fit_all(table.sparkSession, work)
-        place = {model: i for i, model in enumerate(candidates)}
-        scored = [
-            predict(numbered.where(F.col("fold") == fold), model).select(
-                F.lit(target).alias("target"),
-                F.lit(name).alias("model"),
-                F.lit(place[name]).alias("place"),
-                "fold",
-                F.col(target).alias("label"),
-                "prediction",
-            )
-            for (target, name, fold), model in fitted.items()
-        ]
-        scores = regression_metrics(
-            union_all(scored), "label", "prediction", ["target", "model", "place", "fold"]
-        ).collect()
+        done = run_all(table.sparkSession, work)
     finally:
         numbered.unpersist()
+    place = {model: i for i, model in enumerate(candidates)}
+    scores = [
+        (target, model, place[model], fold, row["n"], row["mse"], row["rmse"], row["r2"])
+        for (target, model, fold), (_, row) in done.items()
+    ]
     schema = "target string, model string, place int, fold int, n bigint, mse double, rmse double, r2 double"
     return table.sparkSession.createDataFrame(scores, schema)
 

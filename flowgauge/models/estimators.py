@@ -9,7 +9,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel,
+    LinearRegression,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,14 +78,24 @@ class KernelRegression(Estimator):
         weights = random.normal(0.0, math.sqrt(2.0 * gamma), (self.size, len(self.features)))
         phases = random.uniform(0.0, 2.0 * math.pi, self.size)
         scale = math.sqrt(2.0 / self.size)
-        waves = []
-        for i in range(self.size):
-            terms = [f"`{f}{SCALED}` * ({float(w)!r}D)" for f, w in zip(self.features, weights[i])]
-            waves.append(f"{scale!r}D * cos({float(phases[i])!r}D + {' + '.join(terms)}) AS `wave_{i}`")
+        # The weights are one literal array, each wave's phase at its end: the generated code
+        # stays small, and the same, whatever the number of waves.
+        literal = ", ".join(
+            f"array({', '.join(f'{float(v)!r}D' for v in [*row, phase])})" for row, phase in zip(weights, phases)
+        )
+        inputs = ", ".join(f"`{f}{SCALED}`" for f in self.features)
+        wave = (
+            f"{scale!r}D * cos(aggregate(zip_with(w, array({inputs}, 1.0D), (a, b) -> a * b), "
+            "0.0D, (total, v) -> total + v))"
+        )
+        names = [f"wave_{i}" for i in range(self.size)]
         stages = [
             _scaler(stats),
-            SQLTransformer(statement=f"SELECT *, {', '.join(waves)} FROM __THIS__"),
-            VectorAssembler(inputCols=[f"wave_{i}" for i in range(self.size)], outputCol="features"),
+            SQLTransformer(statement=f"SELECT *, transform(array({literal}), w -> {wave}) AS waves FROM __THIS__"),
+            SQLTransformer(
+                statement=f"SELECT *, {', '.join(f'waves[{i}] AS `{n}`' for i, n in enumerate(names))} FROM __THIS__"
+            ),
+            VectorAssembler(inputCols=names, outputCol="features"),
             LinearRegression(
                 labelCol=self.label, regParam=1.0 / (self.c * max(n, 1)), standardization=False, solver="normal"
             ),
@@ -104,11 +119,28 @@ def weighted_line(features: list[str], label: str, weight: str) -> Pipeline:
     return Pipeline(stages=[assembler, LinearRegression(labelCol=label, weightCol=weight, solver="normal")])
 
 
+class ForestModel(RandomForestRegressionModel):
+    """A forest whose trees are wrapped in Python only when asked for.
+
+    Spark wraps every tree of a fitted forest at once, call by call, which for a small table
+    takes longer than the fit and keeps fits from running side by side.
+    """
+
+    @property
+    def trees(self) -> list:
+        return [DecisionTreeRegressionModel(tree) for tree in list(self._call_java("trees"))]
+
+
+class Forest(RandomForestRegressor):
+    def _create_model(self, java_model: object) -> ForestModel:
+        return ForestModel(java_model)
+
+
 def random_forest(
     features: list[str], label: str, trees: int, depth: int, min_leaf: int = 1, bins: int = 32, seed: int = 42
 ) -> Pipeline:
     """Random forest that looks at every feature at every split."""
-    forest = RandomForestRegressor(
+    forest = Forest(
         labelCol=label,
         numTrees=trees,
         maxDepth=depth,
