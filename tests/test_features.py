@@ -1,0 +1,165 @@
+import math
+import random
+import statistics
+
+import numpy as np
+import pytest
+from conftest import day, rows_of
+from pyspark.sql import functions as F
+
+from flowgauge.functions.numfns import (
+    clamp_zero,
+    half_even,
+    number_from_thousands,
+    row_type_label,
+    thousands,
+    weekday_label,
+)
+from flowgauge.functions.timefns import day_name, is_weekend, monday_weekday, parse_time, two_digits, week_number
+from flowgauge.operators.features import daily_features, slot_features, standardize
+from flowgauge.operators.sampling import contiguous_folds, split_exact, split_hash, with_test_flag
+from flowgauge.operators.stats import best_model, describe_exact, fold_summary, regression_metrics, tail_mean
+
+
+def test_number_expressions(spark):
+    df = spark.createDataFrame([(2.5,), (3.5,), (-2.5,), (-3.2,)], "v double")
+    assert [r[0] for r in df.select(half_even("v")).collect()] == [2, 4, -2, -3]
+    assert [r[0] for r in df.select(clamp_zero(half_even("v"))).collect()] == [2, 4, 0, 0]
+    counts = spark.createDataFrame([(1270547,), (12,)], "n long").select(thousands("n").alias("t"), "n")
+    assert [r["t"] for r in counts.collect()] == ["1,270,547", "12"]
+    assert counts.where(number_from_thousands("t") == F.col("n")).count() == 2
+
+
+def test_calendar_expressions(spark):
+    df = spark.createDataFrame([(day("2019-01-06"),), (day("2019-01-07"),), (day("2018-12-31"),)], "d date")
+    got = df.select(monday_weekday("d"), is_weekend("d"), week_number("d"), day_name("d"), weekday_label(monday_weekday("d")))
+    assert [tuple(r) for r in got.collect()] == [
+        (6, 1, 1, "Sunday", "周日"),
+        (0, 0, 2, "Monday", "周一"),
+        (0, 0, 1, "Monday", "周一"),
+    ]
+
+
+def test_parsing_and_padding(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05", 7), ("no time", 12)], "t string, n int")
+    assert [r[0] is None for r in df.select(parse_time("t")).collect()] == [False, True]
+    assert [r[0] for r in df.select(two_digits("n")).collect()] == ["07", "12"]
+    flags = spark.createDataFrame([(True,), (False,)], "p boolean").select(row_type_label("p"))
+    assert [r[0] for r in flags.collect()] == ["预测值", "实际值"]
+
+
+def test_unknown_station_has_zero_columns(spark):
+    df = spark.sql("SELECT 99L AS stationID, TIMESTAMP_NTZ'2024-01-06 13:50:00' AS startTime")
+    row = slot_features(df, [10, 12]).first()
+    assert (row["hour"], row["minute"], row["weekday"], row["isWeekend"]) == (13, 50, 5, 1)
+    assert (row["station_10"], row["station_12"]) == (0, 0)
+
+
+def test_daily_features_per_series(spark):
+    df = spark.createDataFrame(
+        [(k, day(f"2019-01-{d:02d}"), k * 100 + d, d) for k in (1, 2) for d in range(1, 11)],
+        "k int, date date, inNums long, outNums long",
+    )
+    out = {(r["k"], r["dayOfMonth"]): r for r in daily_features(df, ["k"]).collect()}
+    assert out[1, 1]["prev_day_in"] == 101 and out[2, 5]["prev_day_in"] == 204
+    assert out[2, 1]["rolling_mean_in_7d"] == 201 and out[1, 10]["rolling_mean_in_7d"] == 107
+    assert out[1, 10]["rolling_mean_out_7d"] == 7
+    earlier = {(r["k"], r["dayOfMonth"]): r for r in daily_features(df, ["k"], include_current=False).collect()}
+    assert earlier[1, 10]["rolling_mean_in_7d"] == 106
+
+
+def test_standardize_uses_the_population_deviation(spark):
+    df = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "a int, b int")
+    rows = standardize(df, ["a", "b"]).orderBy("a").collect()
+    assert [round(r["a_z"], 6) for r in rows] == [-1.224745, 0, 1.224745]
+    assert [r["b_z"] for r in rows] == [0, 0, 0]
+
+
+def test_describe_known_values(spark):
+    row = describe_exact(spark.createDataFrame([(1,), (2,), (3,), (10,), (None,)], "v int"), ["v"]).first()
+    assert (row["count"], row["mean"], row["min"], row["max"]) == (4, 4, 1, 10)
+    assert (row["p25"], row["p50"], row["p75"]) == (1.75, 2.5, 4.75)
+    assert round(row["std"], 6) == 4.082483
+    assert describe_exact(spark.createDataFrame([(1,)], "v int"), ["v"]).first()["std"] is None
+    with pytest.raises(TypeError):
+        describe_exact(spark.createDataFrame([(1.5,)], "v double"), ["v"])
+
+
+def test_describe_against_numpy(spark):
+    draw = random.Random(4)
+    values = [draw.choice([0, 0, 0, draw.randrange(50), draw.randrange(10**6)]) for _ in range(3000)]
+    row = describe_exact(spark.createDataFrame([(v,) for v in values], "v long"), ["v"]).first()
+    assert row["mean"] == pytest.approx(statistics.fmean(values))
+    assert row["std"] == pytest.approx(statistics.stdev(values))
+    assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(np.percentile(values, [25, 50, 75])))
+
+
+@pytest.mark.parametrize("n", [1, 4, 5, 27, 1000, 5003])
+def test_exact_split_is_exact_disjoint_and_stable(spark, n):
+    df = spark.range(n).withColumn("v", F.col("id") % 7)
+    train, test = split_exact(df, ["id"])
+    assert test.count() == math.ceil(0.2 * n) and train.count() == n - math.ceil(0.2 * n)
+    assert train.union(test).distinct().count() == n
+    assert rows_of(split_exact(df.repartition(13, "v"), ["id"])[1]) == rows_of(test)
+    if n > 100:
+        assert rows_of(split_exact(df, ["id"], seed=7)[1]) != rows_of(test)
+
+
+def test_exact_split_is_the_head_of_the_digest_order(spark):
+    import hashlib
+
+    order = sorted(range(500), key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())
+    flagged = with_test_flag(spark.range(500), ["id"])
+    assert {r["id"] for r in flagged.where("is_test").collect()} == set(order[:100])
+
+
+@pytest.mark.parametrize("share,expected", [(0.0, 0), (1.0, 50)])
+def test_exact_split_bounds(spark, share, expected):
+    train, test = split_exact(spark.range(50), ["id"], share)
+    assert (train.count(), test.count()) == (50 - expected, expected)
+    assert split_exact(spark.range(0), ["id"])[1].isEmpty()
+
+
+def test_hash_split_is_about_right(spark):
+    train, test = split_hash(spark.range(20000), ["id"])
+    assert 3600 < test.count() < 4400 and train.count() + test.count() == 20000
+
+
+def test_folds_are_contiguous_and_even(spark):
+    df = spark.createDataFrame([(day(f"2019-01-{d:02d}"), d) for d in range(1, 28)], "date date, v int")
+    rows = contiguous_folds(df, "date").orderBy("date").collect()
+    folds = [r["fold"] for r in rows]
+    assert folds == sorted(folds) and [folds.count(k) for k in range(5)] == [6, 6, 5, 5, 5]
+    twice = contiguous_folds(df.union(df), "date")
+    assert twice.count() == 54 and twice.groupBy("date").agg(F.count_distinct("fold").alias("n")).where("n > 1").isEmpty()
+
+
+def test_regression_metrics(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, 1.0), ("a", 2.0, 2.0), ("a", 3.0, 5.0), ("flat", 4.0, 4.0), ("flat", 4.0, 4.0), ("off", 4.0, 5.0)],
+        "g string, y double, p double",
+    )
+    got = {r["g"]: r for r in regression_metrics(df, "y", "p", ["g"]).collect()}
+    assert got["a"]["mse"] == pytest.approx(4 / 3) and got["a"]["r2"] == pytest.approx(-1.0)
+    assert got["a"]["rmse"] == pytest.approx(math.sqrt(4 / 3)) and got["a"]["n"] == 3
+    assert got["flat"]["r2"] == 1 and got["off"]["r2"] == 0
+
+
+def test_best_model_ignores_nan_and_prefers_the_first(spark):
+    df = spark.createDataFrame(
+        [("t", "a", 0, float("nan")), ("t", "b", 1, 0.4), ("t", "c", 2, 0.4), ("t", "d", 3, None)],
+        "target string, model string, place int, r2 double",
+    )
+    assert rows_of(best_model(df, "r2", ["target"], "place", highest=True)) == [("t", "b", 0.4)]
+    assert rows_of(best_model(df, "r2", ["target"], "place")) == [("t", "b", 0.4)]
+
+
+def test_fold_summary_uses_the_population_deviation(spark):
+    df = spark.createDataFrame([("m", 0.0, 1.0), ("m", 2.0, 3.0)], "model string, r2 double, rmse double")
+    assert rows_of(fold_summary(df, ["model"])) == [("m", 1, 1, 2, 1)]
+
+
+def test_tail_mean(spark):
+    df = spark.createDataFrame([(k, i, i) for k in "ab" for i in range(10)], "k string, o int, v long")
+    assert rows_of(tail_mean(df, "o", ["v"], 7, ["k"])) == [("a", 6.0), ("b", 6.0)]
+    assert rows_of(tail_mean(df.where("k = 'a'"), "o", ["v"])) == [(6.0,)]
