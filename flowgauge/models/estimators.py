@@ -53,7 +53,9 @@ class KernelRegression(Estimator):
     Random Fourier features (Rahimi and Recht, 2007) stand for the kernel and a ridge
     regression is fitted on them: the fit is one distributed pass, where a kernel solver would
     compare all pairs of rows. ``gamma="scale"`` is one over features times their variance.
-    ``c`` weighs the errors against the penalty.
+    ``c`` weighs the errors against the penalty. ``loss="huber"`` counts large errors by their
+    size and not their square, as a support vector regressor does; it is fitted in several
+    passes.
     """
 
     def __init__(
@@ -63,9 +65,13 @@ class KernelRegression(Estimator):
         size: int = 64,
         gamma: float | str = "scale",
         c: float = 1.0,
+        loss: str = "squared",
         seed: int = 42,
     ):
         super().__init__()
+        if loss not in ("squared", "huber"):
+            raise ValueError("loss must be 'squared' or 'huber'")
+        self.loss = loss
         self.features, self.label = features, label
         self.size, self.gamma, self.c, self.seed = size, gamma, c, seed
 
@@ -97,7 +103,11 @@ class KernelRegression(Estimator):
             ),
             VectorAssembler(inputCols=names, outputCol="features"),
             LinearRegression(
-                labelCol=self.label, regParam=1.0 / (self.c * max(n, 1)), standardization=False, solver="normal"
+                labelCol=self.label,
+                regParam=1.0 / (self.c * max(n, 1)),
+                standardization=False,
+                loss="squaredError" if self.loss == "squared" else "huber",
+                solver="normal" if self.loss == "squared" else "l-bfgs",
             ),
         ]
         return Pipeline(stages=stages).fit(dataset)
@@ -139,7 +149,11 @@ class Forest(RandomForestRegressor):
 def random_forest(
     features: list[str], label: str, trees: int, depth: int, min_leaf: int = 1, bins: int = 32, seed: int = 42
 ) -> Pipeline:
-    """Random forest that looks at every feature at every split."""
+    """Random forest that looks at every feature at every split.
+
+    Deep forests remember the node of each row from level to level, in place of sending all
+    trees grown so far to every task.
+    """
     forest = Forest(
         labelCol=label,
         numTrees=trees,
@@ -147,6 +161,7 @@ def random_forest(
         minInstancesPerNode=min_leaf,
         maxBins=bins,
         featureSubsetStrategy="all",
+        cacheNodeIds=depth > 10,
         seed=seed,
     )
     return scaled_pipeline(features, forest)

@@ -5,6 +5,8 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.operators.series import spread
+
 
 def dedup(df: DataFrame) -> DataFrame:
     """One row of each set of equal rows; nulls count as equal.
@@ -70,7 +72,7 @@ def missing_days(
     last = end if isinstance(end, Column) else F.lit(end)
     present = df.select(*keys, date).distinct()
     if keys:
-        wanted = df.select(*keys).distinct()
+        wanted = spread(df.select(*keys).distinct(), keys)
     else:
         wanted = df.sparkSession.range(1).select()
     wanted = wanted.select(*keys, F.explode(F.sequence(first, last)).alias(date))

@@ -27,6 +27,18 @@ def flow_by_slot(
     )
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Distribute by key over the session's full number of shuffle partitions.
+
+    For rows that are about to become many. Adaptive execution would merge partitions by their
+    size before that, and make a large dense table from a small sparse one in a single task; a
+    stated number of partitions is left alone.
+    """
+    if not keys:
+        return df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def time_span(df: DataFrame, time: str, values: list[str]) -> Column:
     """First and last time of the whole table as one struct ``lo``, ``hi``: a one-row subquery.
 
@@ -60,7 +72,7 @@ def gap_fill(
         raise ValueError("bounds must be 'global' or 'group'")
     one = step_interval(step)
     series = Window.partitionBy(*keys).orderBy(time)
-    rows = df.select(
+    rows = spread(df, keys).select(
         *keys,
         F.col(time).alias("_seen"),
         *values,
@@ -93,7 +105,7 @@ def calendar_spine(df: DataFrame, keys: list[str], time: str, step: str) -> Data
     span = counted.agg(F.struct(F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).alias("span")).scalar()
     first = day_start("_span.lo")
     last = day_start("_span.hi") + F.expr("INTERVAL '1' DAY") - step_interval(step)
-    return counted.withColumn("_span", span).select(
+    return spread(counted.withColumn("_span", span), keys).select(
         *keys, F.explode(F.sequence(first, last, step_interval(step))).alias(time)
     )
 
@@ -130,7 +142,7 @@ def slot_grid(stations: DataFrame, base: Column, days: int, step: str = "10 minu
     slots = (86400 // step_seconds(step)) * days
     first = base.cast("timestamp_ntz")
     starts = F.sequence(first, first + step_interval(step) * F.lit(slots - 1), step_interval(step))
-    grid = stations.select("stationID", F.explode(starts).alias("startTime"))
+    grid = spread(stations, ["stationID"]).select("stationID", F.explode(starts).alias("startTime"))
     return with_slot_end(grid, step)
 
 

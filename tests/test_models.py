@@ -85,6 +85,17 @@ def test_kernel_regression_beats_the_line_on_a_wave(wave):
     assert curve > 0.99 > r2(predict(wave, linear(["x", "flat"], "y").fit(wave)))
 
 
+def test_huber_loss_shrugs_off_outliers(wave):
+    spoiled = wave.withColumn("z", F.when(F.col("x") == 3, 500.0).otherwise(F.col("y")))
+    errors = {}
+    for loss in ("squared", "huber"):
+        model = KernelRegression(["x", "flat"], "z", size=32, loss=loss).fit(spoiled)
+        errors[loss] = regression_metrics(predict(wave.withColumn("z", F.col("y")), model), "y", "prediction").first()["mse"]
+    assert errors["huber"] < errors["squared"] / 10
+    with pytest.raises(ValueError):
+        KernelRegression(["x"], "y", loss="other")
+
+
 def test_kernel_features_stand_for_the_gaussian_kernel(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (2.0, 3.0)], "x double, y double")
     model = KernelRegression(["x"], "y", size=4096, gamma=0.7).fit(df)
