@@ -68,6 +68,17 @@ def slot_training_table(flow: DataFrame, stations: list[int]) -> DataFrame:
     return slot_features(for_stations(flow, stations), stations)
 
 
+def _training_rows(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """The rows in as many sorted partitions as their number is worth.
+
+    A fit runs a job per tree level over all partitions, and a filtered flow table comes in
+    many, most of them empty. The order makes a seeded fit repeatable.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(slots, -(-rows // 2_000)), -(-rows // 100_000), 1)
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+
 def fit_slot_models(
     flow: DataFrame,
     stations: list[int],
@@ -84,13 +95,13 @@ def fit_slot_models(
     spark = flow.sparkSession
     features = slot_feature_columns(stations)
     table = slot_training_table(flow, stations).persist(StorageLevel.MEMORY_AND_DISK)
-    kinds = [r["isWeekend"] for r in table.select("isWeekend").distinct().collect()]
-    day_types = {name: flag for name, flag in DAY_TYPES.items() if flag in kinds}
-    rows = {
-        name: with_test_flag(table.where(F.col("isWeekend") == flag), ["stationID", "startTime"], test_share, seed)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-        for name, flag in day_types.items()
-    }
+    sizes = {r["isWeekend"]: r["count"] for r in table.groupBy("isWeekend").count().collect()}
+    day_types = {name: flag for name, flag in DAY_TYPES.items() if flag in sizes}
+    keys = ["stationID", "startTime"]
+    rows = {}
+    for name, flag in day_types.items():
+        flagged = with_test_flag(table.where(F.col("isWeekend") == flag), keys, test_share, seed)
+        rows[name] = _training_rows(flagged, keys, sizes[flag]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         work = {
             (day_type, target, model): functools.partial(
@@ -131,7 +142,9 @@ def cross_validate(
     A fold is scored once for both measures, and scaling is learned inside the fold's training
     rows. Columns: ``target``, ``model``, ``place``, ``fold``, ``n``, ``mse``, ``rmse``, ``r2``.
     """
-    numbered = contiguous_folds(table, order, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    # One row per day: a single sorted partition, so that a seeded fit is repeatable.
+    numbered = contiguous_folds(table, order, folds).coalesce(1).sortWithinPartitions(order)
+    numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         used = [r["fold"] for r in numbered.select("fold").distinct().collect()]
         work = {
@@ -166,7 +179,7 @@ def fit_daily_models(
     The table has one row per day, so every candidate is fitted on every fold.
     """
     candidates = candidates or DAILY_CANDIDATES
-    table = daily_features(daily).persist(StorageLevel.MEMORY_AND_DISK)
+    table = daily_features(daily).coalesce(1).sortWithinPartitions("date").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scores = cross_validate(table, DAILY_FEATURES, candidates, folds)
         leaderboard = fold_summary(scores, ["target", "model", "place"])
