@@ -98,12 +98,13 @@ def test_huber_loss_shrugs_off_outliers(wave):
 
 def test_kernel_features_stand_for_the_gaussian_kernel(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (2.0, 3.0)], "x double, y double")
-    model = KernelRegression(["x"], "y", size=4096, gamma=0.7).fit(df)
+    model = KernelRegression(["x"], "y", size=1024, gamma=0.7).fit(df)
     rows = model.transform(df).select("x_z", "features").collect()
+    # An average of 1024 random waves is off by about 1/32; four times that is allowed.
     for a in rows:
         for b in rows:
             kernel = math.exp(-0.7 * (a["x_z"] - b["x_z"]) ** 2)
-            assert float(a["features"].dot(b["features"])) == pytest.approx(kernel, abs=0.06)
+            assert float(a["features"].dot(b["features"])) == pytest.approx(kernel, abs=0.125)
 
 
 def test_scaler_handles_a_constant_column(spark):
