@@ -355,8 +355,31 @@ def flow_stream_query(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{path}/flow")
 
 
+def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries of the corpus operators and their SQL; nothing where that subpackage is left out."""
+    try:
+        import corpus_pipeline
+        from flowgauge.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if not str(missing.name).startswith(("flowgauge.llm", "corpus_pipeline")):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLES | sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries; each reads its whole tables."""
+    return flow_queries() | _corpus()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB statements of all queries that SQL can express."""
+    return flow_oracles() | _corpus()[1]
+
+
+def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the flow operators."""
 
     def on_swipes(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf: operator(event_swipes(spark, sf))
@@ -609,7 +632,7 @@ def _scaled_sql() -> str:
     return _with(f"{_FLOW} features", body)
 
 
-def oracle_sql() -> dict[str, str]:
+def flow_oracles() -> dict[str, str]:
     """DuckDB statements. Left out: what is fitted, drawn by Spark's own hash, or a spline."""
     raw = 'SELECT "time", "lineID", CAST("stationID" AS INTEGER) AS "stationID", status'
     ids = ", ".join(str(s) for s in TARGET_STATIONS)
