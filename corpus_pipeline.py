@@ -1,21 +1,55 @@
 """A corpus from raw documents: filtered, without near-duplicates, mixed to weights and packed into sequences."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from flowgauge.llm.mixing import mixed_documents, mixing_plan
 from flowgauge.llm.near_dedup import near_duplicates
+from flowgauge.llm.packing import pack_documents
+from flowgauge.llm.quality import fit_quality, good_documents
 from flowgauge.llm.tables import stored, table
+from flowgauge.llm.toxicity import civil_documents, fit_toxicity
 
 #: The stages hold fitted models and a tokenizer, which SQL can't express; the tests hold them to plain versions.
 ORACLE_SQL = None
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model scores 0.3 or more stay."""
+    return good_documents(docs, fit_quality(docs, table(spark, sf_dir, "labels")), 0.3)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores under 0.5 stay."""
+    return civil_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), 0.5)
+
+
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: shingles of five words, similarity 0.8 or more."""
-    groups = near_duplicates(docs, width=5, percent=80).where("not kept").select(docs.columns[0])
-    return docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each near-duplicate group stays: shingles of five words, similarity 0.8 or more.
+
+    Rows that repeat a doc_id are one document; they stay or go together.
+    """
+    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as systematic sampling takes them: 150% of all words, sources weighing 3, 1, 2 in turn."""
+    return mixed_documents(docs, mixing_plan(docs, weights=(3, 1, 2), share=1.5, most=2.0))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's tokens lie in sequences of 2,048."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
-STAGES = [("minhash_dedup", dedup)]
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("minhash_dedup", dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
