@@ -180,7 +180,8 @@ def _verified(docs: DataFrame, near: DataFrame, width: int, percent: int) -> Dat
     near = near.join(weights, "root").select(
         F.col("root").alias("comp"), F.pmod(F.xxhash64("rep"), F.col("chunks")).alias("chunk"), "chunks", F.col("rep")
     )
-    texts = docs.join(near, docs.doc_id == near.rep).select("comp", "chunk", "chunks", "doc_id", "text")
+    # The same plan at every size: texts are dealt by id and meet a hash table of the candidates.
+    texts = docs.join(near.hint("shuffle_hash"), docs.doc_id == near.rep).select("comp", "chunk", "chunks", "doc_id", "text")
     sets = texts.mapInArrow(_sets(width), "comp long, chunk long, chunks long, doc_id long, elements binary")
     # One chunk is a cell of its own; of several, every two make a cell.
     other = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
