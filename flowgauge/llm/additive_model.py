@@ -86,7 +86,7 @@ def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 300, bins: int = 48
 
     No rows, or rows of one class only, give a constant score: the smoothed share of label 1.
     """
-    x, y = np.asarray(x, np.float64).reshape(len(y), -1), np.asarray(y, np.float64)
+    x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
     n, d = x.shape
     share = (y.sum() + 0.5) / (n + 1)
     bias = float(np.log(share / (1 - share)))

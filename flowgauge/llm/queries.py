@@ -10,6 +10,7 @@ from flowgauge.llm.hyperplane_dedup import near_duplicate_vectors
 from flowgauge.llm.labelled import held_out
 from flowgauge.llm.mixing import mixing_plan
 from flowgauge.llm.near_dedup import near_duplicates
+from flowgauge.llm.oracles import mixing_sql, near_duplicates_sql, near_vectors_sql, quote_threads_sql, topk_sql
 from flowgauge.llm.packing import pack_documents
 from flowgauge.llm.quality import fit_quality, quality_scores
 from flowgauge.llm.quote_threads import quote_threads
@@ -62,8 +63,9 @@ def op5_orc_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_quote_threads(spark: SparkSession, sf: str) -> DataFrame:
-    """All messages in the order of replies, without quotes."""
-    return quote_threads(table(spark, sf, "conversations"))
+    """All messages in the order of replies, without quotes; a message that answers none has parent -1."""
+    threads = quote_threads(table(spark, sf, "conversations"))
+    return threads.withColumn("parent_turn", F.coalesce("parent_turn", F.lit(-1)))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,4 +111,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_super_minhash_dedup": near_duplicates_sql(3, 85),
+    "op2_hyperplane_dedup": near_vectors_sql(0.9),
+    "op4_systematic_mixing": mixing_sql((3, 1, 2), 1.5, 2.0, 7),
+    "op6_quote_threads": quote_threads_sql(),
+    "op9_threshold_topk": topk_sql(20, 20, 64),
+}

@@ -1,0 +1,102 @@
+"""Threads of a small discussion, and of one by brute force."""
+
+import random
+
+from flowgauge.llm.quote_threads import chat_text, quote_threads
+
+SCHEMA = "conv_id long, turn long, role string, text string, place int, depth string, body int"
+
+
+def threads(spark, rows):
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA).repartition(3)
+    return {(r["conv_id"], r["turn"], r["role"]): r for r in quote_threads(df).collect()}
+
+
+def test_nested_quotes(spark):
+    out = threads(
+        spark,
+        [
+            (1, 0, "user", "How do I sort a table?\nIt has two columns."),
+            (1, 1, "assistant", "Use orderBy."),
+            (1, 2, "user", "> use   ORDERBY.\n\nThanks, and descending?"),
+            (1, 3, "assistant", ">> Use orderBy.\n> Thanks, and descending?\nPass F.desc."),
+            (1, 4, "user", "> How do I sort a table?\n> It has two columns.\nSame question here."),
+            (1, 5, "user", "> Never said.\nHm."),
+            (2, 0, "user", "> Use orderBy.\nOther conversation."),
+        ],
+    )
+    got = {k[:2]: (r["parent_turn"], r["thread_turn"], r["depth"], r["n_quotes"], r["quote_depth"], r["place"], r["body"]) for k, r in out.items()}
+    assert got == {
+        (1, 0): (None, 0, 0, 0, 0, 0, "How do I sort a table?\nIt has two columns."),
+        (1, 4): (0, 0, 1, 1, 1, 1, "Same question here."),
+        (1, 1): (None, 1, 0, 0, 0, 2, "Use orderBy."),
+        (1, 2): (1, 1, 1, 1, 1, 3, "Thanks, and descending?"),
+        (1, 3): (2, 1, 2, 2, 2, 4, "Pass F.desc."),
+        (1, 5): (None, 5, 0, 1, 1, 5, "Hm."),
+        (2, 0): (None, 0, 0, 1, 1, 0, "Other conversation."),
+    }
+
+
+def test_nulls_blanks_and_repeats(spark):
+    out = threads(
+        spark,
+        [
+            (None, 0, "user", "a b c"),
+            (1, None, "user", "> a b c"),
+            (1, 0, None, None),
+            (1, 1, "user", ""),
+            (1, 2, "user", "> \n>\n"),
+            (1, 3, "user", "x " * 30_000),
+            (1, 3, "other", "> x"),
+            (1, 4, "user", ">" + "x " * 30_000 + "\nyes"),
+        ],
+    )
+    assert len(out) == 8
+    assert out[1, 0, None]["body"] is None and out[1, 1, "user"]["body"] == "" and out[1, 2, "user"]["n_quotes"] == 0
+    assert out[1, 4, "user"]["parent_turn"] == 3 and out[1, None, "user"]["parent_turn"] is None
+    assert sorted(r["place"] for k, r in out.items() if k[0] == 1) == list(range(7))
+
+
+def test_no_rows(spark):
+    assert quote_threads(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).isEmpty()
+
+
+def test_long_chains_by_brute_force(spark):
+    rng = random.Random(9)
+    lines = [f"line {i}" for i in range(12)]
+    rows = []
+    for conv in range(6):
+        for turn in range(14):
+            own = [rng.choice(lines) for _ in range(rng.randint(1, 3))]
+            quotes = ["> " + rng.choice(lines) for _ in range(rng.randint(0, 2))]
+            rows.append((conv, turn, "user", "\n".join([*quotes, *own])))
+    rows += [(9, t, "user", (f"> step {t - 1}\n" if t else "") + f"step {t}") for t in range(60)]
+    out = threads(spark, rows)
+    for conv in {r[0] for r in rows}:
+        units = {}
+        parent = {}
+        for _, turn, _, text in sorted(r for r in rows if r[0] == conv):
+            split = text.split("\n")
+            own = [x for x in split if x[0] != ">"]
+            quoted = [x[2:] for x in split if x[0] == ">"]
+            asked = {*quoted, " ".join(quoted)} - {""}
+            score = {}
+            for q in asked:
+                if q in units:
+                    score[units[q]] = score.get(units[q], 0) + len(q.split(" "))
+            parent[turn] = max(score, key=lambda t: (score[t], t)) if score else None
+            for unit in {*own, " ".join(own)}:
+                units.setdefault(unit, turn)
+        for turn, up in parent.items():
+            root, depth = turn, 0
+            while parent[root] is not None:
+                root, depth = parent[root], depth + 1
+            r = out[conv, turn, "user"]
+            assert (r["parent_turn"], r["thread_turn"], r["depth"]) == (up, root, depth)
+    chain = sorted((r["place"], r["turn"]) for k, r in out.items() if k[0] == 9)
+    assert chain == [(t, t) for t in range(60)]
+
+
+def test_chat_text(spark):
+    df = quote_threads(spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, None, "> hi\nyo")], "conv_id long, turn long, role string, text string"))
+    assert [r["message"] for r in chat_text(df).orderBy("place").collect()] == ["<|user|>\nhi\n", "<|unknown|>\nyo\n"]
