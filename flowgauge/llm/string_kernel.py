@@ -94,16 +94,16 @@ class Landmarks:
         good = values > 1e-6 * max(values.max(initial=0), 1e-12)
         self.whiten = axes[:, good] / np.sqrt(values[good])
 
-    def features(self, words: list[str], at_once: int = 4096) -> np.ndarray:
-        out = np.zeros((len(words), self.whiten.shape[1]))
-        turned = self.vectors.T @ self.whiten  # by triple
+    def features(self, words: list[str], at_once: int = 256) -> np.ndarray:
+        out = np.zeros((len(words), self.whiten.shape[1]), np.float32)
+        turned = (self.vectors.T @ self.whiten).astype(np.float32)  # by triple
         for start in range(0, len(words), at_once):
             word, triple, weight = triples(words[start : start + at_once])
             place = np.searchsorted(self.known, triple)
             hit = np.nonzero(place < len(self.known))[0]
             hit = hit[self.known[place[hit]] == triple[hit]]
             if len(hit):
-                rows = turned[place[hit]] * weight[hit, None]
+                rows = turned[place[hit]] * weight[hit, None].astype(np.float32)
                 first = np.nonzero(np.r_[True, np.diff(word[hit]) > 0])[0]
                 out[start + word[hit][first]] = np.add.reduceat(rows, first)
         return out
@@ -120,24 +120,32 @@ def fit_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, step
 
     ``y`` is -1 or 1. The intercept is not penalised.
     """
-    x = np.hstack([z, np.ones((len(z), 1))])
     penalty = np.diag(np.r_[np.full(z.shape[1], ridge), 1e-9])
-    w, active = np.zeros(x.shape[1]), None
+    w, active = np.zeros(z.shape[1] + 1), None
+
+    def margins(w: np.ndarray) -> np.ndarray:
+        return y * (z @ w[:-1].astype(z.dtype) + w[-1])
+
+    def loss(w: np.ndarray) -> float:
+        return float((weight * np.maximum(0, 1 - margins(w)) ** 2).sum() + w @ penalty @ w)
+
     for _ in range(steps):
-        now = y * (x @ w) < 1
+        now = margins(w) < 1
         if active is not None and (now == active).all():
             break
         active = now
-        xa = x[active] * weight[active, None]
-        target = np.linalg.solve(xa.T @ x[active] + penalty, xa.T @ y[active])
+        left, right = penalty.copy(), np.zeros(len(w))
+        rows = np.nonzero(active)[0]
+        for start in range(0, len(rows), 4096):
+            some = rows[start : start + 4096]
+            x = np.hstack([z[some].astype(np.float64), np.ones((len(some), 1))])
+            weighed = x * weight[some, None]
+            left += weighed.T @ x
+            right += weighed.T @ y[some]
+        target = np.linalg.solve(left, right)
         # Halve the step until the loss falls.
-        loss, scale = _hinge(x, y, weight, w, penalty), 1.0
-        while scale > 1e-3 and _hinge(x, y, weight, w + scale * (target - w), penalty) > loss:
+        before, scale = loss(w), 1.0
+        while scale > 1e-3 and loss(w + scale * (target - w)) > before:
             scale /= 2
         w = w + scale * (target - w)
     return w[:-1], float(w[-1])
-
-
-def _hinge(x, y, weight, w, penalty) -> float:
-    short = np.maximum(0, 1 - y * (x @ w))
-    return float((weight * short**2).sum() + w @ penalty @ w)

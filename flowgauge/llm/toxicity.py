@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.llm.labelled import held_out, kept_by_score, labelled_sample, scored
-from flowgauge.llm.string_kernel import TRIPLES, Landmarks, fit_svm, normal, pieces, table_values, words_of
+from flowgauge.llm.string_kernel import TRIPLES, Landmarks, fit_svm, normal, pieces, table_values, triples, words_of
 from flowgauge.llm.tables import stored
 
 LANDMARKS = 256
@@ -147,12 +147,14 @@ def _landmark_words(words: list[str], weight: np.ndarray, mistaken: list[str], c
     """Suspects one by one, each the heaviest of those unlike the earlier ones; mistaken words; clean words, evenly spaced."""
     order = np.argsort(-weight, kind="stable")[:2000]
     some = [words[i] for i in order]
-    z = Landmarks(some[:600]).features(some)
-    left, far, chosen = np.sqrt(weight[order]), np.ones(len(some)), []
+    word, triple, part = triples(some)
+    heavy, far, chosen = np.sqrt(weight[order]), np.ones(len(some)), []
     for _ in range(min(LANDMARKS // 2, len(some))):
-        i = int((left * far).argmax())
+        i = int((heavy * far).argmax())
         chosen.append(some[i])
-        far = np.minimum(far, np.clip(1 - z @ z[i], 0, 1))
+        vector = np.zeros(TRIPLES)
+        vector[triple[word == i]] = part[word == i]
+        far = np.minimum(far, np.clip(1 - np.bincount(word, part * vector[triple], minlength=len(some)), 0, 1))
         far[i] = 0
     chosen += mistaken[: LANDMARKS // 4]
     rest = LANDMARKS - len(chosen)
