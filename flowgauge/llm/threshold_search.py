@@ -9,8 +9,8 @@ from flowgauge.llm.tables import stored
 
 #: Vectors of a block, and queries that a task takes through it.
 BLOCK, QUERIES = 8_192, 1_024
-#: Ranks that the first step goes down the lists; each further step goes four times as deep.
-FIRST_DEPTH = 16
+#: Ranks that the first step goes down the lists; each further step goes DEEPER times as deep.
+FIRST_DEPTH, DEEPER = 32, 8
 
 
 def integer_parts(embedding: str, scale: int = 64) -> Column:
@@ -66,7 +66,7 @@ def threshold_topk(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
             best = np.lexsort((numbers, -scores))[:k]
             out.extend((int(query_ids[q]), int(numbers[i]), int(scores[i])) for i in best)
         active = np.array(later, np.int64)
-        depth = min(4 * depth, n)
+        depth = min(DEEPER * depth, n)
     return out
 
 
