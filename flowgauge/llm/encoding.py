@@ -2,14 +2,22 @@
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
-#: Stretches that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 48
+#: Stretches that a worker remembers, and the longest of them. Beyond, the half that came first stays: the most frequent.
+REMEMBERED, LONGEST = 800_000, 48
+#: Words that go through the tokenizer as one text.
+AT_ONCE = 256
 #: A space that starts no word: white space of any kind follows, or nothing.
 _LOOSE_SPACE = re.compile(r" (?!\S)")
 _WORD_STARTS = re.compile(r"(?= \S)")
+#: Letters, and marks of ASCII behind them: none that begins a contraction or a special token.
+_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
+_SPACED_WORD = re.compile(r"( [^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
+#: How vocabularies write the space before a word and the end of a word: fixed values.
+_SPACE, _WORD_END = "Ġ", "</w>"
 
 
 class Encoder:
@@ -26,6 +34,11 @@ class Encoder:
 
         self.tokenizer, self.joined = Tokenizer.from_file(path), joined
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        # Tokens that begin a word with its space, or else that end a word.
+        vocabulary = self.tokenizer.get_vocab()
+        self.edges = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edges[[i for t, i in vocabulary.items() if (t.startswith(_SPACE) if joined else t.endswith(_WORD_END))]] = True
 
     def _cuts(self, text: str) -> list[str]:
         if not self.joined:
@@ -35,20 +48,57 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first, *[" " + word for word in rest]]
 
+    def _learn(self, cuts: list[str]) -> None:
+        """Encode new stretches. Plain words go through the tokenizer together, as the words of one text."""
+        known, plain, other, marked = self.known, [], [], []
+        form = _SPACED_WORD if self.joined else _WORD
+        for cut in cuts:
+            found = form.fullmatch(cut)
+            if not found:
+                other.append(cut)
+            elif not found[2]:
+                plain.append(cut)
+            else:
+                marked.append((cut, *found.groups()))
+        plain += {word for _, word, _ in marked if word not in known}.difference(plain)
+        for start in range(0, len(plain), AT_ONCE):
+            some = plain[start : start + AT_ONCE]
+            ids = self._ids(("" if self.joined else " ").join(some))
+            # Where one word ends and the next begins shows in the tokens.
+            ends = np.nonzero(self.edges[ids])[0]
+            ends = np.append(ends[1:], len(ids)) if self.joined else ends + 1
+            if len(ends) == len(some) and (ends[-1] == len(ids)):
+                flat, first = ids.tobytes(), 0
+                for cut, end in zip(some, (4 * ends).tolist(), strict=True):
+                    known[cut] = flat[first:end]
+                    first = end
+            else:
+                other += some
+        for start in range(0, len(other), 4096):
+            some = other[start : start + 4096]
+            for cut, out in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                known[cut] = np.array(out.ids, "<u4").tobytes()
+        # Marks after a word are a stretch of their own.
+        for cut, word, marks in marked:
+            if marks not in self.marks:
+                self.marks[marks] = self._ids(marks).tobytes()
+            known[cut] = known[word] + self.marks[marks]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cuts = [self._cuts(t) for t in texts]
         known = self.known
-        new = {c for some in cuts for c in some if c not in known}
+        met = set().union(*cuts)
+        new = [c for c in met if c not in known]
         if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {c for some in cuts for c in some}
-        missing = list(new)
-        for start in range(0, len(missing), 4096):
-            some = missing[start : start + 4096]
-            for cut, out in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[cut] = np.array(out.ids, "<u4").tobytes()
+            known = self.known = dict(islice(known.items(), REMEMBERED // 2))
+            self.marks.clear()
+            new = [c for c in met if c not in known]
+        self._learn(new)
         out = [b"".join(map(known.__getitem__, some)) for some in cuts]
-        for cut in missing:
+        for cut in new:
             if len(cut) > LONGEST:
                 del known[cut]
         return out

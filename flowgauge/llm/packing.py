@@ -14,7 +14,7 @@ from flowgauge.llm.tables import stored, with_place
 #: Places of a length's documents are below this.
 PLACES = 1 << 44
 #: Texts that are encoded together.
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 256
 
 
 class OpenBins:
