@@ -2,30 +2,34 @@
 
 import os
 import re
+import unicodedata
 from itertools import islice
 
 import numpy as np
 
 #: Stretches that a worker remembers, and the longest of them. Beyond, the half that came first stays: the most frequent.
-REMEMBERED, LONGEST = 800_000, 48
+REMEMBERED, LONGEST = 600_000, 48
 #: Words that go through the tokenizer as one text.
 AT_ONCE = 256
-#: A space that starts no word: white space of any kind follows, or nothing.
-_LOOSE_SPACE = re.compile(r" (?!\S)")
-_WORD_STARTS = re.compile(r"(?= \S)")
-#: Letters, and marks of ASCII behind them: none that begins a contraction or a special token.
-_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
-_SPACED_WORD = re.compile(r"( [^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
+#: White space behind white space; and places before a space that a word follows.
+_WHITE_RUN, _WORD_STARTS = re.compile(r"\s\s"), re.compile(r"(?= \S)")
+#: Letters, a space before them or not, and marks of ASCII behind them: none that begins a contraction or a special token.
+_WORD = re.compile(r"( ?[^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
 #: How vocabularies write the space before a word and the end of a word: fixed values.
 _SPACE, _WORD_END = "Ġ", "</w>"
 
 
+def _stays_word(word: str) -> bool:
+    """Whether the word is letters alone after normalisation too; else it would grow together with the marks behind it."""
+    return word.isascii() or unicodedata.normalize("NFC", word.lower()).strip().isalpha()
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as one call of the tokenizer on the whole text gives.
 
     ``joined`` tokenizers (byte level, a word holds the space before it) never join across the place before a space
-    that a word follows; others, which drop white space, never across a space or line end. Texts are cut there and the
-    cuts are encoded once each, as most words come again and again.
+    that a word follows, nor around a line end between words; others, which drop white space, never across a space or line
+    end. Texts are cut there and the cuts are encoded once each, as most words come again and again.
     """
 
     def __init__(self, path: str, joined: bool):
@@ -35,45 +39,56 @@ class Encoder:
         self.tokenizer, self.joined = Tokenizer.from_file(path), joined
         self.known: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        # Where A-Z are the same to the tokenizer as a-z, words are remembered once. "<" may begin a special token.
+        self.folds = all((self._ids(chr(c)) == self._ids(chr(c + 32))).all() for c in range(65, 91))
         # Tokens that begin a word with its space, or else that end a word.
+        self.line_end = int(self._ids("\n")[0]) if joined else -1
         vocabulary = self.tokenizer.get_vocab()
         self.edges = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edges[[i for t, i in vocabulary.items() if (t.startswith(_SPACE) if joined else t.endswith(_WORD_END))]] = True
 
     def _cuts(self, text: str) -> list[str]:
+        if self.folds and "<" not in text:
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
         if not self.joined:
             return text.replace("\n", " ").split(" ")
-        if _LOOSE_SPACE.search(text):
+        if _WHITE_RUN.search(text):
             return _WORD_STARTS.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+        # A line end between words is a token by itself, and the word behind it stands alone.
+        out: list[str] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out += ["\n", first] if out else [first]
+            out += [" " + word for word in rest]
+        return out
 
     def _learn(self, cuts: list[str]) -> None:
         """Encode new stretches. Plain words go through the tokenizer together, as the words of one text."""
-        known, plain, other, marked = self.known, [], [], []
-        form = _SPACED_WORD if self.joined else _WORD
+        known, other, marked = self.known, [], []
+        spaced, bare = [], []
         for cut in cuts:
-            found = form.fullmatch(cut)
-            if not found:
+            if cut.isalpha():
+                bare.append(cut)
+                continue
+            found = _WORD.fullmatch(cut)
+            if not found or not self.joined and cut[0] == " ":
                 other.append(cut)
             elif not found[2]:
-                plain.append(cut)
+                spaced.append(cut)
+            elif not _stays_word(found[1]):
+                other.append(cut)
             else:
                 marked.append((cut, *found.groups()))
-        plain += {word for _, word, _ in marked if word not in known}.difference(plain)
-        for start in range(0, len(plain), AT_ONCE):
-            some = plain[start : start + AT_ONCE]
-            ids = self._ids(("" if self.joined else " ").join(some))
-            # Where one word ends and the next begins shows in the tokens.
-            ends = np.nonzero(self.edges[ids])[0]
-            ends = np.append(ends[1:], len(ids)) if self.joined else ends + 1
-            if len(ends) == len(some) and (ends[-1] == len(ids)):
-                flat, first = ids.tobytes(), 0
-                for cut, end in zip(some, (4 * ends).tolist(), strict=True):
-                    known[cut] = flat[first:end]
-                    first = end
-            else:
-                other += some
+        for word in {word for _, word, _ in marked if word not in known}.difference(spaced, bare):
+            (spaced if word[0] == " " else bare).append(word)
+        for words, between in ((spaced, ""), (bare, "\n" if self.joined else " ")):
+            for start in range(0, len(words), AT_ONCE):
+                some = words[start : start + AT_ONCE]
+                pieces = self._apart(self._ids(between.join(some)), between)
+                if len(pieces) == len(some):
+                    known.update(zip(some, pieces, strict=True))
+                else:
+                    other += some
         for start in range(0, len(other), 4096):
             some = other[start : start + 4096]
             for cut, out in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
@@ -84,6 +99,19 @@ class Encoder:
                 self.marks[marks] = self._ids(marks).tobytes()
             known[cut] = known[word] + self.marks[marks]
 
+    def _apart(self, ids: np.ndarray, between: str) -> list[bytes]:
+        """The ids of words that were encoded as one text; the wrong number of pieces if some word is not one piece."""
+        flat = ids.tobytes()
+        if between == "\n":  # a token between two words
+            ends = np.nonzero(ids == self.line_end)[0]
+            starts, ends = np.append(0, ends + 1), np.append(ends, len(ids))
+        else:  # a token that begins or ends each word
+            edges = np.nonzero(self.edges[ids])[0]
+            starts, ends = (edges, np.append(edges[1:], len(ids))) if self.joined else (np.append(0, edges[:-1] + 1), edges + 1)
+            if not len(edges) or starts[0] or ends[-1] != len(ids):
+                return []
+        return [flat[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
