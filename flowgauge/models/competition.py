@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowgauge.models.estimators import DAILY_CANDIDATES, SLOT_CANDIDATES, Candidate
 from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_feature_columns, slot_features
 from flowgauge.operators.rows import for_stations
-from flowgauge.operators.sampling import contiguous_folds, with_test_flag
+from flowgauge.operators.sampling import contiguous_folds, with_test_flag, with_time_test_flag
 from flowgauge.operators.stats import best_model, fold_summary, regression_metrics
 
 Result = TypeVar("Result")
@@ -63,20 +63,18 @@ def predict(df: DataFrame, model: Transformer, name: str = "prediction") -> Data
     return model.transform(df).select(*[F.col(c) for c in df.columns], F.col("prediction").alias(name))
 
 
-def slot_training_table(flow: DataFrame, stations: list[int]) -> DataFrame:
+def slot_training_table(flow: DataFrame, stations: list[int], onehot: list[str] | None = None) -> DataFrame:
     """Flow of the target stations with their features."""
-    return slot_features(for_stations(flow, stations), stations)
+    return slot_features(for_stations(flow, stations), stations, onehot=onehot)
 
 
-def _training_rows(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """The rows in as many sorted partitions as their number is worth.
+def _training_rows(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """The rows in a stated number of partitions, dealt by key and sorted.
 
-    A fit runs a job per tree level over all partitions, and a filtered flow table comes in
-    many, most of them empty. The order makes a seeded fit repeatable.
+    A forest draws its samples per partition. With partitions that depend on the keys alone, a
+    seeded fit is the same on any number of cores.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(slots, -(-rows // 2_000)), -(-rows // 100_000), 1)
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def fit_slot_models(
@@ -85,23 +83,37 @@ def fit_slot_models(
     candidates: dict[str, Candidate] | None = None,
     test_share: float = 0.2,
     seed: int = 42,
+    split: str = "random",
+    onehot: list[str] | None = None,
+    training_partitions: int = 4,
 ) -> Fitted:
     """Weekday and weekend models of entries and of exits; least squared error on held-out rows wins.
 
-    The training table is kept while the models are fitted. What comes back to the driver are
-    the scores, one row per candidate.
+    ``split="random"`` holds out ``test_share`` of each day type's rows by a digest of their
+    keys, ``split="time"`` those from the first slot on that leaves at most that share after
+    it. ``onehot`` names further features that get one 0/1 column per value.
+
+    The training table is kept while the models are fitted, in ``training_partitions``
+    partitions: raise it for long histories of many stations, but keep it the same for results
+    that shall agree. What comes back to the driver are the scores, one row per candidate.
     """
+    if split not in ("random", "time"):
+        raise ValueError("split must be 'random' or 'time'")
     candidates = candidates or SLOT_CANDIDATES
     spark = flow.sparkSession
-    features = slot_feature_columns(stations)
-    table = slot_training_table(flow, stations).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["isWeekend"]: r["count"] for r in table.groupBy("isWeekend").count().collect()}
-    day_types = {name: flag for name, flag in DAY_TYPES.items() if flag in sizes}
+    features = slot_feature_columns(stations, onehot)
+    table = slot_training_table(flow, stations, onehot).persist(StorageLevel.MEMORY_AND_DISK)
+    present = {r["isWeekend"] for r in table.select("isWeekend").distinct().collect()}
+    day_types = {name: flag for name, flag in DAY_TYPES.items() if flag in present}
     keys = ["stationID", "startTime"]
     rows = {}
     for name, flag in day_types.items():
-        flagged = with_test_flag(table.where(F.col("isWeekend") == flag), keys, test_share, seed)
-        rows[name] = _training_rows(flagged, keys, sizes[flag]).persist(StorageLevel.MEMORY_AND_DISK)
+        own = table.where(F.col("isWeekend") == flag)
+        if split == "time":
+            flagged = with_time_test_flag(own, "startTime", test_share)
+        else:
+            flagged = with_test_flag(own, keys, test_share, seed)
+        rows[name] = _training_rows(flagged, keys, training_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         work = {
             (day_type, target, model): functools.partial(

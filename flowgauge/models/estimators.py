@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCALED = "_z"
+RIDGE = 1e-8
 
 
 def _scaling(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, tuple[float, float]]]:
@@ -119,14 +120,13 @@ def scaled_pipeline(features: list[str], regressor: Estimator) -> Pipeline:
 
 
 def linear(features: list[str], label: str) -> Pipeline:
-    """Ordinary least squares with intercept, on scaled features."""
-    return scaled_pipeline(features, LinearRegression(labelCol=label, regParam=0.0))
+    """Least squares with intercept on scaled features, whatever their rank.
 
-
-def weighted_line(features: list[str], label: str, weight: str) -> Pipeline:
-    """Ordinary least squares on the features as they are, for rows that stand for several."""
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return Pipeline(stages=[assembler, LinearRegression(labelCol=label, weightCol=weight, solver="normal")])
+    Calendar features depend on each other: within a month the day is fixed by week and weekday.
+    A ridge of ``RIDGE`` picks, of all least squares lines, the one of least weights, and keeps
+    the normal equations solvable in one pass.
+    """
+    return scaled_pipeline(features, LinearRegression(labelCol=label, regParam=RIDGE, solver="normal"))
 
 
 class ForestModel(RandomForestRegressionModel):
@@ -169,7 +169,7 @@ def random_forest(
 
 Candidate = Callable[[list[str], str], Estimator]
 
-# In the order in which ties are decided. Spark's trees stop at depth 30, which is beyond what
+# Kinds and settings are fixed values, in the order in which ties are decided. Spark's trees stop at depth 30, which is beyond what
 # hour, minute, weekday and a station flag can be split into.
 SLOT_CANDIDATES: dict[str, Candidate] = {
     "rbf_rff": lambda features, label: KernelRegression(features, label),

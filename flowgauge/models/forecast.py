@@ -23,17 +23,22 @@ def forecast_slots(
     days: int,
     station_columns: list[int],
     step: str = "10 minutes",
+    day_types: list[str] | None = None,
+    onehot: list[str] | None = None,
 ) -> DataFrame:
     """Entries and exits for every station and slot of ``days`` days from ``base`` on.
 
     All slots of a day type are scored together, by its entry model and then its exit model.
-    Counts are rounded half to even and never negative.
+    Counts are rounded half to even and never negative. Both models of every day type must be
+    there; ``day_types`` limits the forecast to some.
     """
-    grid = slot_features(slot_grid(stations, base, days, step), station_columns)
+    wanted = list(DAY_TYPES) if day_types is None else day_types
+    missing = [(day_type, target) for day_type in wanted for target in TARGETS if (day_type, target) not in models]
+    if missing:
+        raise ValueError(f"no model for {missing}")
+    grid = slot_features(slot_grid(stations, base, days, step), station_columns, onehot=onehot)
     parts = []
-    for day_type, flag in DAY_TYPES.items():
-        if (day_type, TARGETS[0]) not in models:
-            continue
+    for day_type, flag in ((name, DAY_TYPES[name]) for name in wanted):
         scored = grid.where(F.col("isWeekend") == flag)
         for target in TARGETS:
             scored = predict(scored, models[(day_type, target)], f"_{target}")

@@ -17,15 +17,34 @@ DAILY_FEATURES = [
 ]
 
 
-def slot_feature_columns(stations: list[int]) -> list[str]:
-    return SLOT_BASE + [f"station_{s}" for s in stations]
+# Feature names are fixed values.
+# The values that a feature can take, for its 0/1 columns.
+ONEHOT_VALUES = {"hour": range(24), "minute": range(60), "weekday": range(7)}
 
 
-def slot_features(flow: DataFrame, stations: list[int], time: str = "startTime") -> DataFrame:
+def slot_feature_columns(stations: list[int], onehot: list[str] | None = None) -> list[str]:
+    """Names in the order in which a model takes them; a one-hot feature is replaced by its columns."""
+    wide = onehot or []
+    unknown = set(wide) - set(ONEHOT_VALUES)
+    if unknown:
+        raise ValueError(f"no one-hot columns for {sorted(unknown)}")
+    base = [c for name in SLOT_BASE for c in ([f"{name}_{v}" for v in ONEHOT_VALUES[name]] if name in wide else [name])]
+    return base + [f"station_{s}" for s in stations]
+
+
+def slot_features(
+    flow: DataFrame, stations: list[int], time: str = "startTime", onehot: list[str] | None = None
+) -> DataFrame:
     """Add hour, minute, weekday, weekend flag and one 0/1 column per given station.
 
-    All given stations keep their column; any other station has zeros only.
+    All given stations keep their column; any other station has zeros only. ``onehot`` adds
+    one 0/1 column per value of the named features.
     """
+    wide = {f"{name}_{v}": (F.col(name) == v).cast("int") for name in onehot or [] for v in ONEHOT_VALUES[name]}
+    return _slot_calendar(flow, stations, time).withColumns(wide) if wide else _slot_calendar(flow, stations, time)
+
+
+def _slot_calendar(flow: DataFrame, stations: list[int], time: str) -> DataFrame:
     return flow.withColumns(
         {
             "date": F.to_date(time),

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import monday_weekday
 
-# Beyond this many ids a filter is better written as a join than as a list in the plan.
-MAX_LITERAL_IDS = 500
-
 
 def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Drop the columns that exist; absent names are no error."""
@@ -38,14 +35,11 @@ def with_direction_flags(df: DataFrame, status: str = "status") -> DataFrame:
 def for_stations(df: DataFrame, ids: list[int] | DataFrame, station: str = "stationID") -> DataFrame:
     """Rows of the given stations. ``ids`` is a list, or a table with the station column for many ids.
 
-    A list reaches the scan as a pushed filter. A table becomes a semi-join, whose strategy
-    follows from the table's size.
+    A list always reaches the scan as a pushed filter. A table always becomes a semi-join, whose
+    strategy follows from the table's size.
     """
     if isinstance(ids, DataFrame):
         return df.join(ids.select(station).distinct(), station, "left_semi")
-    if len(ids) > MAX_LITERAL_IDS:
-        table = df.sparkSession.createDataFrame([(int(i),) for i in ids], f"{station} bigint")
-        return df.join(table.distinct(), station, "left_semi")
     return df.where(F.col(station).isin(*ids))
 
 

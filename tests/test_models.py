@@ -1,5 +1,7 @@
 import math
 
+
+import numpy as np
 import pytest
 from conftest import at, day, rows_of
 from pyspark.ml import PipelineModel
@@ -13,8 +15,9 @@ from flowgauge.models.competition import (
     predict,
     save_models,
 )
-from flowgauge.models.estimators import KernelRegression, PopulationScaler, linear, random_forest, weighted_line
+from flowgauge.models.estimators import KernelRegression, PopulationScaler, linear, random_forest
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
+from flowgauge.operators.features import DAILY_FEATURES, daily_features
 from flowgauge.operators.stats import regression_metrics
 from flowgauge.plans.report import build_report
 from flowgauge.session import scratch_path
@@ -72,12 +75,24 @@ def test_linear_recovers_a_line(spark):
     assert r2(predict(df, linear(["a", "b"], "y").fit(df))) == pytest.approx(1)
 
 
-def test_weighted_line_equals_the_line_through_all_rows(spark):
-    cells = spark.createDataFrame([(0, 1.0, 3.0), (1, 4.0, 1.0), (2, 2.0, 2.0)], "x int, y double, w double")
-    fit = weighted_line(["x"], "y", "w").fit(cells).stages[-1]
-    expanded = cells.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))))
-    slope, intercept = expanded.agg(F.regr_slope("y", "x"), F.regr_intercept("y", "x")).first()
-    assert (fit.coefficients[0], fit.intercept) == pytest.approx((slope, intercept))
+def test_linear_of_dependent_columns_is_the_exact_solution(spark, daily):
+    """Recursive days of the line of least weights, solved outside of Spark on scaled features."""
+    table = daily_features(daily)
+    rows = table.orderBy("date").collect()
+    predictions = {}
+    for target in ("inNums", "outNums"):
+        model = linear(DAILY_FEATURES, target).fit(table)
+        x = np.array([[float(r[c]) for c in DAILY_FEATURES] for r in rows])
+        mean, std = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1)
+        z, y = (x - mean) / std, np.array([float(r[target]) for r in rows])
+        assert np.linalg.matrix_rank(z) < len(DAILY_FEATURES)
+        weights = np.linalg.lstsq(z, y - y.mean(), rcond=1e-9)[0]
+        exact = z @ weights + y.mean()
+        got = [r["prediction"] for r in predict(table, model).orderBy("date").collect()]
+        assert got == pytest.approx(exact.tolist(), abs=0.5)
+        predictions[target] = model
+    first = forecast_recursive(daily, model_predictor(predictions), 6).orderBy("date").first()
+    assert (first["inNums"], first["outNums"]) == (1_128_473, 1_127_295)
 
 
 def test_kernel_regression_beats_the_line_on_a_wave(wave):
@@ -178,10 +193,38 @@ def test_slot_forecast(spark, flow, slot_models):
     assert again.exceptAll(out).isEmpty() and out.exceptAll(again).isEmpty()
 
 
-def test_weekdays_only(flow):
+def test_weekdays_only(spark, flow):
     weekdays = flow.where(F.weekday(F.to_date("startTime")) < 5)
     fitted = fit_slot_models(weekdays, [10, 12], {"linear": linear})
     assert set(fitted.models) == {("weekday", "inNums"), ("weekday", "outNums")}
+    stations = spark.createDataFrame([(10,)], "stationID long")
+    base = F.lit(day("2024-01-26"))
+    with pytest.raises(ValueError, match="weekend"):
+        forecast_slots(fitted.models, stations, base, 5, [10, 12])
+    some = forecast_slots(fitted.models, stations, base, 5, [10, 12], day_types=["weekday"])
+    assert some.count() == 3 * 144
+
+
+def test_slot_fits_do_not_depend_on_the_cores(flow):
+    """The same rows in other partitions give the same scores; no tree reaches Spark's limit of depth."""
+    quick = {"forest": lambda features, label: random_forest(features, label, trees=5, depth=30)}
+    boards = []
+    for parts in (1, 3, 7):
+        fitted = fit_slot_models(flow.repartition(parts), [10, 12], quick)
+        boards.append(rows_of(fitted.leaderboard))
+    assert boards[0] == boards[1] == boards[2]
+    assert max(t.depth for m in fitted.models.values() for t in m.stages[-1].trees) < 30
+
+
+def test_split_by_time_and_one_hot(flow):
+    fitted = fit_slot_models(flow, [10, 12], {"linear": linear}, split="time", onehot=["hour"])
+    assert fitted.features[0] == "hour_0" and "hour" not in fitted.features and "minute" in fitted.features
+    board = {(r["day_type"], r["target"]): r for r in fitted.leaderboard.collect()}
+    assert board["weekday", "inNums"]["n"] == 3 * 144 * 2 and board["weekday", "inNums"]["r2"] > 0.5
+    with pytest.raises(ValueError):
+        fit_slot_models(flow, [10], {"linear": linear}, split="other")
+    with pytest.raises(ValueError):
+        fit_slot_models(flow, [10], {"linear": linear}, onehot=["day"])
 
 
 def test_daily_competition_and_recursive_forecast(spark, daily):
