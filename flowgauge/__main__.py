@@ -29,9 +29,13 @@ def main() -> None:
     slots.add_argument("base", type=datetime.date.fromisoformat)
     slots.add_argument("--days", type=int, default=5)
     slots.add_argument("--stations", type=int, nargs="*")
+    slots.add_argument("--split", default="random", choices=["random", "time"])
+    slots.add_argument("--onehot", nargs="*", choices=["hour", "minute", "weekday"])
     daily = job("daily-forecast")
     daily.add_argument("--horizon", type=int, default=6)
     daily.add_argument("--roll", default="frozen", choices=["frozen", "update"])
+    for sub in (slots, daily):
+        sub.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName(f"flowgauge {args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -41,11 +45,12 @@ def main() -> None:
         run_profiles(spark, args.source, args.out)
     elif args.job == "slot-forecast":
         fitted = run_slot_forecast(
-            spark, args.source, args.out, args.start, args.end, args.base, args.days, args.stations
-        )
+            spark, args.source, args.out, args.start, args.end, args.base, args.days, args.stations,
+            fmt=args.format, split=args.split, onehot=args.onehot,
+        )
         fitted.winners.show()
     else:
-        fitted = run_daily_forecast(spark, args.source, args.out, args.start, args.end, args.horizon, args.roll)
+        fitted = run_daily_forecast(spark, args.source, args.out, args.start, args.end, args.horizon, args.roll, fmt=args.format)
         fitted.winners.show()
 
 

@@ -29,8 +29,17 @@ def quality_audit(df: DataFrame) -> DataFrame:
     ``incomplete_rows`` and ``null_<column>`` are about it after the duplicates are gone, as
     cleaning sees it. ``clean_rows`` is what cleaning leaves.
     """
-    columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return audit_of_copies(with_copies(df))
+
+
+def with_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows and ``_copies``, how often each is there."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def audit_of_copies(copies: DataFrame) -> DataFrame:
+    """:func:`quality_audit` from the table of distinct rows."""
+    columns = [c for c in copies.columns if c != "_copies"]
     nulls = {c: F.col(c).isNull().cast("bigint") for c in columns}
     null_cells = sum(nulls.values(), F.lit(0).cast("bigint"))
 
@@ -47,6 +56,22 @@ def quality_audit(df: DataFrame) -> DataFrame:
     )
 
 
+def rollup_audit(swipes: DataFrame, station: str = "stationID", time: str = "time", status: str = "status") -> DataFrame:
+    """One row of counts: the swipes, those that a roll-up counts, and why others are left out.
+
+    A swipe with several faults counts for the first of: another status, no station, no time.
+    """
+    other = ~F.coalesce(F.col(status).isin(0, 1), F.lit(False))
+    no_station, no_time = F.col(station).isNull(), F.col(time).isNull()
+    return swipes.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~other & ~no_station & ~no_time).alias("counted"),
+        F.count_if(other).alias("other_status"),
+        F.count_if(~other & no_station).alias("no_station"),
+        F.count_if(~other & ~no_station & no_time).alias("no_time"),
+    )
+
+
 def unmapped(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Distinct ids that the name table does not know, a null id included.
 

@@ -11,16 +11,23 @@ from flowgauge.models.forecast import forecast_recursive, forecast_slots, model_
 from flowgauge.operators.features import daily_features
 from flowgauge.operators.flow import daily_totals, union_all
 from flowgauge.operators.lookup import with_station_label
-from flowgauge.operators.quality import missing_days, quality_audit, unmapped
-from flowgauge.operators.rows import boardings, drop_columns, for_stations
+from flowgauge.operators.quality import (
+    audit_of_copies,
+    drop_incomplete,
+    missing_days,
+    rollup_audit,
+    unmapped,
+    with_copies,
+)
+from flowgauge.operators.rows import boardings, drop_columns, for_stations, is_empty
 from flowgauge.operators.stats import describe_exact
-from flowgauge.plans.cleaning import clean_swipes
 from flowgauge.plans.profiles import date_label, line_hourly_curve, line_hourly_profile, line_station_profile
 from flowgauge.plans.report import build_report
 from flowgauge.plans.rollup import station_flow
 from flowgauge.sources.dims import line_dim, station_dim, target_label_dim
 from flowgauge.sources.fixed_values import TARGET_STATIONS, UNUSED_COLUMNS
-from flowgauge.sources.readers import read_days, read_flow, read_swipes
+from flowgauge.sources.readers import days_with_files, read_days, read_flow, read_swipes, skipped_files
+from flowgauge.sources.schemas import FLOW
 from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report
 
 
@@ -35,19 +42,28 @@ def run_rollup(
 ) -> DataFrame:
     """Roll the swipe files of a range of days up into a flow table; returns the days without any.
 
-    All days are one roll-up, so a station counts 0 on a day on which it has no swipe.
+    All days are one roll-up, so a station counts 0 on a day on which it has no swipe. Beside the
+    flow, in folders that readers pass over, stand the counts of swipes left out (``_audit``) and
+    the files left out (``_skipped``). The days are known from the files' paths.
     """
     swipes = read_days(spark, raw, start, end)
+    if is_empty(swipes):
+        raise ValueError(f"no swipes from {start} to {end} in {raw}")
     write_flow(station_flow(swipes, step), out, fmt)
-    return missing_days(swipes, start, end)
+    rollup_audit(swipes).write.mode("overwrite").parquet(f"{out}/_audit")
+    skipped_files(spark, raw, start, end).write.mode("overwrite").parquet(f"{out}/_skipped")
+    return missing_days(days_with_files(spark, raw), start, end)
 
 
 def run_profiles(spark: SparkSession, raw: str, out: str) -> None:
-    """Clean swipes and write the tables behind the station and hour charts, with their checks."""
-    swipes = read_swipes(spark, raw)
-    quality_audit(drop_columns(swipes, UNUSED_COLUMNS)).write.mode("overwrite").parquet(f"{out}/audit")
-    cleaned = clean_swipes(swipes).persist()
+    """Clean swipes and write the tables behind the station and hour charts, with their checks.
+
+    Rows and their copies are counted once; the audit and the cleaned rows both come from that.
+    """
+    counted = with_copies(drop_columns(read_swipes(spark, raw), UNUSED_COLUMNS)).persist()
     try:
+        audit_of_copies(counted).write.mode("overwrite").parquet(f"{out}/audit")
+        cleaned = drop_incomplete(counted.drop("_copies"))
         entered = boardings(cleaned)
         unmapped(entered, station_dim(spark), "stationID").write.mode("overwrite").parquet(f"{out}/unmapped_stations")
         unmapped(entered, line_dim(spark), "lineID").write.mode("overwrite").parquet(f"{out}/unmapped_lines")
@@ -57,7 +73,7 @@ def run_profiles(spark: SparkSession, raw: str, out: str) -> None:
         write_chart_feed(hourly, f"{out}/hours", ["lineName"])
         write_chart_feed(line_hourly_curve(hourly), f"{out}/curves", ["lineName"])
     finally:
-        cleaned.unpersist()
+        counted.unpersist()
 
 
 def run_slot_forecast(
@@ -71,6 +87,9 @@ def run_slot_forecast(
     stations: list[int] | None = None,
     step: str = "10 minutes",
     candidates: dict[str, Candidate] | None = None,
+    fmt: str = "parquet",
+    split: str = "random",
+    onehot: list[str] | None = None,
 ) -> Fitted:
     """Fit on the flow of ``start..end`` and forecast the slots of ``days`` days from ``base`` on.
 
@@ -78,13 +97,15 @@ def run_slot_forecast(
     and day.
     """
     stations = stations or TARGET_STATIONS
-    history = read_flow(spark, flow, start, end)
-    fitted = fit_slot_models(history, stations, candidates)
+    history = read_flow(spark, flow, start, end, fmt)
+    fitted = fit_slot_models(history, stations, candidates, split=split, onehot=onehot)
     fitted.leaderboard.write.mode("overwrite").parquet(f"{out}/leaderboard")
     save_models(fitted, f"{out}/models")
     known = for_stations(history, stations).select("stationID").distinct()
-    forecast = forecast_slots(fitted.models, known, F.lit(base), days, stations, step)
-    write_forecast(forecast, f"{out}/forecast")
+    scored = forecast_slots(fitted.models, known, F.lit(base), days, stations, step, onehot=onehot)
+    write_forecast(scored, f"{out}/forecast")
+    # Scored once: the description and the charts read what was written.
+    forecast = spark.read.schema(FLOW).option("header", True).csv(f"{out}/forecast")
     describe_exact(forecast, TARGETS).write.mode("overwrite").parquet(f"{out}/description")
     charts = with_station_label(forecast, F.broadcast(target_label_dim(spark))).withColumn("date", F.to_date("startTime"))
     write_chart_feed(charts, f"{out}/charts", ["stationID", "date"])
@@ -100,12 +121,15 @@ def run_daily_forecast(
     horizon: int = 6,
     roll: str = "frozen",
     candidates: dict[str, Candidate] | None = None,
+    fmt: str = "parquet",
 ) -> Fitted:
     """Fit on the daily totals of ``start..end`` and forecast the ``horizon`` days after.
 
-    Writes the report, the scores, the models and the chart table of actual and forecast days.
+    Writes the daily totals, the report, the scores, the models and the chart table of actual and
+    forecast days. The totals are made once; all that follows reads them.
     """
-    daily = daily_totals(read_flow(spark, flow, start, end))
+    daily_totals(read_flow(spark, flow, start, end, fmt)).write.mode("overwrite").parquet(f"{out}/daily")
+    daily = spark.read.parquet(f"{out}/daily")
     fitted = fit_daily_models(daily, candidates)
     fitted.leaderboard.write.mode("overwrite").parquet(f"{out}/leaderboard")
     save_models(fitted, f"{out}/models")

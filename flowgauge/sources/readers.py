@@ -1,24 +1,31 @@
 """Reading swipe files, flow tables and reports."""
 
 import datetime
+import functools
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.functions.numfns import number_from_thousands
 from flowgauge.sources.fixed_values import REPORT_COLUMNS
-from flowgauge.sources.schemas import BAD_RECORD, REPORT, SWIPE
+from flowgauge.sources.schemas import BAD_RECORD, FLOW, REPORT, SWIPE
 
+# What a swipe file must have to be rolled up.
+NEEDED = ("time", "stationID", "status")
 DATE_IN_PATH = r".*(\d{4}-\d{2}-\d{2})"
 
 
 def _csv_files(
-    spark: SparkSession, path: str | list[str], declared: T.StructType, recursive: bool = False
+    spark: SparkSession, path: str | list[str], declared: T.StructType, header: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Declared types in the order of the files' own header; other columns are text."""
-    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
-    header = reader.csv(path).columns
+    reader = spark.read.option("header", True)
+    header = header or reader.csv(path).columns
     types = {field.name: field.dataType for field in declared}
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     return (
@@ -51,13 +58,64 @@ def read_days(
 ) -> DataFrame:
     """Swipe files of a range of days, with the ``date`` that stands in each file's path.
 
-    ``record_2024-01-05.csv`` and ``day=2024-01-05/part-0.csv`` are both found. The filter is on
-    file metadata, so files outside the range are not opened. A day without a file simply has
-    no rows; ``missing_days`` reports it.
+    ``record_2024-01-05.csv`` and ``day=2024-01-05/part-0.csv`` are both found. Files of other days,
+    and files without a date in their path, are not opened. Columns are found by name in every
+    file: files are read together by header, and a column that some lack is null there. Files
+    that can't be read or lack a needed column are left out; ``skipped_files`` tells which and
+    why, and ``missing_days`` the days without rows.
     """
-    day = F.to_date(F.regexp_extract("_metadata.file_path", DATE_IN_PATH, 1))
-    files = _csv_files(spark, folder, declared, recursive=True)
-    return files.withColumn("date", day).where(F.col("date").between(F.lit(start), F.lit(end))).drop(BAD_RECORD)
+    day = F.try_to_date(F.regexp_extract("_metadata.file_path", DATE_IN_PATH, 1))
+    good: dict[tuple[str, ...], list[str]] = {}
+    for path, header, reason in _headers(spark, folder, start, end):
+        if not reason:
+            good.setdefault(header, []).append(path)
+    if not good:
+        fields = T.StructType([*declared.fields, T.StructField("date", T.DateType())])
+        return spark.createDataFrame([], fields)
+    parts = [_csv_files(spark, paths, declared, header).withColumn("date", day).drop(BAD_RECORD) for header, paths in good.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def skipped_files(spark: SparkSession, folder: str, start: datetime.date, end: datetime.date) -> DataFrame:
+    """``file`` and ``reason`` of the files that ``read_days`` leaves out, those of other days aside."""
+    rows = [(path.rsplit("/", 1)[-1], reason) for path, _, reason in _headers(spark, folder, start, end) if reason]
+    return spark.createDataFrame(rows, "file string, reason string")
+
+
+def days_with_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``date``: the days that stand in the paths of a folder's files. No file is opened."""
+    return _listed(spark, folder).where("date is not null").select("date").distinct()
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """``path`` and ``date`` of all files below a folder, from their metadata."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", F.try_to_date(F.regexp_extract("path", DATE_IN_PATH, 1)).alias("date"))
+
+
+def _headers(
+    spark: SparkSession, folder: str, start: datetime.date, end: datetime.date
+) -> list[tuple[str, tuple[str, ...], str]]:
+    """(path, header, why it is left out) of the files of a range of days and those without a day.
+
+    A file's header takes a job that reads its first line, several side by side: as many as the
+    range has files.
+    """
+    listed = _listed(spark, folder).where(F.col("date").isNull() | F.col("date").between(F.lit(start), F.lit(end)))
+
+    def look(file: Row) -> tuple[str, tuple[str, ...], str]:
+        if file["date"] is None:
+            return file["path"], (), "no date in its path"
+        try:
+            header = tuple(spark.read.option("header", True).csv(file["path"]).columns)
+        except (PySparkException, Py4JJavaError) as error:
+            return file["path"], (), f"unreadable: {type(error).__name__}"
+        lacking = [c for c in NEEDED if c not in header]
+        return file["path"], header, f"no column {', '.join(lacking)}" if lacking else ""
+
+    files = listed.orderBy("path").collect()
+    with ThreadPool(8) as pool:
+        return pool.map(inheritable_thread_target(spark)(look), files)
 
 
 def read_flow(
@@ -65,9 +123,14 @@ def read_flow(
     path: str,
     start: datetime.date | None = None,
     end: datetime.date | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
-    """A flow table written by ``write_flow``; a range of days reads only their partitions."""
-    df = spark.read.parquet(path)
+    """A flow table written by ``write_flow``, as Parquet or CSV; a range of days reads only their partitions."""
+    if fmt == "csv":
+        kinds = T.StructType([*FLOW.fields, T.StructField("date", T.DateType())])
+        df = spark.read.schema(kinds).option("header", True).csv(path)
+    else:
+        df = spark.read.parquet(path)
     if start is not None:
         df = df.where(F.col("date") >= F.lit(start))
     if end is not None:

@@ -50,6 +50,24 @@ def test_rollup_job(spark, raw, flow):
     assert {(r["date"], s): n for r in sums for s, n in ((1, r["i"]), (0, r["o"])) if n} == raw[1]
 
 
+def test_rollup_job_says_what_it_left_out(spark, raw, flow):
+    audit = spark.read.parquet(f"{flow}/_audit").first()
+    assert audit["rows"] == audit["counted"] == 14 * 300 and audit["other_status"] == 0
+    assert spark.read.parquet(f"{flow}/_skipped").isEmpty()
+    with pytest.raises(ValueError):
+        run_rollup(spark, raw[0], flow, day("2018-01-01"), day("2018-01-02"))
+
+
+def test_csv_from_rollup_to_report(spark, raw, flow, tmp_path):
+    table, out = str(tmp_path / "flow"), str(tmp_path / "out")
+    run_rollup(spark, raw[0], table, START, END, fmt="csv")
+    run_daily_forecast(spark, table, out, START, END, horizon=4, candidates={"linear": linear}, fmt="csv")
+    run_daily_forecast(spark, flow, f"{out}-parquet", START, END, horizon=4, candidates={"linear": linear})
+    assert rows_of(read_report(spark, f"{out}/report")) == rows_of(read_report(spark, f"{out}-parquet/report"))
+    run_slot_forecast(spark, table, f"{out}-slots", START, END, day("2019-01-26"), 5, candidates={"linear": linear}, fmt="csv", split="time")
+    assert spark.read.parquet(f"{out}-slots/leaderboard").count() == 4
+
+
 def test_profiles_job(spark, raw, tmp_path):
     out = str(tmp_path)
     run_profiles(spark, f"{raw[0]}/record_2019-01-02.csv", out)

@@ -1,15 +1,17 @@
 import datetime
 import glob
 
+import pytest
 from conftest import at, day, rows_of
 from pyspark.sql import functions as F
 
+from flowgauge.plans.profiles import line_station_profile
 from flowgauge.plans.rollup import station_flow
 from flowgauge.session import scratch_path
 from flowgauge.sources.events import event_swipes
-from flowgauge.sources.readers import read_days, read_flow, read_report, read_swipes
+from flowgauge.sources.readers import read_days, read_flow, read_report, read_swipes, skipped_files
 from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report
-from flowgauge.streaming.flow_stream import flow_stream, run_available
+from flowgauge.streaming.flow_stream import flow_stream, late_swipes, run_available, with_open_slots
 
 REPORT = "`日期` string, `星期` string, `进站人数` string, `出站人数` string, `数据类型` string"
 
@@ -48,6 +50,75 @@ def test_days_come_from_file_names_and_only_those_files_are_read(spark, tmp_path
     assert scan.metrics().get("numFiles").get().value() == 2
 
 
+def test_a_folder_as_it_comes(spark, tmp_path):
+    """Stray files, other column orders, files that can't be read: the good days are read, the others are listed."""
+    write(tmp_path, "record_2019-01-01.csv", "time,stationID,status\n2019-01-01 08:00:00,1,1\n")
+    write(tmp_path, "record_2019-01-02.csv", "status,lineID,stationID,time\n0,B,2,2019-01-02 08:00:00\n")
+    write(tmp_path, "record_extra.csv", "time,stationID,status\n2019-01-01 08:00:00,9,1\n")
+    write(tmp_path, "notes_2019-01-03.csv", "to do\nbuy milk\n")
+    (tmp_path / "record_2019-01-04.csv.gz").write_bytes(b"this is no gzip")
+    write(tmp_path, "record_2019-02-30.csv", "time,stationID,status\n2019-01-01 08:00:00,9,1\n")
+    write(tmp_path, "record_2018-01-01.csv", "nothing\n")
+    span = (day("2019-01-01"), day("2019-01-31"))
+    got = read_days(spark, str(tmp_path), *span).select("date", "time", "lineID", "stationID", "status")
+    assert rows_of(got) == sorted(
+        [(day("2019-01-01"), at("2019-01-01 08:00:00"), None, 1, 1), (day("2019-01-02"), at("2019-01-02 08:00:00"), "B", 2, 0)], key=str
+    )
+    skipped = dict(rows_of(skipped_files(spark, str(tmp_path), *span)))
+    assert set(skipped) == {"record_extra.csv", "notes_2019-01-03.csv", "record_2019-01-04.csv.gz", "record_2019-02-30.csv"}
+    assert skipped["record_extra.csv"] == "no date in its path" and skipped["notes_2019-01-03.csv"].startswith("no column")
+    assert skipped["record_2019-01-04.csv.gz"].startswith(("unreadable", "no column"))
+    none = read_days(spark, str(tmp_path), day("2020-01-01"), day("2020-01-31"))
+    assert none.isEmpty() and "date" in none.columns
+
+
+def test_written_rows_are_in_order(spark):
+    """Sorted sinks: files in the order of their numbers, and rows in the files."""
+    flow = spark.range(500).selectExpr(
+        "pmod(id * 7919, 10) AS stationID", "TIMESTAMP_NTZ'2019-01-26 00:00:00' + make_dt_interval(0, 0, pmod(id * 31, 500)) AS startTime",
+        "TIMESTAMP_NTZ'2019-01-26 00:00:00' AS endTime", "1L AS inNums", "2L AS outNums",
+    ).repartition(7)
+    path = scratch_path(spark, "ordered")
+    write_forecast(flow, path)
+    lines = [line.split(",")[:2] for f in sorted(glob.glob(f"{path}/*.csv")) for line in open(f).read().splitlines()[1:]]
+    assert len(lines) == 500 and lines == sorted(lines, key=lambda x: (int(x[0]), x[1]))
+
+
+def test_profiles_are_in_order(spark, small):
+    by_name = [(r["lineName"], r["station_order"]) for r in line_station_profile(event_swipes(spark, small)).collect()]
+    by_id = [(r["lineName"], r["station_order"]) for r in line_station_profile(event_swipes(spark, small), order="by_id").collect()]
+    assert by_name == sorted(by_name) and by_id == sorted(by_id) and len(by_name) > 5
+
+
+def test_flow_from_csv(spark, small):
+    flow = station_flow(event_swipes(spark, small))
+    path = scratch_path(spark, "flow")
+    write_flow(flow, path, "csv")
+    again = read_flow(spark, path, day("2024-01-05"), day("2024-01-06"), fmt="csv")
+    assert dict(again.dtypes)["startTime"] == "timestamp_ntz" and again.count() == 15 * 2 * 144
+    assert read_flow(spark, path, fmt="csv").drop("date").exceptAll(flow).isEmpty()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def __init__(self, **values):
+            self.values = {k.replace("_", "."): v for k, v in values.items()}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf(**values)
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Session(spark_master="spark://host:7077"), "x")
+    with pytest.raises(RuntimeError):
+        scratch_path(Session(spark_master="local-cluster[2,1,1024]"), "x")
+    shared = Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"})
+    assert scratch_path(shared, "x").startswith("hdfs:///shared/flowgauge/x-")
+
+
 def test_flow_table_round_trip_prunes_days(spark, small):
     flow = station_flow(event_swipes(spark, small))
     path = scratch_path(spark, "flow")
@@ -122,3 +193,12 @@ def test_stream_closes_slots_as_batch_counts_them_and_resumes(spark, tmp_path):
     assert run() == [slot(0, 1, 2, 1)]
     arrive("two", [(33, 1, 1), (70, 2, 1)])
     assert run() == sorted([slot(0, 1, 2, 1), slot(30, 1, 2, 0)], key=str)
+    # The end of the stream: a swipe of the first slot comes too late; open slots come from the batch roll-up.
+    arrive("three", [(4, 1, 1), (95, 1, 0)])
+    closed = run()
+    assert slot(0, 1, 2, 1) in closed and slot(90, 1, 0, 1) not in closed
+    swipes = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(str(folder))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    done = rows_of(with_open_slots(written, swipes))
+    assert done == sorted([slot(0, 1, 2, 1), slot(30, 1, 2, 0), slot(70, 2, 1, 0), slot(90, 1, 0, 1)], key=str)
+    assert rows_of(late_swipes(written, swipes)) == [(1, base, 1)]
