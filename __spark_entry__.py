@@ -5,22 +5,17 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowgauge.functions.timefns import bucket, date_text
-from flowgauge.models.competition import (
-    TARGETS,
-    fit_all,
-    fit_daily_models,
-    fit_slot_models,
-)
-from flowgauge.models.estimators import weighted_line
+from flowgauge.functions.timefns import bucket, date_text, parse_time, time_text, two_digits
+from flowgauge.models.competition import TARGETS, fit_daily_models, fit_slot_models
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
 from flowgauge.operators.features import daily_features, slot_features, standardize
-from flowgauge.operators.flow import daily_totals, merge_directions
+from flowgauge.operators.flow import daily_totals, merge_directions, union_all
 from flowgauge.operators.lookup import with_line_name, with_station_label, with_station_name
-from flowgauge.operators.quality import missing_days, quality_audit, unmapped
+from flowgauge.operators.quality import missing_days, quality_audit, rollup_audit, unmapped
 from flowgauge.operators.rows import (
     align_columns,
     boardings,
@@ -36,7 +31,7 @@ from flowgauge.operators.rows import (
 )
 from flowgauge.operators.sampling import contiguous_folds, split_hash, with_test_flag
 from flowgauge.operators.series import calendar_spine, flow_by_slot, linspace_grid, slot_grid
-from flowgauge.operators.stats import describe_exact, regression_metrics, tail_mean
+from flowgauge.operators.stats import best_model, describe_exact, fold_summary, regression_metrics, tail_mean
 from flowgauge.plans.cleaning import clean_swipes
 from flowgauge.plans.profiles import (
     date_label,
@@ -65,7 +60,7 @@ from flowgauge.sources.fixed_values import (
 )
 from flowgauge.sources.readers import read_days, read_flow, read_report, read_swipes
 from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report, write_swipes
-from flowgauge.streaming.flow_stream import flow_stream, run_available, stream_parquet
+from flowgauge.streaming.flow_stream import flow_stream, run_available, stream_parquet, with_open_slots
 
 HORIZON_DAYS = 5
 RECURSIVE_DAYS = 6
@@ -76,6 +71,15 @@ ENTRY_LINE = {"": 1.0, "prev_day_in": 0.5, "rolling_mean_in_7d": 0.25, "isWeeken
 EXIT_LINE = {"": 0.5, "prev_day_out": 0.75, "rolling_mean_out_7d": 0.125, "dayOfWeek": 0.25}
 
 
+# The same for slots, as SQL that both engines read alike.
+SLOT_LINES = {
+    ("weekday", "inNums"): "0.5 + 0.25 * hour - 0.125 * weekday",
+    ("weekday", "outNums"): "4.0 - 0.5 * hour + 0.0625 * minute",
+    ("weekend", "inNums"): "2.5 + 0.5 * station_10",
+    ("weekend", "outNums"): "0.25 * weekday - 0.03125 * minute",
+}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Dense entries and exits per station and ten minutes."""
     return _station_flow(spark, "/root/testdata/sf0.001")
@@ -88,6 +92,13 @@ def _station_flow(spark: SparkSession, sf: str) -> DataFrame:
     return station_flow(event_swipes(spark, sf))
 
 
+def _kept_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """The dense table, made once and written, for queries that read it several times."""
+    path = scratch_path(spark, "flow")
+    _station_flow(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _raw_dirty(spark: SparkSession, sf: str) -> DataFrame:
     return drop_columns(event_swipes_dirty(spark, sf), UNUSED_COLUMNS)
 
@@ -132,6 +143,31 @@ def read_days_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_days(spark, path, first, last).select("date", "time", "lineID", "stationID", "status")
 
 
+def read_days_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder as it comes: days with their columns in another order, a file without a day, one that is no swipe file."""
+    path = scratch_path(spark, "mixed")
+    swipes = event_swipes(spark, sf).select("time", "lineID", "stationID", "status").withColumn("day", F.to_date("time"))
+    odd = F.dayofmonth("day") % 2 == 1
+
+    def put(df: DataFrame, folder: str) -> None:
+        df.hint("rebalance", F.col("day")).write.partitionBy("day").option("header", True).option(
+            "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
+        ).csv(f"{path}/{folder}")
+
+    put(swipes.where(odd), "first")
+    put(swipes.where(~odd).select("status", "stationID", "time", "lineID", "day"), "second")
+    put(swipes.select(F.col("stationID").alias("station"), "day").distinct(), "third")
+    swipes.drop("day").limit(10).write.option("header", True).csv(f"{path}/extra")
+    first, last = datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)
+    return read_days(spark, path, first, last).select("date", "time", "lineID", "stationID", "status")
+
+
+def flow_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "flow")
+    write_flow(_station_flow(spark, sf), path, "csv")
+    return read_flow(spark, path, fmt="csv")
+
+
 def flow_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "flow")
     write_flow(_station_flow(spark, sf), path)
@@ -191,6 +227,19 @@ def missing_station_days(spark: SparkSession, sf: str) -> DataFrame:
     return missing_days(days, first, last, keys=["stationID"])
 
 
+def parsed_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Times from text, some of which is none."""
+    text = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("at "), time_text("ts"))).otherwise(time_text("ts"))
+    return events_table(spark, sf).select("event_id", parse_time(text).alias("time"))
+
+
+def slot_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Swipes per slot of the day, the slot as zero-padded hours and minutes."""
+    slot = bucket("time", "10 minutes")
+    label = F.concat(two_digits(F.hour(slot)), F.lit(":"), two_digits(F.minute(slot)))
+    return event_swipes(spark, sf).groupBy(label.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- flow
 
 
@@ -237,14 +286,14 @@ def day_type_rows(spark: SparkSession, sf: str, part: int) -> DataFrame:
 
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["hour", "minute", "weekday", "station_10", "inNums"]
-    scaled = standardize(_all_slot_features(spark, sf), columns)
+    scaled = standardize(slot_features(_kept_flow(spark, sf), TARGET_STATIONS), columns)
     # Six decimals by floor, which costs a fraction of decimal rounding on this many rows.
     values = [(F.floor(F.col(f"{c}_z") * 1e6 + 0.5) / 1e6).alias(f"{c}_z") for c in columns]
     return scaled.select("stationID", "startTime", *values)
 
 
 def split_exact_query(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = with_test_flag(_station_flow(spark, sf), ["stationID", "startTime"])
+    flagged = with_test_flag(_kept_flow(spark, sf), ["stationID", "startTime"])
     return flagged.select("stationID", "startTime", "inNums", "outNums", "is_test")
 
 
@@ -257,29 +306,49 @@ def split_hash_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def regression_metrics_query(spark: SparkSession, sf: str) -> DataFrame:
     """Error of the station mean as a prediction, per station."""
-    flow = _station_flow(spark, sf)
-    means = flow.groupBy("stationID").agg(F.avg("inNums").alias("prediction"))
-    scores = regression_metrics(flow.join(means, "stationID"), "inNums", "prediction", ["stationID"])
+    mean = F.avg("inNums").over(Window.partitionBy("stationID"))
+    guessed = _station_flow(spark, sf).withColumn("prediction", mean)
+    scores = regression_metrics(guessed, "inNums", "prediction", ["stationID"])
     return _rounded(scores, 8, "mse", "rmse", "r2")
 
 
 def linear_trend(spark: SparkSession, sf: str) -> DataFrame:
-    """Least squares lines of entries and exits on hour, minute and weekday, over all slots.
-
-    Slots with equal features and counts become one weighted row first, which gives the same
-    lines from a table that does not grow with stations or weeks.
-    """
-    features = ["hour", "minute", "weekday"]
+    """Least squares lines of entries and exits on hour, minute and weekday, over all slots, in one aggregation."""
     slots = slot_features(_station_flow(spark, sf), [])
-    cells = slots.groupBy(*features, *TARGETS).agg(F.count(F.lit(1)).cast("double").alias("weight")).persist()
-    try:
-        work = {(t, f): (weighted_line([f], t, "weight"), cells) for t in TARGETS for f in features}
-        fits = {key: model.stages[-1] for key, model in fit_all(spark, work).items()}
-    finally:
-        cells.unpersist()
-    lines = [(*key, float(fit.coefficients[0]), float(fit.intercept)) for key, fit in fits.items()]
-    df = spark.createDataFrame(lines, "target string, feature string, slope double, intercept double")
-    return _rounded(df, 8, "slope", "intercept")
+    lines = [
+        F.struct(
+            F.lit(target).alias("target"),
+            F.lit(feature).alias("feature"),
+            F.regr_slope(target, feature).alias("slope"),
+            F.regr_intercept(target, feature).alias("intercept"),
+        )
+        for target in TARGETS
+        for feature in ("hour", "minute", "weekday")
+    ]
+    rows = slots.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+    return _rounded(rows, 8, "slope", "intercept")
+
+
+def baseline_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
+    """Two plain predictions of a station's daily entries, scored on five folds: its mean and the mean of all stations,
+    both over the other folds."""
+    folded = contiguous_folds(_daily(spark, sf, ["stationID"]), "date")
+    scores = []
+    for place, (model, keys) in enumerate({"overall_mean": [], "station_mean": ["stationID"]}.items()):
+        cells = folded.groupBy(*keys, "fold").agg(F.sum("inNums").alias("s"), F.count(F.lit(1)).alias("n"))
+        every = Window.partitionBy(*keys)
+        rest = (F.sum("s").over(every) - F.col("s")) / (F.sum("n").over(every) - F.col("n"))
+        guessed = folded.join(cells.select(*keys, "fold", rest.alias("prediction")), [*keys, "fold"])
+        own = regression_metrics(guessed, "inNums", "prediction", ["fold"])
+        names = {"target": F.lit("inNums"), "model": F.lit(model), "place": F.lit(place)}
+        scores.append(own.withColumns(names))
+    summary = fold_summary(union_all(scores), ["target", "model", "place"])
+    return _rounded(summary, 6, "r2_mean", "r2_std", "rmse_mean", "rmse_std")
+
+
+def baseline_winner(spark: SparkSession, sf: str) -> DataFrame:
+    """The better of the two plain predictions by its mean R2."""
+    return best_model(baseline_leaderboard(spark, sf), "r2_mean", ["target"], "place", highest=True)
 
 
 # ---------------------------------------------------------------- forecasts
@@ -301,6 +370,15 @@ def forecast_slots_query(spark: SparkSession, sf: str) -> DataFrame:
     return forecast_slots(fitted.models, stations, _next_day(spark, sf), HORIZON_DAYS, TARGET_STATIONS)
 
 
+def forecast_slots_linear(spark: SparkSession, sf: str) -> DataFrame:
+    """The five days after the last swipe for all stations, by given lines in place of fitted models."""
+    models = {
+        (day_type, target): SQLTransformer(statement=f"SELECT *, {line} AS prediction FROM __THIS__")
+        for (day_type, target), line in SLOT_LINES.items()
+    }
+    return forecast_slots(models, _stations(spark, sf), _next_day(spark, sf), HORIZON_DAYS, TARGET_STATIONS)
+
+
 def daily_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """Mean and deviation of R2 and RMSE over five folds, per candidate."""
     return fit_daily_models(_daily(spark, sf)).leaderboard
@@ -347,12 +425,12 @@ def tail_mean_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_stream_query(spark: SparkSession, sf: str) -> DataFrame:
-    """The roll-up as a stream over the event file: the slots that the watermark has closed."""
+    """The roll-up as a stream over the event file: closed slots, and at its end those still open."""
     kinds = ", ".join(f"{name} {kind}" for name, kind in events_table(spark, sf).dtypes)
     events = stream_parquet(spark, sf, "events.parquet", kinds)
     path = scratch_path(spark, "stream")
     run_available(flow_stream(swipes_of_events(events)), f"{path}/flow", f"{path}/progress")
-    return spark.read.parquet(f"{path}/flow")
+    return with_open_slots(spark.read.parquet(f"{path}/flow"), event_swipes(spark, sf))
 
 
 def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
@@ -397,12 +475,17 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Sources and sinks
         "swipes_csv_roundtrip": swipes_csv_roundtrip,
         "read_days_roundtrip": read_days_roundtrip,
+        "read_days_mixed": read_days_mixed,
+        "flow_csv_roundtrip": flow_csv_roundtrip,
         "flow_parquet_roundtrip": flow_parquet_roundtrip,
         "forecast_csv_roundtrip": forecast_csv_roundtrip,
         "report_csv_roundtrip": report_csv_roundtrip,
         "chart_feed": chart_feed,
         # Cleaning, filters and lookups
         "clean_swipes": lambda spark, sf: clean_swipes(event_swipes_dirty(spark, sf)),
+        "rollup_audit": lambda spark, sf: rollup_audit(event_swipes_dirty(spark, sf)),
+        "parsed_times": parsed_times,
+        "slot_labels": slot_labels,
         "quality_audit": lambda spark, sf: quality_audit(_raw_dirty(spark, sf)),
         "valid_swipes": on_swipes(lambda df: with_direction_flags(valid_swipes(df))),
         "boardings": on_swipes(boardings),
@@ -418,8 +501,8 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_directions": merge_directions_query,
         "flow_group_bounds": on_swipes(lambda df: station_flow(df, bounds="group")),
         "calendar_spine": calendar_spine_query,
-        "target_stations": lambda spark, sf: for_stations(_station_flow(spark, sf), TARGET_STATIONS),
-        "named_station_flow": lambda spark, sf: for_stations(_station_flow(spark, sf), station_dim(spark)),
+        "target_stations": on_swipes(lambda df: station_flow(df, stations=TARGET_STATIONS)),
+        "named_station_flow": lambda spark, sf: station_flow(event_swipes(spark, sf), stations=station_dim(spark)),
         "day_slice": lambda spark, sf: day_slice(_station_flow(spark, sf), 10, datetime.date(2024, 1, 15)),
         "weekday_rows": lambda spark, sf: day_type_rows(spark, sf, 0),
         "weekend_rows": lambda spark, sf: day_type_rows(spark, sf, 1),
@@ -430,7 +513,7 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_hourly": on_swipes(line_hourly_counts),
         "line_hourly_smoothed": on_swipes(lambda df: _rounded(line_hourly_profile(df), 8, "count_smoothed")),
         "line_time_grid": on_swipes(lambda df: linspace_grid(line_hourly_counts(df), "lineName", "time")),
-        "line_hourly_spline": on_swipes(lambda df: line_hourly_curve(line_hourly_profile(df))),
+        "line_hourly_spline": on_swipes(lambda df: _rounded(line_hourly_curve(line_hourly_profile(df)), 6, "count_smoothed")),
         "date_label": on_swipes(lambda df: date_label(line_hourly_counts(df))),
         "date_label_by_day": date_label_by_day,
         # Daily tables
@@ -458,12 +541,15 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "folds": lambda spark, sf: contiguous_folds(_daily(spark, sf), "date"),
         "regression_metrics": regression_metrics_query,
         "linear_trend": linear_trend,
+        "baseline_leaderboard": baseline_leaderboard,
+        "baseline_winner": baseline_winner,
         # Models and forecasts
         "slot_leaderboard": slot_leaderboard,
         "daily_leaderboard": daily_leaderboard,
         "best_models": best_models,
         "forecast_grid": forecast_grid,
         "forecast_slots": forecast_slots_query,
+        "forecast_slots_linear": forecast_slots_linear,
         "recursive_linear": recursive_linear,
         "forecast_recursive": forecast_recursive_query,
         "report": report,
@@ -609,6 +695,66 @@ def _report_sql(extra: str = "") -> str:
     )
 
 
+def _slot_lines_sql() -> str:
+    def line(target: str) -> str:
+        weekday, weekend = SLOT_LINES["weekday", target], SLOT_LINES["weekend", target]
+        value = f"CASE WHEN weekday < 5 THEN {weekday} ELSE {weekend} END"
+        return f'greatest(CAST(round_even(CAST({value} AS DOUBLE), 0) AS BIGINT), 0) AS "{target}"'
+
+    return _with(
+        "swipes valid days stations",
+        f"""SELECT "stationID", "startTime", "startTime" + INTERVAL 10 MINUTE AS "endTime", {line("inNums")}, {line("outNums")}
+        FROM (SELECT "stationID", "startTime", hour("startTime") AS "hour", minute("startTime") AS "minute",
+            isodow("startTime") - 1 AS weekday, CAST("stationID" = 10 AS INTEGER) AS station_10
+            FROM stations CROSS JOIN (SELECT unnest(generate_series(first, first + INTERVAL {HORIZON_DAYS * 1440 - 10} MINUTE,
+            INTERVAL 10 MINUTE)) AS "startTime" FROM (SELECT max("day") + INTERVAL 1 DAY AS first FROM days)))""",
+    )
+
+
+def _baseline_sql(body: str) -> str:
+    def scores(model: str, place: int, key: str) -> str:
+        same = f'AND b."{key}" = a."{key}"' if key else ""
+        return f"""SELECT 'inNums' AS target, '{model}' AS model, {place} AS place, fold, avg((y - p) * (y - p)) AS mse, var_pop(y) AS v
+            FROM (SELECT fold, CAST("inNums" AS DOUBLE) AS y, (SELECT avg(b."inNums") FROM folded b WHERE b.fold <> a.fold {same}) AS p
+            FROM folded a) GROUP BY fold"""
+
+    steps = f"""folded AS MATERIALIZED (SELECT s.*, fold FROM station_daily s JOIN (SELECT "date", ntile(5) OVER (ORDER BY "date") - 1 AS fold
+            FROM (SELECT DISTINCT "date" FROM station_daily)) USING ("date")),
+        scores AS ({scores("overall_mean", 0, "")} UNION ALL {scores("station_mean", 1, "stationID")}),
+        rated AS (SELECT *, sqrt(mse) AS rmse, CASE WHEN v > 0 THEN 1 - mse / v WHEN mse = 0 THEN 1 ELSE 0 END AS r2 FROM scores),
+        summary AS (SELECT target, model, CAST(place AS INTEGER) AS place, round(avg(r2), 6) AS r2_mean, round(stddev_pop(r2), 6) AS r2_std,
+            round(avg(rmse), 6) AS rmse_mean, round(stddev_pop(rmse), 6) AS rmse_std FROM rated GROUP BY 1, 2, 3)"""
+    return _with(_STATION_DAILY, f", {steps} {body}")
+
+
+def _spline_sql(n: int = 300) -> str:
+    """The not-a-knot spline through hourly points: forward elimination and back substitution, a row a step."""
+    chain = f"""points AS MATERIALIZED (SELECT "lineName", "time", avg("count") OVER (PARTITION BY "lineName" ORDER BY "time"
+            ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS y, row_number() OVER (PARTITION BY "lineName" ORDER BY "time") - 1 AS i,
+            count(*) OVER (PARTITION BY "lineName") AS n FROM hourly),
+        knots AS MATERIALIZED (SELECT *, 6 * (lead(y) OVER w - 2 * y + lag(y) OVER w) AS r FROM points
+            WINDOW w AS (PARTITION BY "lineName" ORDER BY i)),
+        down("lineName", i, n, d, r) AS (SELECT "lineName", i, n, CAST(6 AS DOUBLE), r FROM knots WHERE i = 1
+            UNION ALL SELECT k."lineName", k.i, k.n, CASE WHEN k.i = k.n - 2 THEN 6 ELSE 4 - CASE WHEN k.i = 2 THEN 0 ELSE 1 END / p.d END,
+                CASE WHEN k.i = k.n - 2 THEN k.r ELSE k.r - p.r / p.d END
+            FROM down p JOIN knots k ON k."lineName" = p."lineName" AND k.i = p.i + 1 WHERE k.i <= k.n - 2),
+        up("lineName", i, m) AS (SELECT "lineName", i, r / d FROM down WHERE i = n - 2
+            UNION ALL SELECT q."lineName", q.i, (q.r - CASE WHEN q.i = 1 THEN 0 ELSE u.m END) / q.d
+            FROM up u JOIN down q ON q."lineName" = u."lineName" AND q.i = u.i - 1),
+        bends AS MATERIALIZED (SELECT "lineName", i, m FROM up
+            UNION ALL SELECT a."lineName", 0, 2 * a.m - b.m FROM up a JOIN up b ON a."lineName" = b."lineName" AND a.i = 1 AND b.i = 2
+            UNION ALL SELECT a."lineName", n - 1, 2 * a.m - b.m FROM up a JOIN (SELECT DISTINCT "lineName", n FROM points) USING ("lineName")
+                JOIN up b ON a."lineName" = b."lineName" AND a.i = n - 2 AND b.i = n - 3),
+        grid AS (SELECT "lineName", min("time") AS first, max(n) AS n, unnest(generate_series(0, {n - 1})) AS step FROM points GROUP BY 1),
+        spots AS (SELECT *, step * ((n - 1) / CAST({n - 1} AS DOUBLE)) AS x FROM grid),
+        cells AS (SELECT *, least(CAST(floor(x) AS BIGINT), n - 2) AS k FROM spots)"""
+    body = """SELECT c."lineName", c.first + to_microseconds(CAST(round(x * 3.6e9) AS BIGINT)) AS "time", round(
+        (k + 1 - x) * p.y + (x - k) * q.y + (((k + 1 - x) ** 3 - (k + 1 - x)) * a.m + ((x - k) ** 3 - (x - k)) * b.m) / 6, 6) AS count_smoothed
+        FROM cells c JOIN points p ON p."lineName" = c."lineName" AND p.i = k JOIN points q ON q."lineName" = c."lineName" AND q.i = k + 1
+        JOIN bends a ON a."lineName" = c."lineName" AND a.i = k JOIN bends b ON b."lineName" = c."lineName" AND b.i = k + 1"""
+    return _with(_HOURLY, body, chain)
+
+
 def _title_sql(first: str, last: str) -> str:
     return f"""CASE WHEN {first} = {last} THEN strftime({first}, '%Y-%m-%d') || ' (' || dayname({first}) || ')'
         ELSE '{MANY_DAYS_LABEL}' END AS title_date"""
@@ -628,12 +774,13 @@ def _scaled_sql() -> str:
         f'floor(("{c}" - "{c}_m") / CASE WHEN "{c}_s" > 0 THEN "{c}_s" ELSE 1 END * 1e6 + 0.5) / 1e6 AS "{c}_z"'
         for c in columns
     )
-    body = f'SELECT "stationID", "startTime", {scaled} FROM features CROSS JOIN (SELECT {stats} FROM features)'
+    body = f""", kept AS MATERIALIZED (SELECT * FROM features)
+        SELECT "stationID", "startTime", {scaled} FROM kept CROSS JOIN (SELECT {stats} FROM kept)"""
     return _with(f"{_FLOW} features", body)
 
 
 def flow_oracles() -> dict[str, str]:
-    """DuckDB statements. Left out: what is fitted, drawn by Spark's own hash, or a spline."""
+    """DuckDB statements. Left out: what is fitted."""
     raw = 'SELECT "time", "lineID", CAST("stationID" AS INTEGER) AS "stationID", status'
     ids = ", ".join(str(s) for s in TARGET_STATIONS)
     audit_nulls = ", ".join(
@@ -806,13 +953,35 @@ def flow_oracles() -> dict[str, str]:
         "flow_stream": _with(
             "swipes valid observed",
             """SELECT "stationID", "startTime", "startTime" + INTERVAL 10 MINUTE AS "endTime", "inNums", "outNums"
-            FROM observed WHERE "startTime" + INTERVAL 10 MINUTE
-            <= (SELECT max("time") FROM valid) - INTERVAL 10 MINUTE""",
+            FROM observed""",
+        ),
+        "read_days_mixed": _with("swipes", f'{raw}, CAST("time" AS DATE) AS "date" FROM swipes'),
+        "flow_csv_roundtrip": _with(_FLOW, 'SELECT *, CAST("startTime" AS DATE) AS "date" FROM flow'),
+        "rollup_audit": _with(
+            "dirty",
+            """SELECT count(*) AS "rows", count(*) FILTER (status IN (0, 1) AND "stationID" IS NOT NULL) AS counted,
+            count(*) FILTER (status NOT IN (0, 1)) AS other_status,
+            count(*) FILTER (status IN (0, 1) AND "stationID" IS NULL) AS no_station, CAST(0 AS BIGINT) AS no_time FROM dirty""",
+        ),
+        "parsed_times": """SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN date_trunc('second', ts) END AS "time" FROM events""",
+        "slot_labels": """SELECT strftime(time_bucket(INTERVAL 10 MINUTE, ts, TIMESTAMP '2000-01-01'), '%H:%M') AS slot,
+            count(*) AS n FROM events GROUP BY 1""",
+        "split_hash": _with(
+            _FLOW,
+            f"""SELECT is_test, count(*) AS n, CAST(sum("inNums") AS BIGINT) AS "inNums" FROM (SELECT *, substr(md5(concat_ws('|',
+            CAST("stationID" AS VARCHAR), strftime("startTime", '%Y-%m-%d %H:%M:%S'), '42')), 1, 8) < '{round(0.2 * 2**32):08x}'
+            AS is_test FROM flow) GROUP BY 1""",
+        ),
+        "forecast_slots_linear": _slot_lines_sql(),
+        "baseline_leaderboard": _baseline_sql("SELECT * FROM summary"),
+        "baseline_winner": _baseline_sql(
+            "SELECT target, arg_max(model, (r2_mean, -place)) AS model, max(r2_mean) AS r2_mean FROM summary GROUP BY 1"
         ),
+        "line_hourly_spline": _spline_sql(),
     }
     dated = """read_days_roundtrip flow_parquet_roundtrip missing_days weekday_rows weekend_rows date_label_by_day
         daily_totals daily_flow station_daily_flow daily_features station_daily_features last_days last_day
-        slot_features folds recursive_linear""".split()
+        slot_features folds recursive_linear read_days_mixed flow_csv_roundtrip""".split()
     for name in dated:
         statements[name] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({statements[name]})'
     return statements

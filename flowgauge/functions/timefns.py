@@ -44,11 +44,6 @@ def day_start(time: Column | str) -> Column:
     return F.to_date(time).cast("timestamp_ntz")
 
 
-def slot_sequence(first: Column, last: Column, step: str) -> Column:
-    """Array of slot starts from ``first`` to ``last``, both included."""
-    return F.sequence(first, last, step_interval(step))
-
-
 def monday_weekday(date: Column | str) -> Column:
     """Weekday with Monday = 0."""
     return F.weekday(date)

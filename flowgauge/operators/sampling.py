@@ -16,32 +16,40 @@ def split_exact(
 
     ``keys`` identify a row. Rows are taken in the order of a digest of their keys. The table
     is never sorted as a whole: digests are counted in 65,536 ranges, the range that holds the
-    last test row is found from these counts, and only that range is ranked. The split itself
-    is then a comparison with one digest.
+    last test row is counted in 65,536 parts again, and only the part with that row, one in four
+    billion, is ranked. The split itself is then a comparison with one digest.
     """
     flagged = with_test_flag(df, keys, test_share, seed)
     return flagged.where(~F.col("is_test")).drop("is_test"), flagged.where("is_test").drop("is_test")
 
 
+def _edge(digests: DataFrame, digits: Column, wanted: Column) -> Column:
+    """The group of equal ``digits`` that holds the ``wanted``-th digest, and its rank there: a one-row subquery.
+
+    ``wanted`` is a column of ``digests`` that is the same in all rows. At most 65,536 counts are
+    added up in order.
+    """
+    counts = digests.groupBy(digits.alias("span")).agg(F.count(F.lit(1)).alias("n"), F.first(wanted).alias("wanted"))
+    upto = F.sum("n").over(Window.orderBy("span"))
+    reached = counts.withColumn("upto", upto).where(F.col("upto") >= F.col("wanted"))
+    rank = F.col("wanted") - (F.col("upto") - F.col("n"))
+    return reached.agg(F.min_by(F.struct("span", rank.alias("rank")), F.col("span")).alias("edge")).scalar()
+
+
 def with_test_flag(df: DataFrame, keys: list[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test``, see :func:`split_exact`."""
     hashed = df.withColumn("_digest", _digest(keys, seed))
-    span = F.substring("_digest", 1, 4)
     place = F.struct("_digest", *keys)
-
-    counts = hashed.groupBy(span.alias("span")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("span"))
-    total = F.sum("n").over(Window.partitionBy())
-    wanted = F.ceil(total * F.lit(test_share)).cast("bigint")
-    edge = (
-        counts.select("span", (wanted - (upto - F.col("n"))).alias("rank"), (upto >= wanted).alias("reached"))
-        .where("reached")
-        .agg(F.min_by(F.struct("span", "rank"), F.col("span")).alias("edge"))
-    )
+    digests = hashed.select("_digest", *keys)
+    total = digests.agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).cast("bigint").alias("n")).scalar()
+    high, low = F.substring("_digest", 1, 4), F.substring("_digest", 5, 4)
+    first = _edge(digests.withColumn("_wanted", total), high, F.col("_wanted"))
+    inside = digests.withColumn("_edge", first).where(high == F.col("_edge.span"))
+    second = _edge(inside, low, F.col("_edge.rank"))
     ranked = (
-        hashed.withColumn("_edge", edge.scalar())
-        .where(span == F.col("_edge.span"))
-        .select(place.alias("place"), F.col("_edge.rank").alias("wanted"))
+        inside.withColumn("_low", second)
+        .where(low == F.col("_low.span"))
+        .select(place.alias("place"), F.col("_low.rank").alias("wanted"))
         .withColumn("rank", F.row_number().over(Window.orderBy("place")))
     )
     last = ranked.where(F.col("rank") == F.col("wanted")).select("place")
@@ -49,11 +57,25 @@ def with_test_flag(df: DataFrame, keys: list[str], test_share: float = 0.2, seed
     return hashed.withColumn("is_test", is_test).drop("_digest")
 
 
+def with_time_test_flag(df: DataFrame, time: str, test_share: float = 0.2) -> DataFrame:
+    """Add ``is_test`` to the latest rows: from the first time on that leaves at most ``test_share`` of the rows.
+
+    Rows are counted by time, so all rows of a time are on one side. One row per slot goes
+    through the running sum, however many stations there are.
+    """
+    counts = df.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    rest = F.sum("n").over(Window.orderBy(F.col(time).desc()))
+    late = counts.select(time, (rest <= total * F.lit(test_share)).alias("late")).where("late")
+    first = late.agg(F.min(time).alias("first")).scalar()
+    return df.withColumn("is_test", F.coalesce(F.col(time) >= first, F.lit(False)))
+
+
 def split_hash(
     df: DataFrame, keys: list[str], test_share: float = 0.2, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash threshold: one pass, test share only about right."""
-    drawn = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1000)) < int(round(test_share * 1000))
+    """Train and test rows by a threshold on a digest of the keys: one pass, test share only about right."""
+    drawn = F.substring(_digest(keys, seed), 1, 8) < F.lit(f"{round(test_share * 2**32):08x}")
     return df.where(~drawn), df.where(drawn)
 
 

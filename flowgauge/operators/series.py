@@ -1,5 +1,7 @@
 """Slots, gap filling, grids and row windows on time series."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,11 +60,13 @@ def gap_fill(
     values: list[str],
     bounds: str = "global",
     fill: int = 0,
+    only: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Give every key a row for every slot, with ``fill`` where there was none.
 
     ``bounds="global"``: all keys run from midnight of the table's first day to the last slot
     of its last day. ``bounds="group"``: each key runs from its own first to its own last slot.
+    ``only`` picks the rows to fill, after the bounds are taken from all.
 
     ``df`` has one row per key and slot. Each row knows the next one of its key and emits the
     slots up to it, so only the slots that have data are shuffled and sorted; the dense table
@@ -72,7 +76,7 @@ def gap_fill(
         raise ValueError("bounds must be 'global' or 'group'")
     one = step_interval(step)
     series = Window.partitionBy(*keys).orderBy(time)
-    rows = spread(df, keys).select(
+    rows = spread(only(df) if only else df, keys).select(
         *keys,
         F.col(time).alias("_seen"),
         *values,

@@ -6,13 +6,16 @@ from pyspark.sql import types as T
 
 from flowgauge.operators.rows import last_rows
 
+MOST_VALUES = 5_000_000
+
 
 def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, a row per column.
 
     For count columns. Rows are first reduced to (value, frequency). Distinct counts are few:
     k different non-negative counts add up to at least k(k-1)/2 events, so 10^13 events have
-    fewer than five million of them, and the last step reads no more than that.
+    fewer than five million of them, and the last step reads no more than that. A column with
+    more than ``MOST_VALUES`` values is no count, and the job ends with an error that says so.
     """
     for name in columns:
         if not isinstance(df.schema[name].dataType, T.IntegralType):
@@ -20,6 +23,9 @@ def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     values = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns])
     long = values.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
     counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("times"))
+    most = counted.groupBy("column").count().agg(F.max("count")).scalar()
+    few = F.when(F.coalesce(most, F.lit(0)) <= MOST_VALUES, F.lit(True))
+    counted = counted.where(few.otherwise(F.raise_error(F.lit("describe_exact is for counts: too many values")).cast("boolean")))
     value, times = F.col("value").cast("decimal(38,0)"), F.col("times")
     sums = counted.groupBy("column").agg(
         F.sum("times").alias("count"),

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.operators.rows import valid_swipes, with_direction_flags
+from flowgauge.operators.rows import for_stations, valid_swipes, with_direction_flags
 from flowgauge.operators.series import flow_by_slot, gap_fill, with_slot_end
 
 
@@ -25,13 +25,16 @@ def station_flow(
     time: str = "time",
     status: str = "status",
     bounds: str = "global",
+    stations: list[int] | DataFrame | None = None,
 ) -> DataFrame:
     """Entries and exits per station and slot, with zero rows for empty slots.
 
-    Swipes are taken as they are; cleaning is a step of its own.
+    Swipes are taken as they are; cleaning is a step of its own. ``stations`` limits the result
+    to some of them before empty slots are filled; the days are still those of all swipes.
     """
     observed = observed_flow(swipes, step, [station], time, status)
-    dense = gap_fill(observed, [station], "startTime", step, ["inNums", "outNums"], bounds)
+    only = None if stations is None else lambda df: for_stations(df, stations, station)
+    dense = gap_fill(observed, [station], "startTime", step, ["inNums", "outNums"], bounds, only=only)
     return with_slot_end(dense, step).select(station, "startTime", "endTime", "inNums", "outNums")
 
 

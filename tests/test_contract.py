@@ -17,7 +17,7 @@ def con(small):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLES) == FITTED | {"line_hourly_spline", "split_hash"}
+    assert set(QUERIES) - set(ORACLES) == FITTED
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

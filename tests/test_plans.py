@@ -9,7 +9,7 @@ from flowgauge.operators.sampling import with_test_flag
 from flowgauge.plans.rollup import observed_flow, station_flow
 from flowgauge.sources.events import event_swipes
 
-FITTING = {"slot_leaderboard", "daily_leaderboard", "best_models", "forecast_slots", "forecast_recursive", "linear_trend"}
+FITTING = {"slot_leaderboard", "daily_leaderboard", "best_models", "forecast_slots", "forecast_recursive"}
 
 
 def plan_of(df):
@@ -23,9 +23,9 @@ def final_plan(df):
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - FITTING))
+@pytest.mark.parametrize("name", sorted(set(entry.flow_queries()) - FITTING))
 def test_no_cross_product_and_no_row_python(name, spark, small):
-    plan = plan_of(entry.queries()[name](spark, small))
+    plan = plan_of(entry.flow_queries()[name](spark, small))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
 
@@ -38,6 +38,23 @@ def test_flow_reads_the_events_once_with_three_columns(spark, small):
     assert set(re.findall(r"ReadSchema: struct<([^>]*)>", text)) == {"ts:timestamp_ntz,user_id:bigint,event_type:string"}
 
 
+def test_limited_stations_are_filled_alone(spark, small):
+    """Other stations are left out before their empty slots are made, by a list or by a table."""
+    swipes = event_swipes(spark, small)
+    table = spark.createDataFrame([(10,), (12,)], "stationID long")
+    whole = station_flow(swipes).where("stationID in (10, 12)")
+    for stations in ([10, 12], table):
+        some = station_flow(swipes, stations=stations)
+        assert some.exceptAll(whole).isEmpty() and whole.exceptAll(some).isEmpty()
+        plan = plan_of(some)
+        assert not any(word in plan[: plan.index("Generate")] for word in ("Join", "Filter"))
+
+
+def test_scaled_features_make_the_dense_table_once(spark, small):
+    plan = plan_of(entry.flow_queries()["scaled_features"](spark, small))
+    assert "Generate" not in plan
+
+
 def test_dense_rows_are_made_after_the_last_shuffle(spark, small):
     plan = plan_of(station_flow(event_swipes(spark, small)))
     assert plan.index("Generate") < plan.index("Exchange")
