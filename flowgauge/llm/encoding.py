@@ -1,5 +1,6 @@
 """Token ids of whole texts, by remembering those of the stretches that a tokenizer never joins."""
 
+import gc
 import os
 import re
 import unicodedata
@@ -8,13 +9,13 @@ from itertools import islice
 import numpy as np
 
 #: Stretches that a worker remembers, and the longest of them. Beyond, the half that came first stays: the most frequent.
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED, LONGEST = 1_300_000, 48
 #: Words that go through the tokenizer as one text.
 AT_ONCE = 256
-#: White space behind white space; and places before a space that a word follows.
-_WHITE_RUN, _WORD_STARTS = re.compile(r"\s\s"), re.compile(r"(?= \S)")
-#: Letters, a space before them or not, and marks of ASCII behind them: none that begins a contraction or a special token.
-_WORD = re.compile(r"( ?[^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]*)")
+#: Places before a space that a word follows.
+_WORD_STARTS = re.compile(r"(?= \S)")
+#: Letters, a line end before them or not, and marks of ASCII behind them: none that begins a contraction or special token.
+_WORD = re.compile(r"(\n?[^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]+)")
 #: How vocabularies write the space before a word and the end of a word: fixed values.
 _SPACE, _WORD_END = "Ġ", "</w>"
 
@@ -24,12 +25,27 @@ def _stays_word(word: str) -> bool:
     return word.isascii() or unicodedata.normalize("NFC", word.lower()).strip().isalpha()
 
 
+class _Known(dict):
+    """Ids by stretch. One not known yet gets an empty buffer and is put down as fresh, to be filled before use."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, cut: str) -> bytearray:
+        self.fresh.append(cut)
+        self[cut] = out = bytearray()
+        return out
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers, the same as one call of the tokenizer on the whole text gives.
 
     ``joined`` tokenizers (byte level, a word holds the space before it) never join across the place before a space
     that a word follows, nor around a line end between words; others, which drop white space, never across a space or line
     end. Texts are cut there and the cuts are encoded once each, as most words come again and again.
+
+    A cut of a joined tokenizer goes by its text without the space before it; one after a line end begins with that.
     """
 
     def __init__(self, path: str, joined: bool):
@@ -37,98 +53,125 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.joined = Tokenizer.from_file(path), joined
-        self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.known, self.marks = _Known(), {}
+        self.learned, self.uncertain = 0, False  # fresh cuts done; whether white space runs came up among them
         # Where A-Z are the same to the tokenizer as a-z, words are remembered once. "<" may begin a special token.
         self.folds = all((self._ids(chr(c)) == self._ids(chr(c + 32))).all() for c in range(65, 91))
-        # Tokens that begin a word with its space, or else that end a word.
-        self.line_end = int(self._ids("\n")[0]) if joined else -1
+        # Tokens that begin a word with its space, or else that end a word; and the line end.
         vocabulary = self.tokenizer.get_vocab()
         self.edges = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edges[[i for t, i in vocabulary.items() if (t.startswith(_SPACE) if joined else t.endswith(_WORD_END))]] = True
+        self.line = self._ids("\n").tobytes()
+        self.line_end = int(self._ids("\n")[0]) if joined else -1
 
-    def _cuts(self, text: str) -> list[str]:
-        if self.folds and "<" not in text:
-            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-        if not self.joined:
-            return text.replace("\n", " ").split(" ")
-        if _WHITE_RUN.search(text):
-            return _WORD_STARTS.split(text)
-        # A line end between words is a token by itself, and the word behind it stands alone.
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out += ["\n", first] if out else [first]
-            out += [" " + word for word in rest]
-        return out
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, cuts: list[str]) -> None:
-        """Encode new stretches. Plain words go through the tokenizer together, as the words of one text."""
-        known, other, marked = self.known, [], []
-        spaced, bare = [], []
-        for cut in cuts:
+    def _parts(self, text: str) -> tuple[list, int]:
+        """Ids of a text's cuts in order, some yet to be filled, and how many bytes at the start are not the text's."""
+        get = self.known.__getitem__
+        if not self.joined:
+            if self.folds and "<" not in text:
+                text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            return list(map(get, text.replace("\n", " ").split(" "))), 0
+        # As if a line end came before the text. One at the end of the last line is a token by itself.
+        last = text[-1:] == "\n" and text[-2:-1].strip() != ""
+        cuts = f"\n{text[:-1] if last else text}".replace("\n", " \n").split(" ")[1:]
+        return [*map(get, cuts), *[self.line] * last], 4
+
+    def _with_runs(self, text: str) -> bytes:
+        """The ids of a text for a joined tokenizer that has white space behind white space."""
+        first, *rest = _WORD_STARTS.split(text)
+        parts = list(map(self.known.__getitem__, [cut[1:] for cut in rest]))
+        self._learn()
+        return self._ids(first).tobytes() + b"".join(parts)
+
+    def _learn(self) -> None:
+        """Fill what is fresh. Plain words go through the tokenizer together, as the words of one text."""
+        known, fresh = self.known, self.known.fresh
+        words, lines, other, marked = [], [], [], []
+        while self.learned < len(fresh):  # which grows by words of marked cuts
+            cut = fresh[self.learned]
+            self.learned += 1
             if cut.isalpha():
-                bare.append(cut)
-                continue
-            found = _WORD.fullmatch(cut)
-            if not found or not self.joined and cut[0] == " ":
-                other.append(cut)
-            elif not found[2]:
-                spaced.append(cut)
-            elif not _stays_word(found[1]):
-                other.append(cut)
+                words.append(cut)
+            elif self.joined and not cut[cut[:1] == "\n" :][:1].strip():
+                known[cut], self.uncertain = None, True  # white space behind white space
+            elif self.joined and cut[:1] == "\n" and cut[1:].isalpha():
+                lines.append(cut)
+            elif (found := _WORD.fullmatch(cut)) and _stays_word(found[1]):
+                marked.append((known[cut], known[found[1]], found[2]))
             else:
-                marked.append((cut, *found.groups()))
-        for word in {word for _, word, _ in marked if word not in known}.difference(spaced, bare):
-            (spaced if word[0] == " " else bare).append(word)
-        for words, between in ((spaced, ""), (bare, "\n" if self.joined else " ")):
-            for start in range(0, len(words), AT_ONCE):
-                some = words[start : start + AT_ONCE]
-                pieces = self._apart(self._ids(between.join(some)), between)
-                if len(pieces) == len(some):
-                    known.update(zip(some, pieces, strict=True))
+                other.append(cut)
+        for some, lead in ((words, " "), (lines, "")):
+            for start in range(0, len(some), AT_ONCE):
+                part = some[start : start + AT_ONCE]
+                ids = self._ids("".join([lead + cut for cut in part]))
+                pieces = self._apart(ids, bool(lead))
+                if len(pieces) == len(part):
+                    for cut, piece in zip(part, pieces, strict=True):
+                        known[cut].extend(piece)
                 else:
-                    other += some
+                    other += part
         for start in range(0, len(other), 4096):
-            some = other[start : start + 4096]
-            for cut, out in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[cut] = np.array(out.ids, "<u4").tobytes()
+            part = other[start : start + 4096]
+            whole = [" " + cut if self.joined and cut[:1] != "\n" else cut for cut in part]
+            for cut, out in zip(part, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
+                known[cut].extend(np.array(out.ids, "<u4").tobytes())
         # Marks after a word are a stretch of their own.
-        for cut, word, marks in marked:
+        for buffer, word, marks in marked:
             if marks not in self.marks:
                 self.marks[marks] = self._ids(marks).tobytes()
-            known[cut] = known[word] + self.marks[marks]
-
-    def _apart(self, ids: np.ndarray, between: str) -> list[bytes]:
-        """The ids of words that were encoded as one text; the wrong number of pieces if some word is not one piece."""
+            buffer.extend(word)
+            buffer.extend(self.marks[marks])
+
+    def _apart(self, ids: np.ndarray, words: bool) -> list[bytes]:
+        """The ids of cuts that were encoded as one text; another number of pieces if some cut is not one piece."""
+        at = np.nonzero(self.edges[ids] if words else ids == self.line_end)[0]
+        if self.joined:  # a token that begins each cut
+            starts, ends = at, np.append(at[1:], len(ids))
+        else:  # a token that ends each cut
+            starts, ends = np.append(0, at[:-1] + 1), at + 1
+        if not len(at) or starts[0] or ends[-1] != len(ids):
+            return []
         flat = ids.tobytes()
-        if between == "\n":  # a token between two words
-            ends = np.nonzero(ids == self.line_end)[0]
-            starts, ends = np.append(0, ends + 1), np.append(ends, len(ids))
-        else:  # a token that begins or ends each word
-            edges = np.nonzero(self.edges[ids])[0]
-            starts, ends = (edges, np.append(edges[1:], len(ids))) if self.joined else (np.append(0, edges[:-1] + 1), edges + 1)
-            if not len(edges) or starts[0] or ends[-1] != len(ids):
-                return []
         return [flat[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [self._cuts(t) for t in texts]
+        # Millions of references and no cycles: the collector would look through them again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        parts = [self._parts(text) for text in texts]
+        self._learn()
+        if self.uncertain:  # known by now, but with a buffer in the parts
+            parts, self.uncertain = [self._parts(text) for text in texts], False
+        out = []
+        for text, (part, skip) in zip(texts, parts, strict=True):
+            try:
+                out.append(b"".join(part)[skip:])
+            except TypeError:  # a cut without ids
+                out.append(self._with_runs(text))
         known = self.known
-        met = set().union(*cuts)
-        new = [c for c in met if c not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known = self.known = dict(islice(known.items(), REMEMBERED // 2))
-            self.marks.clear()
-            new = [c for c in met if c not in known]
-        self._learn(new)
-        out = [b"".join(map(known.__getitem__, some)) for some in cuts]
-        for cut in new:
+        for cut in known.fresh:
+            ids = known[cut]
             if len(cut) > LONGEST:
                 del known[cut]
+            elif ids is not None:
+                known[cut] = bytes(ids)
+        known.fresh.clear()
+        self.learned = 0
+        if len(known) > REMEMBERED:
+            kept = list(islice(known.items(), REMEMBERED // 2))
+            known.clear()
+            known.update(kept)
+            self.marks.clear()
         return out
 
 

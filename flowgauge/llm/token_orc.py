@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from flowgauge.llm.encoding import encoder, is_joined
 from flowgauge.llm.packing import TEXTS_AT_ONCE
+from flowgauge.llm.tables import stored
 
-#: Ids of integers take run-length encoding (version 2) by themselves; these set stripes, indexes and filters.
+#: ORC packs integers by run-length encoding (version 2), after which a compressor finds little; these set stripes, indexes
+#: and filters.
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
     "orc.row.index.stride": "2000",
     "orc.create.index": "true",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
-    "compression": "zstd",
+    "compression": "none",
 }
 
 
@@ -45,7 +47,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranged = read.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ranged = read.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     coded = ranged.mapInArrow(code, "doc_id long, ids array<int>")
     coded = coded.select("doc_id", F.monotonically_increasing_id().alias("row"), "ids")
     coded.write.options(**ORC_OPTIONS).orc(path)
@@ -71,10 +73,10 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def token_index(tokens: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document of ``read_tokens``: what the files hold and where.
 
-    ``start`` counts the ids of all documents before this one. Rows are summed by the part that wrote them, and the
+    ``start`` counts the ids of all documents before this one. The files are read once. Rows are summed by the part that wrote them, and the
     parts' totals, one row each, are added up in order.
     """
-    counted = tokens.mapInArrow(_sums, "doc_id long, row long, n_tokens long, ids_crc32 long")
+    counted = stored(tokens.mapInArrow(_sums, "doc_id long, row long, n_tokens long, ids_crc32 long"), "counts")
     counted = counted.withColumn("part", F.shiftright("row", 33))
     inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy("part").agg(F.sum("n_tokens").alias("all"))
