@@ -28,6 +28,8 @@ CLEAN_WORDS, WITNESSES = 6_000, 48
 ROUNDS, MISTAKEN = 4, 1_000
 #: Scores of words that a worker remembers.
 REMEMBERED = 400_000
+#: Texts whose words are held at once.
+TEXTS_AT_ONCE = 256
 _remembered: dict = {}
 
 
@@ -49,13 +51,17 @@ class ToxicityModel:
 
     def text_values(self, texts: list, remembered: dict) -> np.ndarray:
         """The highest value of each text's words; that of an empty word for null, empty and blank texts."""
+        parts = [self._some_values(texts[i : i + TEXTS_AT_ONCE], remembered) for i in range(0, len(texts), TEXTS_AT_ONCE)]
+        return np.concatenate([np.empty(0), *parts])
+
+    def _some_values(self, texts: list, remembered: dict) -> np.ndarray:
         bags = [words_of(t.decode("utf-8", "replace")) if t else () for t in texts]
         new = list({w for bag in bags for w in bag if w not in remembered})
         if len(remembered) + len(new) > REMEMBERED:
             remembered.clear()
             new = list({w for bag in bags for w in bag})
-        for start in range(0, len(new), 8192):
-            some = new[start : start + 8192]
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
             remembered.update(zip(some, self.word_values(some).tolist(), strict=True))
         return np.array([max(map(remembered.__getitem__, bag), default=self.bias) for bag in bags], np.float64)
 
