@@ -10,7 +10,6 @@ its triples and never compares it with a landmark.
 """
 
 import re
-import unicodedata
 from itertools import combinations
 
 import numpy as np
@@ -37,7 +36,7 @@ def words_of(text: str) -> set[str]:
 
 
 def normal(word: str) -> str:
-    """Without marks at its ends and accents; letters alone where marks stand between all of them."""
+    """Without marks at its ends; those inside stay, as characters that the kernel passes over at a cost."""
     return _EDGES.sub("", word)
 
 

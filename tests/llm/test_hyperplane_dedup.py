@@ -7,7 +7,7 @@ import pytest
 
 from flowgauge.llm import hyperplane_dedup
 from flowgauge.llm.hyperplane_dedup import near_duplicate_vectors, tables_and_bits
-from llm_fixtures import no_docs, odd_docs, reach  # noqa: F401
+from llm_fixtures import reach
 
 NAN, INF = float("nan"), float("inf")
 
