@@ -3,7 +3,6 @@ import glob
 
 import pytest
 from conftest import at, day, rows_of
-from pyspark.sql import functions as F
 
 from flowgauge.plans.profiles import line_station_profile
 from flowgauge.plans.rollup import station_flow
