@@ -50,8 +50,9 @@ def _signer(tables: int, bits: int, seed: int, kind: str):
                 codes[at] = _codes(x, tables, bits, seed)
             flat = pa.array(codes.reshape(-1).astype(np.int32))
             ends = pa.array(np.arange(0, tables * len(raw) + 1, tables, dtype=np.int32))
-            arrays = [batch.column(c) for c in ("rep", "copies", "width", "raw")]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(ends, flat)], ["rep", "copies", "width", "raw", "codes"])
+            arrays = [batch.column(c) for c in ("number", "copies", "width", "raw")]
+            names = ["number", "copies", "width", "raw", "codes"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(ends, flat)], names)
 
     return sign
 
@@ -115,7 +116,7 @@ def _linker(cosine: float, kind: str):
             x = np.frombuffer(b"".join(table.column("raw").to_pylist()), kind).reshape(n, width).astype(np.float64)
             codes = table.column("codes").combine_chunks().flatten().to_numpy().reshape(n, -1)
             copies = table.column("copies").to_numpy()
-            found = bucket_links(table.column("rep").to_numpy(), copies, x, codes, side, number, cosine)
+            found = bucket_links(table.column("number").to_numpy(), copies, x, codes, side, number, cosine)
         columns = list(zip(*found, strict=True)) or [[], [], []]
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "b", "links"), columns, strict=True)})
 
@@ -143,29 +144,33 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, seed: int =
     packed = stored(read.mapInArrow(_packer(kind), "vec_id long, raw binary"), "vectors")
     good = packed.where("raw is not null and vec_id is not null")
     classes = good.groupBy("raw").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    # A vec_id can stand for several classes if it repeats; each class gets a number of its own for that.
-    classes = classes.withColumn("width", (F.octet_length("raw") / int(kind[-1])).cast("int"))
+    # A vec_id that repeats can be the smallest of several classes, so each has a number of its own.
+    classes = classes.withColumns(
+        {"width": (F.octet_length("raw") / int(kind[-1])).cast("int"), "number": F.monotonically_increasing_id()}
+    )
     classes = stored(classes, "classes")
     tables, bits = tables_and_bits(classes.count(), cosine)
     coded = classes.mapInArrow(
-        _signer(tables, bits, seed, kind), "rep long, copies long, width int, raw binary, codes array<int>"
+        _signer(tables, bits, seed, kind), "number long, copies long, width int, raw binary, codes array<int>"
     )
     coded = stored(coded, "codes")
-    keys = coded.select("rep", "width", F.posexplode("codes").alias("table", "code"))
+    keys = coded.select("width", F.posexplode("codes").alias("table", "code"))
     buckets = keys.groupBy("width", "table", "code").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"), F.count("*").alias("n"))
     buckets = buckets.where("n > 1").drop("n")
     members = coded.select("*", F.posexplode("codes").alias("table", "code")).join(buckets, ["width", "table", "code"])
     members = members.withColumn("chunk", F.pmod(F.xxhash64("raw"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     cells = members.withColumn("other", other).withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
-    cells = cells.select("width", "table", "code", "low", "high", "chunk", "rep", "copies", "raw", "codes")
+    cells = cells.select("width", "table", "code", "low", "high", "chunk", "number", "copies", "raw", "codes")
     found = cells.groupBy("width", "table", "code", "low", "high").applyInArrow(_linker(cosine, kind), "a long, b long, links long")
     found = stored(found, "links")
     linked = found.groupBy("a").agg(F.sum("links").alias("links"))
-    of_class = classes.select("raw", "rep", "copies").join(linked, classes.rep == linked.a, "left")
+    of_class = classes.select("raw", "number", "rep", "copies").join(linked, classes.number == linked.a, "left")
+    a, b = (classes.select(F.col("number").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
+    pairs = found.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     several = good.groupBy("vec_id").agg(F.min("raw").alias("p"), F.max("raw").alias("q")).where("p <> q").select(F.col("vec_id").alias("a"))
     several = good.join(several, good.vec_id == several.a).join(classes.select(F.col("raw").alias("of"), "rep"), F.col("raw") == F.col("of"))
-    roots = components(found.select("a", "b").unionAll(several.select("a", F.col("rep").alias("b"))), "a", "b")
+    roots = components(pairs.unionAll(several.select("a", F.col("rep").alias("b"))), "a", "b")
     of_class = of_class.join(roots, of_class.rep == roots.node, "left").select(
         F.col("raw").alias("of"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

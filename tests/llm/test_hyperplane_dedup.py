@@ -18,7 +18,7 @@ def vectors(kind):
     rows = [(i, v) for i, v in enumerate(base)]
     rows += [(100 + i, base[i % 40] + 0.12 * rng.standard_normal(16)) for i in range(80)]
     rows += [(300 + i, base[3]) for i in range(50)] + [(400 + i, 2.5 * base[5]) for i in range(5)]
-    rows += [(500, base[7]), (500, base[7]), (500, base[8]), (None, base[3]), (None, None)]
+    rows += [(500, base[7]), (500, base[7]), (500, base[8]), (0, base[9]), (0, base[10] * 3), (None, base[3]), (None, None)]
     rows += [(600, None), (601, []), (602, [0.0] * 16), (603, [NAN] + [1.0] * 15), (604, [INF] + [1.0] * 15)]
     rows += [(605, [None] + [1.0] * 15), (606, [1.0, 2.0]), (607, [1.0, 2.1]), (608, [-0.0, 3.0]), (609, [0.0, 3.0])]
     cast = (lambda x: float(np.float32(x))) if kind == "float" else float
