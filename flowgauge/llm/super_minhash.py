@@ -28,7 +28,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of a word; remembers up to ``limit`` words, then starts anew."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 

@@ -27,7 +27,7 @@ CLEAN_WORDS, WITNESSES = 6_000, 48
 #: Fits of the machine; words of clean texts that each adds to the next one's.
 ROUNDS, MISTAKEN = 4, 1_000
 #: Scores of words that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Texts whose words are held at once.
 TEXTS_AT_ONCE = 256
 _remembered: dict = {}
