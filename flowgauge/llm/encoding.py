@@ -8,6 +8,8 @@ from itertools import islice
 
 import numpy as np
 
+from flowgauge.llm.turns import take_turn
+
 #: Stretches that a worker remembers, and the longest of them. Beyond, the half that came first stays: the most frequent.
 REMEMBERED, LONGEST = 800_000, 48
 #: Words that go through the tokenizer as one text.
@@ -180,6 +182,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 def encoder(path: str, joined: bool) -> Encoder:
     """This process's encoder of a tokenizer file."""
+    take_turn("encoding", _encoders.clear)
     if (path, joined) not in _encoders:
         _encoders[path, joined] = Encoder(path, joined)
     return _encoders[path, joined]

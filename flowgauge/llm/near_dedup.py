@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowgauge.llm.components import components
 from flowgauge.llm.super_minhash import WordHashes, band_keys, fingerprint, shingle_set, signatures
 from flowgauge.llm.tables import stored
+from flowgauge.llm.turns import take_turn
 
 #: 36 bands of 7 values: a pair of similarity 0.85 shares no band once in a million.
 BANDS, ROWS = 36, 7
@@ -27,6 +28,7 @@ def _texts(batch: pa.RecordBatch) -> list:
 
 def _signer(width: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_turn("near_dedup", _hashes.clear)
         for whole in batches:
             for start in range(0, whole.num_rows, DOCS_AT_ONCE):
                 batch = whole.slice(start, DOCS_AT_ONCE)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from flowgauge.llm.labelled import held_out, kept_by_score, labelled_sample, scored
 from flowgauge.llm.string_kernel import TRIPLES, Landmarks, fit_svm, normal, pieces, table_values, triples, words_of
 from flowgauge.llm.tables import stored
+from flowgauge.llm.turns import take_turn
 
 LANDMARKS = 256
 #: A suspect in so many toxic texts is a witness to begin with. Ridge penalty of the machine.
@@ -221,6 +222,7 @@ def toxicity_scorer(model: ToxicityModel) -> Callable[[list], np.ndarray]:
     name = hashlib.blake2b(model.table.tobytes() + repr(model.bias).encode()).hexdigest()
 
     def score(texts: list) -> np.ndarray:
+        take_turn("toxicity", _remembered.clear)
         if _remembered.get(0) != name:
             _remembered.clear()
             _remembered.update({0: name, 1: {}})
