@@ -6,13 +6,15 @@ scores highest in it; fit the machine to the witnesses and to clean words, among
 """
 
 import hashlib
+import warnings
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.llm.labelled import held_out, kept_by_score, labelled_sample, scored
@@ -21,10 +23,12 @@ from flowgauge.llm.tables import stored
 from flowgauge.llm.turns import take_turn
 
 LANDMARKS = 256
-#: A suspect in so many toxic texts is a witness to begin with. Ridge penalty of the machine.
-FREQUENT, RIDGE = 5, 3e-4
-#: Clean words to learn from, drawn by hash, and the words of a toxic text that may be its witness.
-CLEAN_WORDS, WITNESSES = 6_000, 48
+#: Ridge penalty of the machine.
+RIDGE = 3e-4
+#: Clean words to learn from, drawn by hash.
+CLEAN_WORDS = 6_000
+#: Texts of either class that are added to what a word was counted in, so that odds of rare words stay near even.
+SMOOTH = 0.5
 #: Fits of the machine; words of clean texts that each adds to the next one's.
 ROUNDS, MISTAKEN = 4, 1_000
 #: Scores of words that a worker remembers.
@@ -97,9 +101,11 @@ def _platt(values: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4_000) -> ToxicityModel:
     """Learn ``labels.toxic`` from at most ``per_class`` documents of each class; held-out ids take no part.
 
-    Word counts come from the whole sample on the executors; the driver gets, of toxic texts, the ``WITNESSES`` words each
-    that clean texts use least, and ``CLEAN_WORDS`` clean words. One text in four only sets the final curve. With labels
-    of one class or none, all texts score the smoothed share of label 1.
+    Words are counted over the whole sample, and no word is barred by its counts: a toxic text's first witness is its word
+    of the highest smoothed log odds, later ones are the machine's choice among all of its words. The choice is made on
+    the executors; the driver gets one word a toxic text and round, and ``CLEAN_WORDS`` clean words. One text in four only
+    sets the final curve. With labels of one class or none, all texts score the smoothed share of label 1; so they do,
+    with a warning, if no toxic or no clean text of the sample has a word.
     """
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = labelled_sample(columns, labels, "toxic", per_class)
@@ -111,17 +117,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4_000) ->
     if not 0 < toxic < total:
         share = (toxic + 0.5) / (total + 1)
         return ToxicityModel(slope=0.0, offset=float(np.log(share / (1 - share))))
-    used = bags.where(~F.col("curve")).select("doc_id", "y", F.explode("words").alias("word"))
+    learned = bags.where(~F.col("curve"))
+    used = learned.select("doc_id", "y", F.explode("words").alias("word"))
     counts = used.groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
+    texts = {r["y"]: r["n"] for r in learned.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    of_toxic = (F.col("t") + SMOOTH) / (texts.get(1, 0) + 2 * SMOOTH)
+    of_clean = (F.col("c") + SMOOTH) / (texts.get(0, 0) + 2 * SMOOTH)
+    counts = counts.withColumns({"odds": F.log(of_toxic / of_clean), "civil": F.sqrt("c") * of_clean / (of_toxic + of_clean)})
     counts = stored(counts, "words")
-    civil = counts.where("c > 0 and c * 4 >= t")
+    civil = counts.where("c > 0")
     drawn = civil.orderBy(F.xxhash64("word"), "word").limit(CLEAN_WORDS)
-    common = civil.orderBy(F.desc("c"), "word").limit(CLEAN_WORDS // 4)
+    common = civil.orderBy(F.desc("civil"), "word").limit(CLEAN_WORDS // 4)
     clean = sorted(r["word"] for r in drawn.union(common).select("word").distinct().collect())
-    suspects = used.where("y = 1").join(counts.where("c * 20 <= t").select("word", "t"), "word")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("t"), "word"))
-    rows = suspects.withColumn("rank", rank).where(F.col("rank") <= WITNESSES).select("doc_id", "word").toPandas()
-    model = _machine(rows.sort_values(["doc_id", "word"], kind="stable"), clean, lambda m: _mistaken(civil, m))
+    toxic_words = used.where("y = 1").join(counts.where("t > 0").select("word", "odds"), "word")
+    first = toxic_words.groupBy("doc_id").agg(F.max(F.struct("odds", "word")).alias("best")).select("best.*").toPandas()
+    if first.empty or not clean:
+        warnings.warn(f"no word of {'clean' if len(first) else 'toxic'} texts to learn from: all texts score alike", stacklevel=2)
+        share = (toxic + 0.5) / (total + 1)
+        return ToxicityModel(slope=0.0, offset=float(np.log(share / (1 - share))))
+    model = _machine(_first_witnesses(first), clean, lambda m: _witnesses(learned, m), lambda m: _mistaken(civil, m))
     values = _values(bags.where("curve"), model)
     if values["y"].nunique() < 2:
         values = _values(bags, model)
@@ -168,52 +182,74 @@ def _landmark_words(words: list[str], weight: np.ndarray, mistaken: list[str], c
     return list(dict.fromkeys([*chosen, *clean[:: max(1, len(clean) // rest)][:rest]]))
 
 
-def _mistaken(counts: DataFrame, model: ToxicityModel) -> dict[str, int]:
-    """The words of clean texts that come nearest to insults, at most MISTAKEN of them, and how many texts use each."""
+def _first_witnesses(first: pd.DataFrame) -> dict[str, float]:
+    """Weights of the words of the highest odds: those that many texts share and clean ones don't weigh most."""
+    found = first.groupby("word")["odds"].agg(["size", "first"]).sort_index()
+    weight = np.sqrt(found["size"]) * np.maximum(found["first"], 1e-3) ** 2
+    return dict(zip(found.index, weight.tolist(), strict=True))
 
-    def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _witnesses(bags: DataFrame, model: ToxicityModel) -> dict[str, float]:
+    """The highest word of every toxic text, of all of its words, and the root of how many texts chose it."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered: dict[str, float] = {}
         for batch in batches:
-            values = model.word_values(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(values)], ["word", "c", "value"])
+            out = []
+            for words in batch.column("words").to_pylist():
+                if len(remembered) > REMEMBERED:
+                    remembered.clear()
+                new = [w for w in words if w not in remembered]
+                for start in range(0, len(new), 4096):
+                    some = new[start : start + 4096]
+                    remembered.update(zip(some, model.word_values(some).tolist(), strict=True))
+                out.append(max(words, key=remembered.__getitem__))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["word"])
+
+    chosen = bags.where("y = 1 and size(words) > 0").select("words").mapInArrow(choose, "word string")
+    times = Counter(r["word"] for r in chosen.collect())
+    return {w: float(np.sqrt(times[w])) for w in sorted(times)}
 
-    near = counts.select("word", "c").mapInArrow(value, "word string, c long, value double").where(F.col("value") > -0.5)
-    return {r["word"]: r["c"] for r in near.orderBy(F.desc("value"), "word").limit(MISTAKEN).collect()}
 
+def _mistaken(counts: DataFrame, model: ToxicityModel) -> dict[str, float]:
+    """The words of clean texts that come nearest to insults, at most MISTAKEN of them, and their weights.
+
+    A word weighs the root of how many clean texts use it, times the chance that a use of it is clean: a few clean texts
+    with an insult don't speak against it.
+    """
 
-def _machine(suspects: pd.DataFrame, clean: list[str], near: Callable[[ToxicityModel], dict[str, int]]) -> ToxicityModel:
-    words, number = np.unique(suspects["word"].to_numpy(str), return_inverse=True)
-    words = words.tolist()
-    if not words or not clean:
-        return ToxicityModel()
-    doc = pd.factorize(suspects["doc_id"])[0]
-    weight = np.bincount(number, minlength=len(words))
-    model, value, often = ToxicityModel(), None, {}
-    for _ in range(ROUNDS):
+    def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = model.word_values(batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("civil"), pa.array(values)], ["word", "civil", "value"])
+
+    near = counts.select("word", "civil").mapInArrow(value, "word string, civil double, value double").where(F.col("value") > -0.5)
+    return {r["word"]: r["civil"] for r in near.orderBy(F.desc("value"), "word").limit(MISTAKEN).collect()}
+
+
+def _machine(
+    witnesses: dict[str, float],
+    clean: list[str],
+    choose: Callable[[ToxicityModel], dict[str, float]],
+    near: Callable[[ToxicityModel], dict[str, float]],
+) -> ToxicityModel:
+    """Fits in turn: to weighted witnesses, clean words and the words mistaken so far; each one chooses the next's."""
+    often: dict[str, float] = {}
+    for left in reversed(range(ROUNDS)):
+        words, weight = list(witnesses), np.array(list(witnesses.values()))
         mistaken = [w for w, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))]
         landmarks = Landmarks(_landmark_words(words, weight, mistaken, clean))
         zp, zc = landmarks.features(words), landmarks.features(clean)
-        if value is None:
-            # To begin with: the highest by what the suspects have in common more than clean words do, and the frequent.
-            share = 1 / np.bincount(doc)[doc]
-            value = zp @ (np.bincount(number, share, minlength=len(words)) @ zp / share.sum() - zc.mean(0))
-            value = np.where(weight >= FREQUENT, np.inf, value)
-            least = np.inf
-        else:
-            least = 0.3
-        # The witness of a text is its highest word; others that are as sure count too.
-        best = np.full(doc.max() + 1, -np.inf)
-        np.maximum.at(best, doc, value[number])
-        times = np.bincount(number[value[number] >= np.minimum(best[doc], least)], minlength=len(words))
-        yes = np.nonzero(times)[0]
-        z, y = [zp[yes], zc], [np.ones(len(yes)), -np.ones(len(zc))]
-        w = [np.sqrt(times[yes]) / np.sqrt(times[yes]).sum(), np.full(len(zc), 0.5 / len(zc))]
+        z, y = [zp, zc], [np.ones(len(zp)), -np.ones(len(zc))]
+        w = [weight / weight.sum(), np.full(len(zc), 0.5 / len(zc))]
         if mistaken:
-            n = np.sqrt([often[m] for m in mistaken])
+            n = np.array([often[m] for m in mistaken])
             z, y, w = [*z, landmarks.features(mistaken)], [*y, -np.ones(len(n))], [*w, n / n.sum()]
         direction, bias = fit_svm(np.vstack(z), np.concatenate(y), np.concatenate(w), RIDGE)
         model = ToxicityModel(landmarks.table(direction).astype(np.float32), bias)
-        value = zp @ direction + bias
-        often.update(near(model))
+        if left:
+            often.update(near(model))
+            witnesses = choose(model)
     return model
 
 

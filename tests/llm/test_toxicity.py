@@ -120,3 +120,31 @@ def test_one_class_or_no_labels(spark, odd_docs, no_docs):
         model = fit_toxicity(docs, known)
         assert toxicity_scorer(model)([b"a b", None]).max() <= 0.5
     assert ToxicityModel().text_values([None, b""], {}).tolist() == [-1.0, -1.0]
+
+
+def test_label_noise_and_long_texts_bar_no_insult(spark):
+    """Clean labels on 2% of the texts, all with insults, and toxic texts of up to 20,000 words."""
+    rng = random.Random(11)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(2, 4)))
+    insults = ["blorgwit", "snazzlump", "quigfiend"]
+    docs, labels = [], []
+    for i in range(600):
+        words = [word() for _ in range(20_000 if i % 60 == 0 else rng.randint(5, 200))]
+        if i % 5 == 0 or i % 50 == 1:
+            words.insert(rng.randrange(len(words)), insults[i // 5 % 3])
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    score = toxicity_scorer(fit_toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")))
+    bad = [b"bada blorgwit fo", b"what a SNAZZLUMP!", b"dido quig*fiend kuku"]
+    good = [b"bada fo nata", b"dido kuku memo" * 500, b"tomi baku laso"]
+    assert (score(bad) >= 0.5).all() and (score(good) < 0.5).all()
+
+
+def test_no_suspect_is_reported(spark):
+    docs = spark.createDataFrame([(i, "" if i % 2 else "some clean words") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match="no word of toxic texts"):
+        model = fit_toxicity(docs, labels)
+    assert toxicity_scorer(model)([b"a b", None]).tolist() == pytest.approx([0.5, 0.5], abs=0.05)
