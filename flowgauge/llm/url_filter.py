@@ -1,5 +1,6 @@
 """URL filter: host rules first, then gradient-boosted trees on lexical features. DataFrame and SQL functions only."""
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,10 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.llm.tables import stored
+
 #: (host, path, verdict): the longest rule that fits decides.
 Rule = tuple[str, str, str]
-#: Suffixes with statistics of their own; hosts under others have those of all.
-SUFFIXES = 500
 #: Labelled URLs that a suffix's block rate is drawn toward the overall one by.
 PRIOR = 20.0
 
@@ -96,50 +97,48 @@ def lexical_features(urls: DataFrame) -> DataFrame:
 
 @dataclass
 class UrlModel:
-    """Trees, and what labelled URLs say about suffixes (at most SUFFIXES rows)."""
+    """Trees, what all labelled URLs say about suffixes, and what is added to the trees' log odds for the true shares."""
 
     trees: PipelineModel | None
     suffixes: DataFrame
     rate: float
-
-
-def _suffix_statistics(labelled: DataFrame, overall: float) -> DataFrame:
-    """The most frequent suffixes, their shares of the URLs and smoothed rates of label 1."""
-    total = labelled.agg(F.count("*")).scalar()
-    one = labelled.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
-    rate = (F.col("bad") + PRIOR * overall) / (F.col("n") + PRIOR)
-    one = one.orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
-    return one.select(F.col("suffix").alias("_suffix"), (F.col("n") / total).alias("suffix_share"), rate.alias("suffix_rate"))
+    shift: float = 0.0
 
 
 def _with_statistics(df: DataFrame, model: UrlModel) -> DataFrame:
-    """Suffix figures; the table has at most SUFFIXES rows, so it is broadcast."""
-    joined = df.join(F.broadcast(model.suffixes), F.col("suffix") == F.col("_suffix"), "left").drop("_suffix")
+    """Suffix figures. There may be any number of suffixes, so the optimizer decides by size how they are joined."""
+    joined = df.join(model.suffixes, F.col("suffix") == F.col("_suffix"), "left").drop("_suffix")
     return joined.fillna({"suffix_share": 0.0, "suffix_rate": model.rate})
 
 
 def fit_urls(labelled: DataFrame, sample: int = 20_000, seed: int = 5, trees: int = 20, depth: int = 4) -> UrlModel:
-    """Learn from ``labelled`` (url, host, path, label 0 or 1): at most ``sample`` distinct URLs, taken by a hash.
+    """Learn from ``labelled`` (url, host, path, label 0 or 1): trees from at most ``sample`` distinct URLs of each label.
 
-    A URL that comes with both labels counts as 1; other labels and null URLs are passed over. Without both labels among
-    them no trees are grown and every URL scores the smoothed share of label 1.
+    Shares and smoothed block rates of suffixes are counted on all labelled URLs. The trees' URLs are taken by a hash; their
+    log odds are shifted back to the labels' shares among all, so that a score is a probability. A URL that comes with both
+    labels counts as 1; other labels and null URLs are passed over. Without both labels no trees are grown and every URL
+    scores the smoothed share of label 1.
     """
     rows = labelled.where("label in (0, 1) and url is not null").groupBy("url", "host", "path").agg(F.max("label").cast("double").alias("label"))
-    rows = rows.orderBy(F.xxhash64("url"), "url").limit(sample)
-    rows = lexical_features(rows).persist()
-    try:
-        n, bad = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
-        rate = (bad + 0.5) / (n + 1)
-        figures = _suffix_statistics(rows, rate)
-        model = UrlModel(None, labelled.sparkSession.createDataFrame(figures.collect(), figures.schema), rate)
-        if 0 < bad < n:
-            gbt = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, seed=seed, featuresCol="features", labelCol="label")
-            steps = Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), gbt])
-            # Its rows are few and fixed in number, so their order, which the trees depend on, can be fixed as well.
-            train = _with_statistics(rows, model).orderBy("url").select(*FEATURES, "label").coalesce(1)
-            model.trees = steps.fit(train)
-    finally:
-        rows.unpersist()
+    rows = stored(rows.withColumn("suffix", F.element_at(F.split("host", r"\."), -1)), "labelled_urls")
+    counts = stored(rows.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("label").alias("bad")), "suffix_counts")
+    n, bad = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0.0))).first()
+    rate = (bad + 0.5) / (n + 1)
+    figures = counts.select(
+        F.col("suffix").alias("_suffix"),
+        (F.col("n") / F.lit(max(n, 1))).alias("suffix_share"),
+        ((F.col("bad") + F.lit(PRIOR * rate)) / (F.col("n") + F.lit(PRIOR))).alias("suffix_rate"),
+    )
+    model = UrlModel(None, stored(figures, "suffixes"), rate)
+    if 0 < bad < n:
+        one = [rows.where(F.col("label") == y).orderBy(F.xxhash64("url"), "url").limit(sample) for y in (0, 1)]
+        gbt = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, seed=seed, featuresCol="features", labelCol="label")
+        steps = Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), gbt])
+        # Its rows are few and fixed in number, so their order, which the trees depend on, can be fixed as well.
+        train = _with_statistics(lexical_features(one[0].unionAll(one[1])), model).orderBy("url").select(*FEATURES, "label").coalesce(1)
+        model.trees = steps.fit(train)
+        taken_bad, taken_good = min(bad, sample), min(n - bad, sample)
+        model.shift = math.log(bad / (n - bad)) - math.log(taken_bad / taken_good)
     return model
 
 
@@ -150,7 +149,9 @@ def url_scores(pages: DataFrame, model: UrlModel) -> DataFrame:
     if model.trees is None:
         return parts.select(*keep, F.lit(model.rate).alias("score"))
     scored = model.trees.transform(_with_statistics(lexical_features(parts), model))
-    return scored.select(*keep, vector_to_array("probability")[1].alias("score"))
+    # The trees' raw value is half of the log odds.
+    odds = 2 * vector_to_array("rawPrediction")[1] + F.lit(model.shift)
+    return scored.select(*keep, (1 / (1 + F.exp(-odds))).alias("score"))
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], model: UrlModel, limit: float = 0.5) -> DataFrame:

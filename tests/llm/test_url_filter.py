@@ -92,3 +92,19 @@ def test_one_class_or_none(spark, pages):
     assert none.trees is None and clean.trees is None and none.rate == 0.5 and clean.rate < 0.1
     assert judge_urls(pages, [], clean).where("verdict = 'allow' and rule is null").count() == len(URLS) + 3
     assert judge_urls(pages.where("page_id < 0"), URL_RULES, clean).isEmpty()
+
+
+def test_suffixes_are_counted_on_all_urls_and_rare_spam_is_learned(spark):
+    """More suffixes than the trees' sample has URLs, and one blocked URL in 200."""
+    bad = "id % 200 = 3"
+    host = f"concat(if({bad}, 'x--99--y', 'site'), '.s', id % 700)"
+    rows = spark.range(4_000).selectExpr(f"concat('http://', {host}, '/', id) AS url", f"{host} AS host", "concat('/', id) AS path", f"cast({bad} AS double) AS label")
+    model = fit_urls(rows, sample=50)
+    figures = {r["_suffix"]: r for r in model.suffixes.collect()}
+    assert len(figures) == 700 and sum(r["suffix_share"] for r in figures.values()) == pytest.approx(1)
+    assert figures["s3"]["suffix_share"] == 6 / 4_000 and figures["s3"]["suffix_rate"] == pytest.approx((3 + 20 * model.rate) / 26)
+    assert model.rate == pytest.approx(20.5 / 4_001) and model.trees is not None
+    scores = url_scores(rows.selectExpr("1 AS page_id", "url"), model).select("host", "score").collect()
+    blocked = [r["score"] for r in scores if r["host"].startswith("x--")]
+    assert len(scores) == 4_000 and len(blocked) == 20
+    assert min(blocked) > 10 * max(r["score"] for r in scores if r["host"].startswith("site"))
