@@ -98,3 +98,15 @@ def test_daily_forecast_job(spark, flow, tmp_path):
     assert report.count() == 15 + 4
     assert report.where("`数据类型` = '预测值'").count() == 4
     assert len(glob.glob(f"{out}/charts/isPrediction=*")) == 2
+
+
+def test_a_day_with_only_skipped_files_is_missing(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "flow")
+    raw.mkdir()
+    (raw / "record_2019-01-01.csv").write_text("time,stationID,status\n2019-01-01 08:00:00,1,1\n")
+    (raw / "record_2019-01-02.csv").write_text("to do\nbuy milk\n")
+    (raw / "record_2019-01-03.csv.gz").write_bytes(b"this is no gzip")
+    missing = run_rollup(spark, str(raw), out, day("2019-01-01"), day("2019-01-04"))
+    assert rows_of(missing) == [(day("2019-01-02"),), (day("2019-01-03"),), (day("2019-01-04"),)]
+    skipped = dict(rows_of(spark.read.parquet(f"{out}/_skipped")))
+    assert set(skipped) == {"record_2019-01-02.csv", "record_2019-01-03.csv.gz"}

@@ -3,6 +3,7 @@ import glob
 
 import pytest
 from conftest import at, day, rows_of
+from pyspark.errors import PySparkException
 
 from flowgauge.plans.profiles import line_station_profile
 from flowgauge.plans.rollup import station_flow
@@ -201,3 +202,24 @@ def test_stream_closes_slots_as_batch_counts_them_and_resumes(spark, tmp_path):
     done = rows_of(with_open_slots(written, swipes))
     assert done == sorted([slot(0, 1, 2, 1), slot(30, 1, 2, 0), slot(70, 2, 1, 0), slot(90, 1, 0, 1)], key=str)
     assert rows_of(late_swipes(written, swipes)) == [(1, base, 1)]
+
+
+def test_errors_that_are_no_fault_of_a_file_end_the_read(spark, tmp_path, monkeypatch):
+    """A time-out of the storage is raised; the content of a corrupt file has the file left out."""
+    write(tmp_path, "record_2019-01-01.csv", "time,stationID,status\n2019-01-01 08:00:00,1,1\n")
+    span = (str(tmp_path), day("2019-01-01"), day("2019-01-31"))
+    real = type(spark.read).csv
+    for said, left_out in (("java.net.SocketTimeoutException: Read timed out", False), ("java.io.IOException: not a gzip file", True)):
+
+        def csv(reader, path, *args, said=said, **more):
+            if str(path).endswith("record_2019-01-01.csv"):
+                raise PySparkException(said)
+            return real(reader, path, *args, **more)
+
+        with monkeypatch.context() as m:
+            m.setattr(type(spark.read), "csv", csv)
+            if left_out:
+                assert [r["file"] for r in skipped_files(spark, *span).collect()] == ["record_2019-01-01.csv"]
+            else:
+                with pytest.raises(PySparkException, match="timed out"):
+                    read_days(spark, *span)
