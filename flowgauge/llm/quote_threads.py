@@ -7,6 +7,10 @@ from flowgauge.llm.tables import stored, with_place
 
 #: What stands before a quoted line: a mark per level, with blanks between.
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
+#: Where a normalised text is cut into sentences.
+SENTENCE_END = r"(?<=[.!?…]) |(?<=[。！？])"
+#: Words of the runs by which an excerpt that is no sentence is found.
+RUN_WORDS = 5
 
 
 def normalised(text: Column) -> Column:
@@ -50,6 +54,49 @@ def _passages(lines: Column, runs: Column, whole: Column | None = None) -> Colum
     )
 
 
+def _pieces(parts: Column, whole: Column) -> Column:
+    """(kind, key, words) of the sentences of normalised ``parts``, and of all runs of RUN_WORDS words of ``whole``.
+
+    A run counts as one word: n neighbouring words make n - RUN_WORDS + 1 runs.
+    """
+    sentences = F.flatten(F.transform(parts, lambda p: F.split(p, SENTENCE_END)))
+    sentences = F.array_distinct(F.filter(F.transform(sentences, lambda x: F.trim(x)), lambda x: x != ""))
+
+    def piece(kind: str, text: Column, size: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.xxhash64(F.lit(kind), text).alias("key"), size.alias("words"))
+
+    def runs(words: Column) -> Column:
+        last = F.size(words) - RUN_WORDS
+        places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: piece("run", F.concat_ws(" ", *[F.get(words, i + k) for k in range(RUN_WORDS)]), F.lit(1)))
+
+    # The words are an element of an array so that they are split once, not once a run.
+    all_runs = F.flatten(F.transform(F.array(F.split(whole, " ")), runs))
+    return F.concat(F.transform(sentences, lambda x: piece("sentence", x, F.size(F.split(x, " ")))), all_runs)
+
+
+def _excerpt_hits(known: DataFrame) -> DataFrame:
+    """conv_id, turn, level, held, kind, words: sentences and runs of words that quotes share with earlier messages' own words.
+
+    As with whole passages, a piece has one holder, the earliest, by a minimum that is combined before the shuffle. Only
+    messages of conversations with quotes are cut up.
+    """
+    quoting = known.where("size(excerpts) > 0")
+    level = F.explode("excerpts").alias("e")
+    asked = quoting.select("conv_id", "turn", level).select("conv_id", "turn", "e.level", F.explode(_pieces(F.col("e.parts"), F.col("e.text"))).alias("p"))
+    asked = asked.select("conv_id", "turn", "level", "p.*").distinct()
+    body = F.coalesce("body", F.lit(""))
+    parts = F.transform(F.concat(F.split(body, "\n"), F.split(body, r"\n[ \t]*\n")), normalised)
+    own = known.join(quoting.select("conv_id").distinct(), "conv_id", "left_semi")
+    own = own.select("conv_id", "turn", F.explode(_pieces(parts, normalised(body))).alias("p")).select("conv_id", "turn", "p.key")
+    first = own.join(asked.select("conv_id", "key").distinct(), ["conv_id", "key"], "left_semi")
+    first = first.groupBy("conv_id", "key").agg(F.min("turn").alias("held"))
+    hits = asked.join(first, ["conv_id", "key"]).where("held < turn").groupBy("conv_id", "turn", "level", "held", "kind")
+    hits = hits.agg(F.sum("words").alias("words"))
+    more = F.when(F.col("kind") == "run", F.lit(RUN_WORDS - 1)).otherwise(F.lit(0))
+    return hits.select("conv_id", "turn", "level", "held", "kind", (F.col("words") + more).alias("words"))
+
+
 def quote_threads(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, body, n_quotes, quote_depth, parent_turn, thread_turn, depth, place of every message.
 
@@ -57,7 +104,9 @@ def quote_threads(messages: DataFrame) -> DataFrame:
       lines at its ends; ``n_quotes`` counts the quoted passages (neighbouring lines of one level), ``quote_depth`` is the
       highest level.
     * A quoted passage or line belongs to the earliest message of the conversation whose own words hold it as a whole, a
-      passage or a line, compared by a hash of the normalised text. ``parent_turn`` is the earlier message that the lowest
+      passage or a line, compared by a hash of the normalised text; so does a sentence of it, or a run of RUN_WORDS words,
+      to the earliest that holds those. The words that a message quotes of another are the most that whole passages,
+      sentences or runs show. An excerpt under RUN_WORDS words that is no sentence is not found. ``parent_turn`` is the earlier message that the lowest
       quote level with any match quotes most words of (of equals, the later); null without one.
     * ``thread_turn`` is the first message of the reply chain, ``depth`` its length, and ``place`` numbers a conversation's
       messages from 0, thread by thread in the order of turns: every reply comes after what it answers.
@@ -84,6 +133,13 @@ def quote_threads(messages: DataFrame) -> DataFrame:
             F.coalesce(F.array_max(F.transform("lines", lambda x: x["level"])), F.lit(0)).cast("long").alias("quote_depth"),
             _passages(F.col("own"), _runs(F.col("own")), F.coalesce("body", F.lit(""))).alias("originals"),
             _passages(F.col("quoted"), F.col("quote_runs")).alias("quotes"),
+            F.transform(
+                "quote_runs",
+                lambda p: F.struct(
+                    p["level"].alias("level"), normalised(p["body"]).alias("text"),
+                    F.transform(F.concat(F.split(p["body"], "\n"), F.array(p["body"])), normalised).alias("parts"),
+                ),
+            ).alias("excerpts"),
         ),
         "messages",
     )
@@ -94,7 +150,9 @@ def quote_threads(messages: DataFrame) -> DataFrame:
     wanted = asked.select("conv_id", "key").distinct()
     first = holders.join(wanted, ["conv_id", "key"], "left_semi").groupBy("conv_id", "key").agg(F.min("turn").alias("held"))
     hits = asked.join(first, ["conv_id", "key"]).where("held < turn")
-    hits = hits.groupBy("conv_id", "turn", "level", "held").agg(F.sum("words").alias("words"))
+    hits = hits.groupBy("conv_id", "turn", "level", "held").agg(F.sum("words").alias("words")).withColumn("kind", F.lit("whole"))
+    hits = hits.unionByName(_excerpt_hits(known))
+    hits = hits.groupBy("conv_id", "turn", "level", "held").agg(F.max("words").alias("words"))
     best = F.min_by("held", F.struct("level", (-F.col("words")).alias("w"), (-F.col("held")).alias("h")))
     parents = stored(hits.groupBy("conv_id", "turn").agg(best.alias("parent")), "parents")
     chains = _chains(parents)

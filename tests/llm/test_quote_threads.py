@@ -100,3 +100,24 @@ def test_long_chains_by_brute_force(spark):
 def test_chat_text(spark):
     df = quote_threads(spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, None, "> hi\nyo")], "conv_id long, turn long, role string, text string"))
     assert [r["message"] for r in chat_text(df).orderBy("place").collect()] == ["<|user|>\nhi\n", "<|unknown|>\nyo\n"]
+
+
+def test_excerpts_and_rewrapped_quotes_find_their_original(spark):
+    long = "The table has two columns. Sort it by the second one! Then take the first ten rows of every group and write them out"
+    out = threads(
+        spark,
+        [
+            (1, 0, "user", "Hello there. How do I do this?"),
+            (1, 1, "assistant", long),
+            (1, 2, "user", "> Sort it by\n>  the second one!\n\nAscending?"),  # a sentence, wrapped anew
+            (1, 3, "user", "> first ten rows of\n> every group and\n\nWhy ten?"),  # neither a sentence nor a line
+            (1, 4, "user", "> How do I do this?\nLike so."),  # the second sentence of a line
+            (1, 5, "assistant", ">> Sort it by the second one!\n> Ascending?\nYes."),
+            (1, 6, "user", "> Hello there. And then take the first ten rows of every group\nMostly turn 1."),
+            (1, 7, "user", "> first ten apples of every tree\nNothing of it was said."),
+            (2, 0, "user", "> Sort it by the second one!\nOther conversation."),
+        ],
+    )
+    parents = {k[:2]: r["parent_turn"] for k, r in out.items()}
+    assert parents == {(1, 0): None, (1, 1): None, (1, 2): 1, (1, 3): 1, (1, 4): 0, (1, 5): 2, (1, 6): 1, (1, 7): None, (2, 0): None}
+    assert out[1, 5, "assistant"]["thread_turn"] == 1 and out[1, 5, "assistant"]["depth"] == 2
