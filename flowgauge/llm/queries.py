@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowgauge.llm.alignment import align_tokenizers
 from flowgauge.llm.hyperplane_dedup import near_duplicate_vectors
 from flowgauge.llm.labelled import held_out
 from flowgauge.llm.mixing import mixing_plan
@@ -90,6 +91,12 @@ def op10_additive_quality(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(quality_scores(docs, fit_quality(docs, labels)), 0.3)
 
 
+def op12_window_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """How the tokens of two tokenizers overlap in every document, and how common its links are in all of them."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf, "documents"), *paths).documents
+
+
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return scores.select("doc_id", held_out().alias("held_out"), "score", predicted)
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_string_kernel_toxicity,
         op9_threshold_topk,
         op10_additive_quality,
+        op12_window_alignment,
     )
 }
 
