@@ -101,3 +101,24 @@ def quote_threads_sql() -> str:
         FROM messages m LEFT JOIN bodies b USING (id) LEFT JOIN parents p ON p.conv_id = m.conv_id AND p.turn = m.turn
         LEFT JOIN ends e ON e.conv_id = m.conv_id AND e.turn = m.turn)
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread_turn, turn, role) - 1 AS place FROM out"""
+
+
+def vector_codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS (SELECT id, p, min(list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * {entries} + e) AS best
+        FROM parts JOIN book{r} USING (p) GROUP BY id, p)""")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, best % {entries} AS e, i, CAST(floor(CAST(sum(s[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+        FROM near{r} JOIN parts USING (id, p), unnest(range(1, len(s) + 1)) AS u(i) GROUP BY ALL) GROUP BY p, e),
+    book{r + 1} AS (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m USING (p, e))""")
+    chain = ",\n    ".join(steps)
+    return f"""WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
+        list_transform(CAST(embedding AS DOUBLE[]), lambda c: CAST(floor({scale} * c) AS BIGINT)) AS x
+        FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    parts AS (SELECT id, p, x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS s FROM v, unnest(range({parts})) AS u(p)),
+    book0 AS (SELECT p, id - 1 AS e, s AS c FROM parts WHERE id <= {entries}),
+    {chain},
+    digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}),
+    coded AS (SELECT id, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error FROM near{rounds} GROUP BY id)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM v JOIN coded USING (id), digest"""

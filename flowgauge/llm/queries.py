@@ -11,7 +11,14 @@ from flowgauge.llm.hyperplane_dedup import near_duplicate_vectors
 from flowgauge.llm.labelled import held_out
 from flowgauge.llm.mixing import mixing_plan
 from flowgauge.llm.near_dedup import near_duplicates
-from flowgauge.llm.oracles import mixing_sql, near_duplicates_sql, near_vectors_sql, quote_threads_sql, topk_sql
+from flowgauge.llm.oracles import (
+    mixing_sql,
+    near_duplicates_sql,
+    near_vectors_sql,
+    quote_threads_sql,
+    topk_sql,
+    vector_codes_sql,
+)
 from flowgauge.llm.packing import pack_documents
 from flowgauge.llm.quality import fit_quality, quality_scores
 from flowgauge.llm.quote_threads import quote_threads
@@ -20,6 +27,7 @@ from flowgauge.llm.threshold_search import exact_topk
 from flowgauge.llm.token_orc import read_tokens, token_index, write_tokens
 from flowgauge.llm.toxicity import fit_toxicity, toxicity_scores
 from flowgauge.llm.url_filter import fit_urls, judge_urls, labelled_by_words
+from flowgauge.llm.vector_codes import code_vectors
 from flowgauge.session import scratch_path
 
 #: Fixed values of the URL query: rules, and words of hosts that count as labelled spam.
@@ -91,6 +99,11 @@ def op10_additive_quality(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(quality_scores(docs, fit_quality(docs, labels)), 0.3)
 
 
+def op11_gnat_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors as codes of 16 parts, with codebooks of 64 entries moved twice."""
+    return code_vectors(table(spark, sf, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
 def op12_window_alignment(spark: SparkSession, sf: str) -> DataFrame:
     """How the tokens of two tokenizers overlap in every document, and how common its links are in all of them."""
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -115,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_string_kernel_toxicity,
         op9_threshold_topk,
         op10_additive_quality,
+        op11_gnat_codes,
         op12_window_alignment,
     )
 }
@@ -125,4 +139,5 @@ ORACLES: dict[str, str] = {
     "op4_systematic_mixing": mixing_sql((3, 1, 2), 1.5, 2.0, 7),
     "op6_quote_threads": quote_threads_sql(),
     "op9_threshold_topk": topk_sql(20, 20, 64),
+    "op11_gnat_codes": vector_codes_sql(16, 64, 2, 256),
 }
