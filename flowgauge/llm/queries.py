@@ -20,6 +20,7 @@ from flowgauge.llm.oracles import (
     vector_codes_sql,
 )
 from flowgauge.llm.packing import pack_documents
+from flowgauge.llm.partition_search import nearest_neighbours
 from flowgauge.llm.quality import fit_quality, quality_scores
 from flowgauge.llm.quote_threads import quote_threads
 from flowgauge.llm.tables import table
@@ -110,6 +111,11 @@ def op12_window_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return align_tokenizers(table(spark, sf, "documents"), *paths).documents
 
 
+def op13_learned_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The 10 nearest of all vectors for every hundredth, found in the parts that a classifier routes it to."""
+    return nearest_neighbours(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return scores.select("doc_id", held_out().alias("held_out"), "score", predicted)
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_additive_quality,
         op11_gnat_codes,
         op12_window_alignment,
+        op13_learned_partitions,
     )
 }
 

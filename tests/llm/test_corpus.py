@@ -30,7 +30,7 @@ def test_query_equals_sql(name, spark):
 def test_all_are_registered():
     names = set(entry.queries())
     assert names >= set(QUERIES) | {"pipeline"}
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 
