@@ -2,7 +2,10 @@
 
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -11,13 +14,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowgauge.llm.encoding import is_joined
 from flowgauge.llm.tables import stored
 from flowgauge.llm.turns import take_turn
 
 #: Characters that go through the tokenizers together; characters and different windows that a block of texts may hold.
-AT_ONCE, BLOCK_CHARS, BLOCK_WINDOWS = 1 << 19, 1 << 24, 400_000
+AT_ONCE, BLOCK_CHARS, BLOCK_WINDOWS = 1 << 20, 1 << 24, 400_000
+#: Words whose ids a worker remembers from block to block.
+REMEMBERED = 150_000
 #: Stands between the ids of a window's two sides; no id of a vocabulary of up to 65,535 tokens.
 _BETWEEN = 0xFFFF
+#: How pieces write a space: a fixed value.
+_SPACE = "▁"
+#: A space before white space.
+_BESIDE = re.compile(r" \s")
 _DOC = "doc_id long, block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _FIRST = f"{_DOC}, windows binary, lens binary, links binary, pair long, n long"
 _LAST = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -51,6 +61,7 @@ class ByteLevel:
         for token, i in vocabulary.items():
             known = all(c in letters for c in token)
             self.bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
+        self.by_word = is_joined(path)
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
@@ -63,15 +74,61 @@ class Pieces:
         import sentencepiece
 
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = model.id_to_piece(list(range(model.get_piece_size())))
         self.bytes = [
-            bytes([int(piece[3:-1], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
-            for i, piece in enumerate(model.id_to_piece(list(range(model.get_piece_size()))))
+            bytes([int(piece[3:-1], 16)]) if model.is_byte(i) else piece.replace(_SPACE, " ").encode()
+            for i, piece in enumerate(pieces)
         ]
+        # No piece has a space behind another letter: none is joined across the place before a word's space.
+        self.by_word = not any(_SPACE in piece.lstrip(_SPACE) for piece in pieces)
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
+class BothSides:
+    """Ids on both sides, as bytes of 16-bit integers, of whole texts and of words that are remembered.
+
+    Neither tokenizer joins across the place before a space that has no other white space around it. A text whose
+    spaces are all like that has the ids of its words, one after the other; a word goes through both tokenizers once.
+    """
+
+    def __init__(self, a_path: str, b_path: str):
+        self.sides = ByteLevel(a_path), Pieces(b_path)
+        self.tokens = [side.bytes for side in self.sides]
+        if max(map(len, self.tokens)) > _BETWEEN:
+            raise ValueError(f"vocabularies of up to {_BETWEEN} tokens only")
+        self.by_word = all(side.by_word for side in self.sides)
+        self.places: dict[str, int] = {}  # of words in the lists below
+        self.known: list[list[bytes]] = [[], []]
+
+    def together(self, texts: list[str]) -> list[list[bytes]]:
+        """Ids by side and text; empty where a side's tokens aren't space and text."""
+        out = [[array("H", ids) for ids in side(texts)] for side in self.sides]
+        first, second = ([b"".join(map(t.__getitem__, ids)) for ids in o] for t, o in zip(self.tokens, out, strict=True))
+        good = [x == y == f" {text}".encode() for x, y, text in zip(first, second, texts, strict=True)]
+        return [[o.tobytes() if g else b"" for o, g in zip(side, good, strict=True)] for side in out]
+
+    def words(self, texts: list[str]) -> list[list[int] | None]:
+        """Places of each text's words among those known; null for a text that has to go through as a whole."""
+        cut = [
+            text.split(" ") if self.by_word and text and text[0] != " " != text[-1] and not _BESIDE.search(text) else None
+            for text in texts
+        ]
+        fresh = list({w for some in cut if some for w in some}.difference(self.places))
+        self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh)), strict=True))
+        for known, ids in zip(self.known, self.together(fresh), strict=True):
+            known += ids
+        return [some and list(map(self.places.__getitem__, some)) for some in cut]
+
+    def forget(self) -> None:
+        """Keep the words that came first, as they are the most frequent."""
+        if len(self.places) > REMEMBERED:
+            self.places = dict(islice(self.places.items(), REMEMBERED))
+            for known in self.known:
+                del known[REMEMBERED:]
+
+
 def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one range after the other."""
     ends = np.cumsum(lengths)
@@ -90,14 +147,13 @@ class Aligner:
     """Aligns texts by windows between verified shared ends, each different window once.
 
     A window begins where a token of either side ends and the next ones of both begin with a space, or with the text. Its ids
-    of both sides are the key under which its groups, its links and its bytes are remembered for the rest of a block.
+    of both sides are the key under which its groups and links are remembered for the rest of a block. Words that neither
+    tokenizer joins with others are windows; their numbers are remembered too.
     """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = ByteLevel(a_path), Pieces(b_path)
-        if max(len(self.a.bytes), len(self.b.bytes)) > _BETWEEN:
-            raise ValueError(f"vocabularies of up to {_BETWEEN} tokens only")
-        sides = (self.a.bytes, self.b.bytes)
+        self.encode = BothSides(a_path, b_path)
+        sides = self.encode.tokens
         self.length = [np.array([len(t) for t in side], np.int64) for side in sides]
         self.spaced = [np.array([t[:1] == b" " for t in side]) for side in sides]
         # Ids as text with the mark behind them: within a side, and at its end.
@@ -109,9 +165,10 @@ class Aligner:
 
     def clear(self) -> None:
         """Forget all windows: a new block begins."""
+        self.encode.forget()
         self.numbers = _Numbers()
+        self.of_place = np.full(len(self.encode.places), -1)  # window of each word; -1 if not met in this block
         self.texts: list[str] = []  # groups of each window, as text
-        self.bytes: list[bytes | None] = []  # null where both sides differ
         self.links: list[bytes] = []  # of each window, a << 32 | b
         self.sizes = np.zeros((4, 1024), np.int64)  # n_a, n_b, n_groups, n_links by window
         self.counts = np.zeros(1024, np.int64)  # windows in texts
@@ -125,24 +182,44 @@ class Aligner:
 
     def align(self, texts: list[str]) -> list[tuple[np.ndarray, str] | None]:
         """(numbers of a text's windows, its groups' sha256), or null for a text without tokens on either side."""
-        raw = [b" " + t.encode() for t in texts]
-        ids = [[np.array(x, np.uint16) for x in side(texts)] for side in (self.a, self.b)]
+        known, places = self.encode.known, self.encode.words(texts)
+        flat = np.fromiter(chain.from_iterable(some for some in places if some), np.int64)
+        self.of_place = np.pad(self.of_place, (0, len(known[0]) - len(self.of_place)), constant_values=-1)
+        met = np.unique(flat)
+        # A word is a window, as both sides end before its space.
+        fresh = [p for p in met[self.of_place[met] == -1].tolist() if known[0][p]]
+        for p, (number,) in zip(fresh, self._windows([[side[p] for p in fresh] for side in known]), strict=True):
+            self.of_place[p] = number
+        # Words that aren't their tokens are left without a window; so are texts whose words may be joined.
+        numbers, found, begin = self.of_place[flat], [], 0
+        for some in places:
+            found.append(None if some is None else numbers[begin : begin + len(some)])
+            begin += len(some or ())
+        whole = [i for i, f in enumerate(found) if texts[i] and (f is None or f.min() < 0)]
+        ids = self.encode.together([texts[i] for i in whole])
+        for i, f in zip(whole, self._windows(ids), strict=True):
+            found[i] = f
         out: list = [None] * len(texts)
-        # Where the sides' lengths differ from the text's, so do the bytes.
-        good = [
-            i
-            for i, text in enumerate(texts)
-            if text and all(self.length[s][ids[s][i]].sum() == len(raw[i]) for s in range(2))
-        ]
+        for i, mine in enumerate(found):
+            if mine is not None and len(mine):
+                groups = "".join(map(self.texts.__getitem__, mine.tolist()))[:-1]
+                out[i] = mine, hashlib.sha256(groups.encode()).hexdigest()
+                np.add.at(self.counts, mine, 1)
+        return out
+
+    def _windows(self, lists: list[list[bytes]]) -> list[np.ndarray]:
+        """Numbers of the windows of texts, given by their ids on both sides; none for a text without ids."""
+        out = [np.zeros(0, np.int64)] * len(lists[0])
+        good = [i for i, ids in enumerate(lists[0]) if ids]
         if not good:
             return out
-        a, b = (np.concatenate([side[i] for i in good]) for side in ids)
+        a, b = (np.frombuffer(b"".join([side[i] for i in good]), np.uint16) for side in lists)
         ends_a, ends_b = np.cumsum(self.length[0][a]), np.cumsum(self.length[1][b])
         ended = np.zeros((2, ends_a[-1] + 1), bool)
         ended[0, ends_a] = ended[1, ends_b] = True
         # Last tokens of groups on both sides; texts end together, so no group runs over two of them.
         last_a, last_b = np.nonzero(ended[1, ends_a])[0], np.nonzero(ended[0, ends_b])[0]
-        text_ends = np.cumsum([len(raw[i]) for i in good])
+        text_ends = ends_a[np.cumsum([len(lists[0][i]) // 2 for i in good]) - 1]
         cut = np.append(self.spaced[0][a[last_a[:-1] + 1]] & self.spaced[1][b[last_b[:-1] + 1]], True)
         cut[np.searchsorted(ends_a[last_a], text_ends)] = True
         end_a, end_b = last_a[cut] + 1, last_b[cut] + 1
@@ -153,29 +230,19 @@ class Aligner:
         keys[np.arange(len(a)) + np.repeat(start_b + nth, end_a - start_a)] = a
         keys[np.arange(len(b)) + np.repeat(end_a + nth + 1, end_b - start_b)] = b
         bounds, flat = (2 * (end_a + end_b + nth + 1)).tolist(), keys.tobytes()
-        known = len(self.numbers)
-        numbers = np.array(
-            [self.numbers[flat[s:e]] for s, e in zip([0, *bounds[:-1]], bounds, strict=True)], np.int64
-        )
+        known, number_of = len(self.numbers), self.numbers.__getitem__
+        numbers = np.array([number_of(flat[s:e]) for s, e in zip([0, *bounds[:-1]], bounds, strict=True)], np.int64)
         if len(self.numbers) > known:
             first = np.unique(numbers, return_index=True)[1]
             fresh = np.sort(first[numbers[first] >= known])  # in the order of their numbers
             self._learn(a, b, ends_a, ends_b, start_a[fresh], end_a[fresh], start_b[fresh], end_b[fresh], ended)
-        windows = np.searchsorted(ends_a[end_a - 1], text_ends, "right")
         begin = 0
-        for i, end in zip(good, windows.tolist(), strict=True):
-            mine, begin = numbers[begin:end], end
-            each = mine.tolist()
-            parts = [self.bytes[w] for w in each]
-            if None in parts or b"".join(parts) != raw[i]:
-                continue
-            groups = "".join([self.texts[w] for w in each])[:-1]
-            out[i] = mine, hashlib.sha256(groups.encode()).hexdigest()
-            np.add.at(self.counts, mine, 1)
+        for i, end in zip(good, np.searchsorted(ends_a[end_a - 1], text_ends, "right").tolist(), strict=True):
+            out[i], begin = numbers[begin:end], end
         return out
 
     def _learn(self, a, b, ends_a, ends_b, start_a, end_a, start_b, end_b, ended) -> None:
-        """Groups, links and bytes of windows not met before."""
+        """Groups and links of windows not met before."""
         self._grow()
         at = slice(len(self.texts), len(self.texts) + len(start_a))
         n_a, n_b = end_a - start_a, end_b - start_b
@@ -197,15 +264,11 @@ class Aligner:
         words = words[np.argsort(group, kind="stable")].tolist()
         # Offsets of every window in the lists above.
         word_ends, link_ends, packed = np.cumsum(n_a + n_b).tolist(), (8 * np.cumsum(n_links)).tolist(), links.tobytes()
-        list_a, list_b = a[in_a].tolist(), b[in_b].tolist()
-        ends_of_a, ends_of_b = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        w = x = y = z = 0
-        for we, xe, ye, ze in zip(word_ends, link_ends, ends_of_a, ends_of_b, strict=True):
+        w = x = 0
+        for we, xe in zip(word_ends, link_ends, strict=True):
             self.texts.append("".join(words[w:we]))
             self.links.append(packed[x:xe])
-            left = b"".join([self.a.bytes[i] for i in list_a[y:ye]])
-            self.bytes.append(left if left == b"".join([self.b.bytes[i] for i in list_b[z:ze]]) else None)
-            w, x, y, z = we, xe, ye, ze
+            w, x = we, xe
 
     def summary(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The block's different pairs and how often each is linked; links by window and, as places in the pairs, the links."""
