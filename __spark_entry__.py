@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 from collections.abc import Callable
 
 from pyspark.ml.feature import SQLTransformer
@@ -59,7 +60,7 @@ from flowgauge.sources.fixed_values import (
     WEEKDAY_LABELS,
 )
 from flowgauge.sources.readers import read_days, read_flow, read_report, read_swipes
-from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report, write_swipes
+from flowgauge.sources.sinks import write_bytes, write_chart_feed, write_flow, write_forecast, write_report, write_swipes
 from flowgauge.streaming.flow_stream import flow_stream, run_available, stream_parquet, with_open_slots
 
 HORIZON_DAYS = 5
@@ -144,20 +145,24 @@ def read_days_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_days_mixed(spark: SparkSession, sf: str) -> DataFrame:
-    """A folder as it comes: days with their columns in another order, a file without a day, one that is no swipe file."""
+    """A folder as it comes: days with their columns in another order or compressed, a file without a day, one that is no
+    swipe file, one that is cut off behind its first rows."""
     path = scratch_path(spark, "mixed")
     swipes = event_swipes(spark, sf).select("time", "lineID", "stationID", "status").withColumn("day", F.to_date("time"))
     odd = F.dayofmonth("day") % 2 == 1
 
-    def put(df: DataFrame, folder: str) -> None:
+    def put(df: DataFrame, folder: str, compression: str = "none") -> None:
         df.hint("rebalance", F.col("day")).write.partitionBy("day").option("header", True).option(
             "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
-        ).csv(f"{path}/{folder}")
+        ).option("compression", compression).csv(f"{path}/{folder}")
 
     put(swipes.where(odd), "first")
-    put(swipes.where(~odd).select("status", "stationID", "time", "lineID", "day"), "second")
+    put(swipes.where(~odd).select("status", "stationID", "time", "lineID", "day"), "second", "gzip")
     put(swipes.select(F.col("stationID").alias("station"), "day").distinct(), "third")
     swipes.drop("day").limit(10).write.option("header", True).csv(f"{path}/extra")
+    lines = [f"2024-01-03 08:{i // 60 % 60:02d}:{i % 60:02d},{'ABC'[i % 3]},{i % 81},{i % 2}\n" for i in range(20_000)]
+    whole = gzip.compress(f"time,lineID,stationID,status\n{''.join(lines)}".encode())
+    write_bytes(spark, f"{path}/fourth/record_2024-01-03.csv.gz", whole[: len(whole) // 2])
     first, last = datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)
     return read_days(spark, path, first, last).select("date", "time", "lineID", "stationID", "status")
 

@@ -26,7 +26,8 @@ from flowgauge.plans.report import build_report
 from flowgauge.plans.rollup import station_flow
 from flowgauge.sources.dims import line_dim, station_dim, target_label_dim
 from flowgauge.sources.fixed_values import TARGET_STATIONS, UNUSED_COLUMNS
-from flowgauge.sources.readers import day_headers, days_with_files, read_days, read_flow, read_swipes, skipped_files
+from flowgauge.sources.ledger import file_ledger
+from flowgauge.sources.readers import days_with_files, read_days, read_flow, read_swipes, skipped_files
 from flowgauge.sources.schemas import FLOW
 from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report
 
@@ -43,18 +44,19 @@ def run_rollup(
     """Roll the swipe files of a range of days up into a flow table; returns the days without any.
 
     All days are one roll-up, so a station counts 0 on a day on which it has no swipe. Beside the
-    flow, in folders that readers pass over, stand the counts of swipes left out (``_audit``) and
-    the files left out (``_skipped``). The days are known from the paths of the files that were
+    flow, in folders that readers pass over, stand the counts of swipes left out (``_audit``), all
+    files with their rows (``_files``) and those left out (``_skipped``). The days are known from the paths of the files that were
     read: a day whose files were all left out counts as one without any.
     """
-    headers = day_headers(spark, raw, start, end)
-    swipes = read_days(spark, raw, start, end, headers=headers)
+    ledger = file_ledger(spark, raw, start, end)
+    swipes = read_days(spark, raw, start, end, ledger=ledger)
     if is_empty(swipes):
         raise ValueError(f"no swipes from {start} to {end} in {raw}")
     write_flow(station_flow(swipes, step), out, fmt)
     rollup_audit(swipes).write.mode("overwrite").parquet(f"{out}/_audit")
-    skipped_files(spark, raw, start, end, headers).write.mode("overwrite").parquet(f"{out}/_skipped")
-    return missing_days(days_with_files(spark, headers), start, end)
+    ledger.write.mode("overwrite").parquet(f"{out}/_files")
+    skipped_files(ledger).write.mode("overwrite").parquet(f"{out}/_skipped")
+    return missing_days(days_with_files(ledger), start, end)
 
 
 def run_profiles(spark: SparkSession, raw: str, out: str) -> None:

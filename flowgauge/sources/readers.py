@@ -2,45 +2,31 @@
 
 import datetime
 import functools
-import re
-from multiprocessing.pool import ThreadPool
 
-from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.functions.numfns import number_from_thousands
 from flowgauge.sources.fixed_values import REPORT_COLUMNS
+from flowgauge.sources.ledger import date_in, file_ledger
 from flowgauge.sources.schemas import BAD_RECORD, FLOW, REPORT, SWIPE
 
-# What a swipe file must have to be rolled up.
-NEEDED = ("time", "stationID", "status")
-DATE_IN_PATH = r".*(\d{4}-\d{2}-\d{2})"
-# What a file's own content makes the decoders say. Anything else that stops a look at a file is no fault of the file.
-BAD_CONTENT = re.compile(
-    r"not a gzip file|incorrect (?:header|data|length) check|invalid (?:block type|stored block lengths|distance|code lengths|bit length)[^\n]*"
-    r"|java\.util\.zip\.(?:ZipException|DataFormatException)|EOFException: Unexpected end of input stream|ZstdIOException"
-    r"|(?:unexpected end of stream|Exception: [^\n]*)\n\s+at org\.apache\.hadoop\.io\.compress\.bzip2|univocity\.parsers\.common\.TextParsingException"
-    r"|MalformedInputException|UnmappableCharacterException"
-)
-#: A file's path, its header, and why it is left out: empty for a good one.
-Header = tuple[str, tuple[str, ...], str]
-
 
 def _csv_files(
     spark: SparkSession, path: str | list[str], declared: T.StructType, header: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """Declared types in the order of the files' own header; other columns are text."""
-    reader = spark.read.option("header", True)
-    header = header or reader.csv(path).columns
+    """Declared types in the order of the files' own header; other columns are text.
+
+    Where ``header`` is given, all files are known to have it.
+    """
+    reader, known = spark.read.option("header", True), header is not None
+    header = header if known else reader.csv(path).columns
     types = {field.name: field.dataType for field in declared}
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     return (
         reader.schema(T.StructType([*fields, T.StructField(BAD_RECORD, T.StringType())]))
-        .option("enforceSchema", False)
+        .option("enforceSchema", known)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
         .csv(path)
@@ -65,75 +51,39 @@ def read_days(
     start: datetime.date,
     end: datetime.date,
     declared: T.StructType = SWIPE,
-    headers: list[Header] | None = None,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
     """Swipe files of a range of days, with the ``date`` that stands in each file's path.
 
     ``record_2024-01-05.csv`` and ``day=2024-01-05/part-0.csv`` are both found. Files of other days,
     and files without a date in their path, are not opened. Columns are found by name in every
-    file: files are read together by header, and a column that some lack is null there. Files
-    with corrupt content or without a needed column are left out; ``skipped_files`` tells which
-    and why, and ``missing_days`` the days without rows. Any other error ends the read. ``headers``
-    is what ``day_headers`` found, for callers that also ask for the skipped files.
+    file: files are read together by header, and a column that some lack is null there. Every file
+    is decoded once before (``file_ledger``): those that are broken or cut off anywhere, or lack a
+    needed column, are left out as a whole; ``skipped_files`` tells which and why, and
+    ``missing_days`` the days without rows. Any other error ends the read. ``ledger`` is the table
+    of ``file_ledger``, for callers that also ask for the skipped files.
     """
-    day = F.try_to_date(F.regexp_extract("_metadata.file_path", DATE_IN_PATH, 1))
-    good: dict[tuple[str, ...], list[str]] = {}
-    for path, header, reason in day_headers(spark, folder, start, end) if headers is None else headers:
-        if not reason:
-            good.setdefault(header, []).append(path)
-    if not good:
+    ledger = file_ledger(spark, folder, start, end) if ledger is None else ledger
+    good = ledger.where("fault is null").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    day = date_in("_metadata.file_path")
+    parts = [
+        _csv_files(spark, paths, declared, tuple(header)).withColumn("date", day).drop(BAD_RECORD)
+        for header, paths in sorted(good.collect())
+    ]
+    if not parts:
         fields = T.StructType([*declared.fields, T.StructField("date", T.DateType())])
         return spark.createDataFrame([], fields)
-    parts = [_csv_files(spark, paths, declared, header).withColumn("date", day).drop(BAD_RECORD) for header, paths in good.items()]
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def skipped_files(
-    spark: SparkSession, folder: str, start: datetime.date, end: datetime.date, headers: list[Header] | None = None
-) -> DataFrame:
+def skipped_files(ledger: DataFrame) -> DataFrame:
     """``file`` and ``reason`` of the files that ``read_days`` leaves out, those of other days aside."""
-    headers = day_headers(spark, folder, start, end) if headers is None else headers
-    rows = [(path.rsplit("/", 1)[-1], reason) for path, _, reason in headers if reason]
-    return spark.createDataFrame(rows, "file string, reason string")
-
+    return ledger.where("fault is not null").select(F.substring_index("path", "/", -1).alias("file"), F.col("fault").alias("reason"))
 
-def days_with_files(spark: SparkSession, headers: list[Header]) -> DataFrame:
-    """``date``: the days that stand in the paths of the files that are read. No file is opened."""
-    paths = spark.createDataFrame([(path,) for path, _, reason in headers if not reason], "path string")
-    return paths.select(F.try_to_date(F.regexp_extract("path", DATE_IN_PATH, 1)).alias("date")).distinct()
 
-
-def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    """``path`` and ``date`` of all files below a folder, from their metadata."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return files.select("path", F.try_to_date(F.regexp_extract("path", DATE_IN_PATH, 1)).alias("date"))
-
-
-def day_headers(spark: SparkSession, folder: str, start: datetime.date, end: datetime.date) -> list[Header]:
-    """(path, header, why it is left out) of the files of a range of days and those without a day.
-
-    A file's header takes a job that reads its first line, several side by side: as many as the
-    range has files. Files are left out for their own faults alone: no date in the path, corrupt
-    content, a lacking column. Other errors (storage, lost executors, a cancelled job) are raised.
-    """
-    listed = _listed(spark, folder).where(F.col("date").isNull() | F.col("date").between(F.lit(start), F.lit(end)))
-
-    def look(file: Row) -> Header:
-        if file["date"] is None:
-            return file["path"], (), "no date in its path"
-        try:
-            header = tuple(spark.read.option("header", True).csv(file["path"]).columns)
-        except (PySparkException, Py4JJavaError) as error:
-            fault = BAD_CONTENT.search(str(error))
-            if not fault:
-                raise
-            return file["path"], (), f"unreadable: {fault[0].splitlines()[0]}"
-        lacking = [c for c in NEEDED if c not in header]
-        return file["path"], header, f"no column {', '.join(lacking)}" if lacking else ""
-
-    files = listed.orderBy("path").collect()
-    with ThreadPool(8) as pool:
-        return pool.map(inheritable_thread_target(spark)(look), files)
+def days_with_files(ledger: DataFrame) -> DataFrame:
+    """``date``: the days that stand in the paths of the files that are read."""
+    return ledger.where("fault is null").select("date").distinct()
 
 
 def read_flow(

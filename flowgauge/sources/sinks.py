@@ -1,6 +1,6 @@
 """Writing flow tables, forecasts, reports and the tables behind charts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import time_text
@@ -58,3 +58,13 @@ def write_swipes(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
     ).csv(path)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """One small file as it is, through the file system that Spark uses for the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()

@@ -1,7 +1,12 @@
+import bz2
 import datetime
 import glob
+import gzip
+import random
+import zlib
 
 import pytest
+import zstandard
 from conftest import at, day, rows_of
 from pyspark.errors import PySparkException
 
@@ -9,6 +14,7 @@ from flowgauge.plans.profiles import line_station_profile
 from flowgauge.plans.rollup import station_flow
 from flowgauge.session import scratch_path
 from flowgauge.sources.events import event_swipes
+from flowgauge.sources.ledger import file_ledger
 from flowgauge.sources.readers import read_days, read_flow, read_report, read_swipes, skipped_files
 from flowgauge.sources.sinks import write_chart_feed, write_flow, write_forecast, write_report
 from flowgauge.streaming.flow_stream import flow_stream, late_swipes, run_available, with_open_slots
@@ -64,7 +70,7 @@ def test_a_folder_as_it_comes(spark, tmp_path):
     assert rows_of(got) == sorted(
         [(day("2019-01-01"), at("2019-01-01 08:00:00"), None, 1, 1), (day("2019-01-02"), at("2019-01-02 08:00:00"), "B", 2, 0)], key=str
     )
-    skipped = dict(rows_of(skipped_files(spark, str(tmp_path), *span)))
+    skipped = dict(rows_of(skipped_files(file_ledger(spark, str(tmp_path), *span))))
     assert set(skipped) == {"record_extra.csv", "notes_2019-01-03.csv", "record_2019-01-04.csv.gz", "record_2019-02-30.csv"}
     assert skipped["record_extra.csv"] == "no date in its path" and skipped["notes_2019-01-03.csv"].startswith("no column")
     assert skipped["record_2019-01-04.csv.gz"].startswith(("unreadable", "no column"))
@@ -204,22 +210,82 @@ def test_stream_closes_slots_as_batch_counts_them_and_resumes(spark, tmp_path):
     assert rows_of(late_swipes(written, swipes)) == [(1, base, 1)]
 
 
-def test_errors_that_are_no_fault_of_a_file_end_the_read(spark, tmp_path, monkeypatch):
-    """A time-out of the storage is raised; the content of a corrupt file has the file left out."""
+def packed(kind, data):
+    if kind == "gz":
+        return gzip.compress(data)
+    if kind == "bz2":
+        return bz2.compress(data)
+    if kind == "zst":
+        return zstandard.ZstdCompressor().compress(data)
+    return zlib.compress(data)
+
+
+SPAN = (day("2019-01-01"), day("2019-01-31"))
+
+
+def some_lines(n, d=1):
+    rng = random.Random(n)
+    return "".join(f"2019-01-{d:02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:00,{rng.randrange(81)},{rng.randrange(2)}\n" for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["gz", "bz2", "zst", "deflate"])
+def test_a_file_damaged_behind_its_first_lines_is_left_out_as_a_whole(spark, tmp_path, kind):
+    """Cut off or broken in the middle: listed and passed over; other days are read, whole and streamed files too."""
+    good = f"time,stationID,status\n{some_lines(5000)}".encode()
+    data = packed(kind, good)
+    write(tmp_path, "record_2019-01-01.csv", good.decode())
+    for d, content in {2: data, 3: data[: len(data) // 2], 4: data[: len(data) // 2] + bytes(40) + data[len(data) // 2 + 40 :], 5: data[:-3]}.items():
+        (tmp_path / f"record_2019-01-{d:02d}.csv.{kind}").write_bytes(content)
+    if kind in ("gz", "bz2"):  # several streams in a row are one file
+        (tmp_path / f"record_2019-01-06.csv.{kind}").write_bytes(packed(kind, good[:70_000]) + packed(kind, good[70_000:]))
+    ledger = file_ledger(spark, str(tmp_path), *SPAN)
+    found = {r["path"].rsplit("/", 1)[-1]: r for r in ledger.collect()}
+    whole = {f for f, r in found.items() if not r["fault"]}
+    broken = {f"record_2019-01-{d:02d}.csv.{kind}" for d in (3, 5)} | ({f"record_2019-01-04.csv.{kind}"} if kind != "zst" else set())
+    assert set(found) - whole >= broken and {"record_2019-01-01.csv", f"record_2019-01-02.csv.{kind}"} <= whole
+    assert all(found[f]["rows"] == 5000 and found[f]["header"] == ["time", "stationID", "status"] for f in whole if f[-3:] != "zst" or "-02" in f)
+    assert found[f"record_2019-01-03.csv.{kind}"]["fault"].startswith("unreadable: ")
+    if kind == "zst":
+        return  # Spark reads it only where its Hadoop has the library
+    counts = {r["date"].day: r["count"] for r in read_days(spark, str(tmp_path), *SPAN, ledger=ledger).groupBy("date").count().collect()}
+    assert counts == dict.fromkeys([1, 2, 6] if kind in ("gz", "bz2") else [1, 2], 5000)
+    assert {r["file"] for r in skipped_files(ledger).collect()} == broken
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_files(spark, tmp_path):
+    context, jobs = spark.sparkContext, []
+    for n in (80, 240):
+        for i in range(n):
+            write(tmp_path / str(n), f"a{i}_2019-01-{i % 28 + 1:02d}.csv", f"time,stationID,status\n{some_lines(3, i % 28 + 1)}")
+            if i % 2:
+                (tmp_path / str(n) / f"b{i}_2019-01-{i % 28 + 1:02d}.csv.gz").write_bytes(gzip.compress(b"time,status,stationID\n" + b"2019-01-01 00:00:00,1,2\n" * (i % 5)))
+        context.setJobGroup(f"files-{n}", "")
+        assert read_days(spark, str(tmp_path / str(n)), *SPAN).count() == 3 * n + sum(i % 5 for i in range(n) if i % 2)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"files-{n}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] < 15
+
+
+def test_lines_of_a_large_file_are_counted_by_many_tasks(spark, tmp_path):
+    """The header is the first line of the file, whatever task reads it; blank lines and marks before it don't count."""
+    write(tmp_path, "record_2019-01-02.csv", f"\ufeff\n\ntime,stationID,status\n{some_lines(30_000, 2)}\n\n")
+    write(tmp_path, "record_2019-01-03.csv", "")
+    write(tmp_path, "record_2019-01-04.csv", 'time,"station,ID",,Time,stationID,status\r\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = {r["date"].day: r for r in file_ledger(spark, str(tmp_path), *SPAN).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[2]["rows"] == 30_000 and found[2]["header"][1:] == ["stationID", "status"]
+    assert found[3]["rows"] == 0 and found[3]["fault"] == "no column time, stationID, status"
+    assert found[4]["rows"] == 0 and found[4]["header"] == ["time", "station,ID", "_c2", "Time3", "stationID", "status"] and not found[4]["fault"]
+
+
+def test_errors_that_are_no_fault_of_a_file_end_the_read(spark, tmp_path):
+    """A file that is gone by the time it is read."""
     write(tmp_path, "record_2019-01-01.csv", "time,stationID,status\n2019-01-01 08:00:00,1,1\n")
-    span = (str(tmp_path), day("2019-01-01"), day("2019-01-31"))
-    real = type(spark.read).csv
-    for said, left_out in (("java.net.SocketTimeoutException: Read timed out", False), ("java.io.IOException: not a gzip file", True)):
-
-        def csv(reader, path, *args, said=said, **more):
-            if str(path).endswith("record_2019-01-01.csv"):
-                raise PySparkException(said)
-            return real(reader, path, *args, **more)
-
-        with monkeypatch.context() as m:
-            m.setattr(type(spark.read), "csv", csv)
-            if left_out:
-                assert [r["file"] for r in skipped_files(spark, *span).collect()] == ["record_2019-01-01.csv"]
-            else:
-                with pytest.raises(PySparkException, match="timed out"):
-                    read_days(spark, *span)
+    ledger = file_ledger(spark, str(tmp_path), *SPAN)
+    (tmp_path / "record_2019-01-01.csv").unlink()
+    with pytest.raises(PySparkException):
+        read_days(spark, str(tmp_path), *SPAN, ledger=ledger).collect()
