@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from flowgauge.functions.timefns import bucket, date_text, parse_time, time_text, two_digits
 from flowgauge.models.competition import TARGETS, fit_daily_models, fit_slot_models
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
-from flowgauge.operators.features import daily_features, slot_features, standardize
+from flowgauge.models.normal_equations import linear_cv
+from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_features, standardize
 from flowgauge.operators.flow import daily_totals, merge_directions, union_all
 from flowgauge.operators.lookup import with_line_name, with_station_label, with_station_name
 from flowgauge.operators.quality import missing_days, quality_audit, rollup_audit, unmapped
@@ -66,6 +67,9 @@ from flowgauge.streaming.flow_stream import flow_stream, run_available, stream_p
 HORIZON_DAYS = 5
 RECURSIVE_DAYS = 6
 
+# Elimination without pivots, as in the SQL counterpart, needs a ridge where features depend on each other.
+CV_RIDGE = 1e-6
+
 # Coefficients of the recursive forecast that has an SQL counterpart; binary fractions, so that
 # both engines compute the same doubles.
 ENTRY_LINE = {"": 1.0, "prev_day_in": 0.5, "rolling_mean_in_7d": 0.25, "isWeekend": 2.0}
@@ -292,9 +296,9 @@ def day_type_rows(spark: SparkSession, sf: str, part: int) -> DataFrame:
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["hour", "minute", "weekday", "station_10", "inNums"]
     scaled = standardize(slot_features(_kept_flow(spark, sf), TARGET_STATIONS), columns)
-    # Six decimals by floor, which costs a fraction of decimal rounding on this many rows.
-    values = [(F.floor(F.col(f"{c}_z") * 1e6 + 0.5) / 1e6).alias(f"{c}_z") for c in columns]
-    return scaled.select("stationID", "startTime", *values)
+    # Millionths as whole numbers; every slot is in one of the counts.
+    values = [F.floor(F.col(f"{c}_z") * 1e6 + 0.5).cast("bigint").alias(f"{c}_z") for c in columns]
+    return scaled.select(*values).groupBy(*[f"{c}_z" for c in columns]).agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_exact_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,6 +338,12 @@ def linear_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rows, 8, "slope", "intercept")
 
 
+def linear_cv_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Least squares on the daily features of all stations, scored on five folds of days, from one aggregation."""
+    table = daily_features(_daily(spark, sf, ["stationID"]), ["stationID"])
+    return _rounded(linear_cv(table, DAILY_FEATURES, TARGETS, ridge=CV_RIDGE), 6, "mse", "rmse", "r2")
+
+
 def baseline_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """Two plain predictions of a station's daily entries, scored on five folds: its mean and the mean of all stations,
     both over the other folds."""
@@ -546,6 +556,7 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "folds": lambda spark, sf: contiguous_folds(_daily(spark, sf), "date"),
         "regression_metrics": regression_metrics_query,
         "linear_trend": linear_trend,
+        "linear_cv": linear_cv_query,
         "baseline_leaderboard": baseline_leaderboard,
         "baseline_winner": baseline_winner,
         # Models and forecasts
@@ -639,17 +650,20 @@ _NAMED = "swipes lines names named"
 _HOURLY = f"{_NAMED} hour_counts hour_spine hourly"
 
 
-def _daily_features_sql(steps: str, table: str, key: str = "") -> str:
+def _daily_features_sql(steps: str, table: str, key: str = "", digits: int | None = 8) -> str:
     first = f"{key}, " if key else ""
     over = f'OVER ({f"PARTITION BY {key} " if key else ""}ORDER BY "date"'
     seven = f"{over} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
+
+    def mean(column: str) -> str:
+        return f'avg("{column}") {seven}' if digits is None else f'round(avg("{column}") {seven}, {digits})'
+
     return _with(
         steps,
         f"""SELECT {first}"date", "inNums", "outNums", {_CALENDAR},
         coalesce(lag("inNums") {over}), "inNums") AS prev_day_in,
         coalesce(lag("outNums") {over}), "outNums") AS prev_day_out,
-        round(avg("inNums") {seven}, 8) AS rolling_mean_in_7d,
-        round(avg("outNums") {seven}, 8) AS rolling_mean_out_7d FROM {table}""",
+        {mean("inNums")} AS rolling_mean_in_7d, {mean("outNums")} AS rolling_mean_out_7d FROM {table}""",
     )
 
 
@@ -732,6 +746,40 @@ def _baseline_sql(body: str) -> str:
     return _with(_STATION_DAILY, f", {steps} {body}")
 
 
+def _linear_cv_sql(ridge: float = CV_RIDGE) -> str:
+    """Sums over the other folds, elimination without pivots on scaled features, residuals of the fold's own rows."""
+    names, p = [f'"{c}"' for c in DAILY_FEATURES], len(DAILY_FEATURES)
+
+    def cell(i: int, j: int) -> str:
+        return f"covar_pop({names[i]}, {names[j]}) / (d[{i + 1}] * d[{j + 1}]) + {ridge if i == j else 0.0!r}"
+
+    def system(target: str) -> str:
+        rows = [
+            f"""[{", ".join(cell(i, j) for j in range(p))}, covar_pop({names[i]}, "{target}") / d[{i + 1}]]""" for i in range(p)
+        ]
+        return f"""SELECT '{target}' AS target, out, m, d, avg("{target}") AS y, [{", ".join(rows)}] AS a
+            FROM sides GROUP BY out, m, d"""
+
+    steps = f"""seen AS MATERIALIZED ({_daily_features_sql(_STATION_DAILY, "station_daily", '"stationID"', None)}),
+        folded AS MATERIALIZED (SELECT s.*, fold FROM seen s JOIN (SELECT "date", CAST(ntile(5) OVER (ORDER BY "date") - 1 AS INTEGER) AS fold
+            FROM (SELECT DISTINCT "date" FROM seen)) USING ("date")),
+        scales AS (SELECT f.out, [{", ".join(f"avg({c})" for c in names)}] AS m,
+            [{", ".join(f"CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END" for c in names)}] AS d
+            FROM folded JOIN (SELECT DISTINCT fold AS out FROM folded) f ON fold <> out GROUP BY f.out),
+        sides AS (SELECT folded.*, scales.* FROM folded JOIN scales ON fold <> out),
+        systems AS ({" UNION ALL ".join(system(t) for t in TARGETS)}),
+        solved AS (SELECT target, out, m, d, y, a, 0 AS k FROM systems UNION ALL
+            SELECT target, out, m, d, y, list_transform(a, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / a[k + 1][k + 1])
+                ELSE list_transform(r, lambda v, j: v - r[k + 1] * a[k + 1][j] / a[k + 1][k + 1]) END), k + 1 FROM solved WHERE k < {p}),
+        guessed AS (SELECT target, fold, CASE target WHEN 'inNums' THEN "inNums" ELSE "outNums" END AS t,
+            y + {" + ".join(f"a[{i + 1}][{p + 1}] * ({c} - m[{i + 1}]) / d[{i + 1}]" for i, c in enumerate(names))} AS guess
+            FROM folded JOIN solved ON fold = out AND k = {p})"""
+    body = """SELECT target, fold, count(*) AS n, round(avg((t - guess) * (t - guess)), 6) AS mse, round(sqrt(avg((t - guess) * (t - guess))), 6) AS rmse,
+        round(CASE WHEN var_pop(t) > 0 THEN 1 - avg((t - guess) * (t - guess)) / var_pop(t)
+            WHEN avg((t - guess) * (t - guess)) = 0 THEN 1 ELSE 0 END, 6) AS r2 FROM guessed GROUP BY target, fold"""
+    return f"WITH RECURSIVE {steps} {body}"
+
+
 def _spline_sql(n: int = 300) -> str:
     """The not-a-knot spline through hourly points: forward elimination and back substitution, a row a step."""
     chain = f"""points AS MATERIALIZED (SELECT "lineName", "time", avg("count") OVER (PARTITION BY "lineName" ORDER BY "time"
@@ -776,11 +824,11 @@ def _scaled_sql() -> str:
     columns = ["hour", "minute", "weekday", "station_10", "inNums"]
     stats = ", ".join(f'avg("{c}") AS "{c}_m", stddev_pop("{c}") AS "{c}_s"' for c in columns)
     scaled = ", ".join(
-        f'floor(("{c}" - "{c}_m") / CASE WHEN "{c}_s" > 0 THEN "{c}_s" ELSE 1 END * 1e6 + 0.5) / 1e6 AS "{c}_z"'
+        f"""CAST(floor(("{c}" - "{c}_m") / CASE WHEN "{c}_s" > 0 THEN "{c}_s" ELSE 1 END * 1e6 + 0.5) AS BIGINT) AS "{c}_z\""""
         for c in columns
     )
     body = f""", kept AS MATERIALIZED (SELECT * FROM features)
-        SELECT "stationID", "startTime", {scaled} FROM kept CROSS JOIN (SELECT {stats} FROM kept)"""
+        SELECT {scaled}, count(*) AS n FROM kept CROSS JOIN (SELECT {stats} FROM kept) GROUP BY ALL"""
     return _with(f"{_FLOW} features", body)
 
 
@@ -947,6 +995,7 @@ def flow_oracles() -> dict[str, str]:
                 avg("inNums") OVER (PARTITION BY "stationID") AS p FROM flow) GROUP BY 1""",
         ),
         "linear_trend": _with(f"{_FLOW} features", trends),
+        "linear_cv": _linear_cv_sql(),
         "forecast_grid": _with(
             "swipes valid days stations",
             f"""SELECT "stationID", "startTime", "startTime" + INTERVAL 10 MINUTE AS "endTime" FROM stations CROSS JOIN (

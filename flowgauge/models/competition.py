@@ -11,7 +11,8 @@ from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.models.estimators import DAILY_CANDIDATES, SLOT_CANDIDATES, Candidate
+from flowgauge.models.estimators import DAILY_CANDIDATES, SLOT_CANDIDATES, Candidate, linear
+from flowgauge.models.normal_equations import linear_folds
 from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_feature_columns, slot_features
 from flowgauge.operators.rows import for_stations
 from flowgauge.operators.sampling import contiguous_folds, with_test_flag, with_time_test_flag
@@ -152,8 +153,20 @@ def cross_validate(
     """R2 and RMSE of every candidate on every contiguous fold, for entries and exits.
 
     A fold is scored once for both measures, and scaling is learned inside the fold's training
-    rows. Columns: ``target``, ``model``, ``place``, ``fold``, ``n``, ``mse``, ``rmse``, ``r2``.
+    rows. Least squares lines of all folds come from one aggregation (``linear_folds``).
+    Columns: ``target``, ``model``, ``place``, ``fold``, ``n``, ``mse``, ``rmse``, ``r2``.
     """
+    place = {model: i for i, model in enumerate(candidates)}
+    schema = "target string, model string, place int, fold int, n bigint, mse double, rmse double, r2 double"
+    lines = [model for model, build in candidates.items() if build is linear]
+    scores = [
+        (target, model, place[model], *rest)
+        for model in lines
+        for target, *rest in linear_folds(table, features, TARGETS, folds, order)[1]
+    ]
+    fitted = {model: build for model, build in candidates.items() if model not in lines}
+    if not fitted:
+        return table.sparkSession.createDataFrame(scores, schema)
     # One row per day: a single sorted partition, so that a seeded fit is repeatable.
     numbered = contiguous_folds(table, order, folds).coalesce(1).sortWithinPartitions(order)
     numbered = numbered.persist(StorageLevel.MEMORY_AND_DISK)
@@ -168,18 +181,16 @@ def cross_validate(
                 target,
             )
             for target in TARGETS
-            for model, build in candidates.items()
+            for model, build in fitted.items()
             for fold in used
         }
         done = run_all(table.sparkSession, work)
     finally:
         numbered.unpersist()
-    place = {model: i for i, model in enumerate(candidates)}
-    scores = [
+    scores += [
         (target, model, place[model], fold, row["n"], row["mse"], row["rmse"], row["r2"])
         for (target, model, fold), (_, row) in done.items()
     ]
-    schema = "target string, model string, place int, fold int, n bigint, mse double, rmse double, r2 double"
     return table.sparkSession.createDataFrame(scores, schema)
 
 

@@ -17,6 +17,7 @@ from flowgauge.models.competition import (
 )
 from flowgauge.models.estimators import KernelRegression, PopulationScaler, linear, random_forest
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
+from flowgauge.models.normal_equations import Moments, linear_cv, linear_folds
 from flowgauge.operators.features import DAILY_FEATURES, daily_features
 from flowgauge.operators.stats import regression_metrics
 from flowgauge.plans.report import build_report
@@ -95,6 +96,68 @@ def test_linear_of_dependent_columns_is_the_exact_solution(spark, daily):
     assert (first["inNums"], first["outNums"]) == (1_128_473, 1_127_295)
 
 
+def plain_folds(table, target, folds=5):
+    """(fold, n, mse, r2) of least squares lines of least weights on scaled features, each fold left out in turn."""
+    rows = table.orderBy("date").collect()
+    x = np.array([[float(r[c]) for c in DAILY_FEATURES] for r in rows])
+    y = np.array([float(r[target]) for r in rows])
+    dates = sorted({r["date"] for r in rows})
+    fold_of = {d: f for f, block in enumerate(np.array_split(dates, folds)) for d in block}
+    fold = np.array([fold_of[r["date"]] for r in rows])
+    for f in range(folds):
+        a, b = x[fold != f], x[fold == f]
+        mean, std = a.mean(0), np.where(a.std(0) > 0, a.std(0), 1)
+        weights = np.linalg.lstsq((a - mean) / std, y[fold != f] - y[fold != f].mean(), rcond=1e-7)[0]
+        wrong = y[fold == f] - (b - mean) / std @ weights - y[fold != f].mean()
+        yield f, len(b), (wrong**2).mean(), 1 - (wrong**2).mean() / y[fold == f].var()
+
+
+def test_linear_folds_equal_exact_solutions(daily):
+    """All folds of the 25 days, whose calendar features depend on each other, from one aggregation."""
+    table = daily_features(daily)
+    for target in ("inNums", "outNums"):
+        got = [r for r in linear_cv(table, DAILY_FEATURES, ["inNums", "outNums"]).collect() if r["target"] == target]
+        want = list(plain_folds(table, target))
+        assert [(r["fold"], r["n"]) for r in got] == [w[:2] for w in want]
+        assert [r["mse"] for r in got] == pytest.approx([w[2] for w in want], rel=1e-4)
+        assert [r["r2"] for r in got] == pytest.approx([w[3] for w in want], rel=1e-4)
+
+
+def test_linear_folds_run_one_job_and_give_the_line_of_all_rows(spark, daily):
+    table = daily_features(daily)
+    spark.sparkContext.setJobGroup("folds", "")
+    lines, scores = linear_folds(table, DAILY_FEATURES, ["inNums"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("folds")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert len(jobs) <= 1 + plan.count("Exchange") and len(scores) == 5  # a stage of the one query may be a job
+    predicted = predict(table, linear(DAILY_FEATURES, "inNums").fit(table)).select("date", "prediction").collect()
+    ours = {r["date"]: r["_in"] for r in linear_predictor(lines["inNums"].coefficients(), {})(table).collect()}
+    assert ours == pytest.approx({r["date"]: r["prediction"] for r in predicted}, rel=1e-5)
+
+
+def test_moments_add_up_where_means_are_large():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3)) + 1e9
+
+    def of(rows):
+        return Moments(("a", "b", "c"), len(rows), rows.mean(0), (rows - rows.mean(0)).T @ (rows - rows.mean(0)))
+
+    both, whole = of(x[:130]) + of(x[130:131]) + of(x[131:]), of(x)
+    assert both.n == 400 and np.allclose(both.products, whole.products, rtol=1e-6)
+    empty = Moments(("a", "b", "c"), 0, np.zeros(0), np.zeros(0))
+    assert (empty + whole) is whole and (whole + empty) is whole
+
+
+def test_linear_folds_with_nulls_constants_and_few_days(spark, daily):
+    rows = [(day(f"2024-01-0{d}"), float(v), 7.0, None if d == 3 else float(2 * v + 1)) for d, v in ((1, 4), (2, 6), (3, 9), (4, 11))]
+    table = spark.createDataFrame(rows, "date date, a double, flat double, y double")
+    got = linear_cv(table, ["a", "flat"], ["y"]).collect()
+    assert [(r["fold"], r["n"]) for r in got] == [(0, 1), (1, 1), (2, 1)] and all(r["rmse"] < 1e-4 for r in got)
+    assert linear_cv(table.where("a > 10"), ["a"], ["y"]).count() == 0  # no other fold to learn from
+    assert linear_cv(table.where("a > 99"), ["a"], ["y"]).count() == 0
+
+
 def test_kernel_regression_beats_the_line_on_a_wave(wave):
     curve = r2(predict(wave, KernelRegression(["x", "flat"], "y").fit(wave)))
     assert curve > 0.99 > r2(predict(wave, linear(["x", "flat"], "y").fit(wave)))
