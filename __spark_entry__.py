@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import bucket, date_text, parse_time, time_text, two_digits
-from flowgauge.models.competition import TARGETS, fit_daily_models, fit_slot_models
+from flowgauge.models.competition import TARGETS, fit_daily_models, fit_slot_models, predict
+from flowgauge.models.estimators import KernelRegression, kernel_draws
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
 from flowgauge.models.normal_equations import linear_cv
 from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_features, standardize
@@ -69,6 +70,7 @@ RECURSIVE_DAYS = 6
 
 # Elimination without pivots, as in the SQL counterpart, needs a ridge where features depend on each other.
 CV_RIDGE = 1e-6
+KERNEL_WAVES = 8
 
 # Coefficients of the recursive forecast that has an SQL counterpart; binary fractions, so that
 # both engines compute the same doubles.
@@ -344,6 +346,22 @@ def linear_cv_query(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(linear_cv(table, DAILY_FEATURES, TARGETS, ridge=CV_RIDGE), 6, "mse", "rmse", "r2")
 
 
+def kernel_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """The random waves that stand for the kernel, of the daily features of all stations."""
+    table = daily_features(_daily(spark, sf, ["stationID"]), ["stationID"])
+    estimator = KernelRegression(DAILY_FEATURES, "inNums", size=KERNEL_WAVES)
+    waves = F.transform("waves", lambda w: F.round(w, 8))
+    return estimator.waves(table).transform(table).select("stationID", "date", F.posexplode(waves).alias("wave", "value"))
+
+
+def support_vector_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Support vector regression of daily entries and exits of all stations, as predictions."""
+    table = daily_features(_daily(spark, sf, ["stationID"]), ["stationID"])
+    for target in TARGETS:
+        table = predict(table, KernelRegression(DAILY_FEATURES, target, loss="epsilon").fit(table), f"{target}_fit")
+    return table.select("stationID", "date", *TARGETS, *[f"{target}_fit" for target in TARGETS])
+
+
 def baseline_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """Two plain predictions of a station's daily entries, scored on five folds: its mean and the mean of all stations,
     both over the other folds."""
@@ -557,6 +575,8 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "regression_metrics": regression_metrics_query,
         "linear_trend": linear_trend,
         "linear_cv": linear_cv_query,
+        "kernel_waves": kernel_waves,
+        "support_vector_days": support_vector_days,
         "baseline_leaderboard": baseline_leaderboard,
         "baseline_winner": baseline_winner,
         # Models and forecasts
@@ -780,6 +800,18 @@ def _linear_cv_sql(ridge: float = CV_RIDGE) -> str:
     return f"WITH RECURSIVE {steps} {body}"
 
 
+def _kernel_waves_sql() -> str:
+    weights, phases = kernel_draws(len(DAILY_FEATURES), 1.0 / len(DAILY_FEATURES), KERNEL_WAVES)
+    stats = ", ".join(f'avg("{c}") AS "{c}_m", stddev_pop("{c}") AS "{c}_s"' for c in DAILY_FEATURES)
+    scaled = ", ".join(f'("{c}" - "{c}_m") / CASE WHEN "{c}_s" > 0 THEN "{c}_s" ELSE 1 END' for c in DAILY_FEATURES)
+    draws = ", ".join(f"({i}, {row.tolist()!r}::DOUBLE[], {float(phase)!r}::DOUBLE)" for i, (row, phase) in enumerate(zip(weights, phases, strict=True)))
+    return f"""WITH seen AS MATERIALIZED ({_daily_features_sql(_STATION_DAILY, "station_daily", '"stationID"', None)}),
+        scaled AS (SELECT "stationID", "date", [{scaled}]::DOUBLE[] AS z FROM seen CROSS JOIN (SELECT {stats} FROM seen)),
+        draws AS (SELECT * FROM (VALUES {draws}) AS t(wave, w, phase))
+        SELECT "stationID", "date", CAST(wave AS INTEGER) AS wave,
+        round(sqrt(2.0::DOUBLE / {KERNEL_WAVES}) * cos(list_inner_product(z, w) + phase), 8) AS "value" FROM scaled CROSS JOIN draws"""
+
+
 def _spline_sql(n: int = 300) -> str:
     """The not-a-knot spline through hourly points: forward elimination and back substitution, a row a step."""
     chain = f"""points AS MATERIALIZED (SELECT "lineName", "time", avg("count") OVER (PARTITION BY "lineName" ORDER BY "time"
@@ -996,6 +1028,7 @@ def flow_oracles() -> dict[str, str]:
         ),
         "linear_trend": _with(f"{_FLOW} features", trends),
         "linear_cv": _linear_cv_sql(),
+        "kernel_waves": _kernel_waves_sql(),
         "forecast_grid": _with(
             "swipes valid days stations",
             f"""SELECT "stationID", "startTime", "startTime" + INTERVAL 10 MINUTE AS "endTime" FROM stations CROSS JOIN (
@@ -1035,7 +1068,7 @@ def flow_oracles() -> dict[str, str]:
     }
     dated = """read_days_roundtrip flow_parquet_roundtrip missing_days weekday_rows weekend_rows date_label_by_day
         daily_totals daily_flow station_daily_flow daily_features station_daily_features last_days last_day
-        slot_features folds recursive_linear read_days_mixed flow_csv_roundtrip""".split()
+        slot_features folds kernel_waves recursive_linear read_days_mixed flow_csv_roundtrip""".split()
     for name in dated:
         statements[name] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({statements[name]})'
     return statements

@@ -7,6 +7,8 @@ import math
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (
@@ -18,6 +20,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.models.support_vectors import SupportVectorFit, fit_support_vectors
+
 SCALED = "_z"
 RIDGE = 1e-8
 
@@ -48,6 +52,13 @@ class PopulationScaler(Estimator):
         return _scaler(_scaling(dataset, self.columns)[1])
 
 
+def kernel_draws(features: int, gamma: float, size: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and phases of ``size`` random waves for the Gaussian kernel exp(-gamma * distance^2)."""
+    random = np.random.default_rng(seed)
+    weights = random.normal(0.0, math.sqrt(2.0 * gamma), (size, features))
+    return weights, random.uniform(0.0, 2.0 * math.pi, size)
+
+
 class KernelRegression(Estimator):
     """Smooth regression with a Gaussian kernel, in the place of a support vector regressor.
 
@@ -56,7 +67,9 @@ class KernelRegression(Estimator):
     compare all pairs of rows. ``gamma="scale"`` is one over features times their variance.
     ``c`` weighs the errors against the penalty. ``loss="huber"`` counts large errors by their
     size and not their square, as a support vector regressor does; it is fitted in several
-    passes.
+    passes. ``loss="epsilon"`` is the loss of a support vector regressor itself: errors up to
+    ``epsilon`` cost nothing, others what they are above it (``fit_support_vectors``); ``fit_``
+    then holds the objective and its duality gap.
     """
 
     def __init__(
@@ -68,23 +81,25 @@ class KernelRegression(Estimator):
         c: float = 1.0,
         loss: str = "squared",
         seed: int = 42,
+        epsilon: float = 0.1,
     ):
         super().__init__()
-        if loss not in ("squared", "huber"):
-            raise ValueError("loss must be 'squared' or 'huber'")
-        self.loss = loss
+        if loss not in ("squared", "huber", "epsilon"):
+            raise ValueError("loss must be 'squared', 'huber' or 'epsilon'")
+        self.loss, self.epsilon = loss, epsilon
+        self.fit_: SupportVectorFit | None = None
         self.features, self.label = features, label
         self.size, self.gamma, self.c, self.seed = size, gamma, c, seed
 
-    def _fit(self, dataset: DataFrame) -> PipelineModel:
+    def _kernel(self, dataset: DataFrame) -> tuple[int, dict[str, tuple[float, float]], np.ndarray, np.ndarray]:
+        """Row count, scaling, and the directions and phases of the waves."""
         n, stats = _scaling(dataset, self.features)
         varying = sum(1 for _, std in stats.values() if std > 0)
         # Scaled columns have variance 1 or 0, so features times variance is the varying ones.
         gamma = 1.0 / max(varying, 1) if self.gamma == "scale" else float(self.gamma)
-        random = np.random.default_rng(self.seed)
-        weights = random.normal(0.0, math.sqrt(2.0 * gamma), (self.size, len(self.features)))
-        phases = random.uniform(0.0, 2.0 * math.pi, self.size)
-        scale = math.sqrt(2.0 / self.size)
+        return n, stats, *kernel_draws(len(self.features), gamma, self.size, self.seed)
+
+    def _wave_stages(self, stats: dict[str, tuple[float, float]], weights: np.ndarray, phases: np.ndarray) -> list:
         # The weights are one literal array, each wave's phase at its end: the generated code
         # stays small, and the same, whatever the number of waves.
         literal = ", ".join(
@@ -92,13 +107,27 @@ class KernelRegression(Estimator):
         )
         inputs = ", ".join(f"`{f}{SCALED}`" for f in self.features)
         wave = (
-            f"{scale!r}D * cos(aggregate(zip_with(w, array({inputs}, 1.0D), (a, b) -> a * b), "
+            f"{math.sqrt(2.0 / self.size)!r}D * cos(aggregate(zip_with(w, array({inputs}, 1.0D), (a, b) -> a * b), "
             "0.0D, (total, v) -> total + v))"
         )
-        names = [f"wave_{i}" for i in range(self.size)]
-        stages = [
+        return [
             _scaler(stats),
             SQLTransformer(statement=f"SELECT *, transform(array({literal}), w -> {wave}) AS waves FROM __THIS__"),
+        ]
+
+    def waves(self, dataset: DataFrame) -> PipelineModel:
+        """Adds the scaled features and ``waves``, whose products stand for the kernel; nothing is fitted but the scaling."""
+        _, stats, weights, phases = self._kernel(dataset)
+        return Pipeline(stages=self._wave_stages(stats, weights, phases)).fit(dataset)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        n, stats, weights, phases = self._kernel(dataset)
+        waves = self._wave_stages(stats, weights, phases)
+        if self.loss == "epsilon":
+            return Pipeline(stages=[*waves, self._fit_epsilon(dataset, stats, weights, phases)]).fit(dataset)
+        names = [f"wave_{i}" for i in range(self.size)]
+        stages = [
+            *waves,
             SQLTransformer(
                 statement=f"SELECT *, {', '.join(f'waves[{i}] AS `{n}`' for i, n in enumerate(names))} FROM __THIS__"
             ),
@@ -113,6 +142,28 @@ class KernelRegression(Estimator):
         ]
         return Pipeline(stages=stages).fit(dataset)
 
+    def _fit_epsilon(
+        self, dataset: DataFrame, stats: dict[str, tuple[float, float]], weights: np.ndarray, phases: np.ndarray
+    ) -> SQLTransformer:
+        """The last stage: prediction from the waves."""
+        columns, label, scale = self.features, self.label, math.sqrt(2.0 / self.size)
+        mean = np.array([stats[f][0] for f in columns])
+        deviation = np.array([stats[f][1] or 1.0 for f in columns])
+
+        def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            x = np.stack([batch.column(f).to_numpy() for f in columns], 1)
+            return scale * np.cos((x - mean) / deviation @ weights.T + phases), batch.column(label).to_numpy()
+
+        rows = dataset.dropna("any", subset=[*columns, label]).select(*[F.col(f).cast("double").alias(f) for f in [*columns, label]])
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.fit_ = fit_support_vectors(rows, label, features, self.size, self.c, self.epsilon)
+        finally:
+            rows.unpersist()
+        literal = ", ".join(f"{float(v)!r}D" for v in self.fit_.weights)
+        line = f"aggregate(zip_with(waves, array({literal}), (a, b) -> a * b), {self.fit_.intercept!r}D, (total, v) -> total + v)"
+        return SQLTransformer(statement=f"SELECT *, {line} AS prediction FROM __THIS__")
+
 
 def scaled_pipeline(features: list[str], regressor: Estimator) -> Pipeline:
     assembler = VectorAssembler(inputCols=[f"{f}{SCALED}" for f in features], outputCol="features")

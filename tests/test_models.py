@@ -174,6 +174,49 @@ def test_huber_loss_shrugs_off_outliers(wave):
         KernelRegression(["x"], "y", loss="other")
 
 
+def objective(model, df, label, c, epsilon, weights):
+    """The support vector objective of a fitted pipeline, row by row."""
+    rows = model.transform(df).select(label, "prediction").collect()
+    return weights @ weights / 2 + c * sum(max(0.0, abs(r[label] - r["prediction"]) - epsilon) for r in rows)
+
+
+@pytest.mark.parametrize("scale, c, epsilon", [(1.0, 1.0, 0.1), (1.0, 20.0, 0.01), (1e5, 1.0, 0.1), (1.0, 1.0, 5.0)])
+def test_epsilon_loss_closes_the_duality_gap(wave, scale, c, epsilon):
+    noisy = wave.withColumn("z", F.col("y") * scale + F.when(F.col("x") % 0.5 == 0, 3 * scale).otherwise(0.0))
+    estimator = KernelRegression(["x", "flat"], "z", size=32, loss="epsilon", c=c, epsilon=epsilon)
+    model = estimator.fit(noisy.repartition(5))
+    fit = estimator.fit_
+    assert fit.gap <= 1e-3 * max(fit.objective, 1e-9)
+    assert objective(model, noisy, "z", c, epsilon, fit.weights) == pytest.approx(fit.objective, rel=1e-6, abs=1e-9)
+    again = KernelRegression(["x", "flat"], "z", size=32, loss="epsilon", c=c, epsilon=epsilon)
+    again.fit(noisy.repartition(2))
+    assert again.fit_.objective == pytest.approx(fit.objective, rel=1e-3, abs=1e-9)
+    # No small step from the solution is better.
+    rng = np.random.default_rng(2)
+    waves = model.transform(noisy).select("waves", "z").collect()
+    z, y = np.array([r["waves"] for r in waves]), np.array([r["z"] for r in waves])
+    for size in (1e-3, 1e-1, 1.0):
+        w = fit.weights + size * rng.normal(size=32)
+        other = w @ w / 2 + c * np.maximum(0, np.abs(y - z @ w - fit.intercept) - epsilon).sum()
+        assert other >= fit.objective - fit.gap
+
+
+def test_epsilon_loss_on_few_rows_and_saved(spark, daily):
+    """The 25 days with the settings of a support vector regressor: labels far beyond c give almost their median."""
+    table = daily_features(daily)
+    estimator = KernelRegression(DAILY_FEATURES, "inNums", loss="epsilon")
+    model = estimator.fit(table)
+    assert estimator.fit_.gap <= 1e-3 * estimator.fit_.objective
+    got = predict(table, model).agg(F.min("prediction"), F.max("prediction")).first()
+    median = sorted(r["inNums"] for r in daily.collect())[12]
+    assert got[1] - got[0] < 100 and abs(got[0] - median) < 100
+    path = scratch_path(spark, "svr")
+    model.write().save(path)
+    assert rows_of(predict(table, PipelineModel.load(path))) == rows_of(predict(table, model))
+    with pytest.raises(ValueError):
+        KernelRegression(DAILY_FEATURES, "inNums", loss="epsilon").fit(table.where("inNums < 0"))
+
+
 def test_kernel_features_stand_for_the_gaussian_kernel(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (2.0, 3.0)], "x double, y double")
     model = KernelRegression(["x"], "y", size=1024, gamma=0.7).fit(df)
