@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.functions.numfns import clamp_zero, half_even
+from flowgauge.functions.timefns import is_weekend, monday_weekday, week_number
 from flowgauge.models.competition import DAY_TYPES, TARGETS, predict
 from flowgauge.operators.features import calendar_features, slot_features
 from flowgauge.operators.flow import union_all
@@ -62,17 +63,83 @@ def model_predictor(models: dict[Hashable, Transformer]) -> Predictor:
     return apply
 
 
-def linear_predictor(entries: dict[str, float], exits: dict[str, float]) -> Predictor:
-    """Predictor from given coefficients by feature name; the name ``""`` holds the intercept."""
+class LinearPredictor:
+    """Lines of entries and exits from coefficients by feature name; the name ``""`` holds the intercept."""
+
+    def __init__(self, entries: dict[str, float], exits: dict[str, float]):
+        self.entries, self.exits = entries, exits
 
-    def line(coefficients: dict[str, float]) -> Column:
+    @staticmethod
+    def line(coefficients: dict[str, float], feature: Callable[[str], Column]) -> Column:
         total = F.lit(float(coefficients.get("", 0.0)))
         for name, value in coefficients.items():
             if name:
-                total = total + F.lit(float(value)) * F.col(name)
+                total = total + F.lit(float(value)) * feature(name)
         return total
 
-    return lambda df: df.withColumns({"_in": line(entries), "_out": line(exits)})
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({"_in": self.line(self.entries, F.col), "_out": self.line(self.exits, F.col)})
+
+
+def linear_predictor(entries: dict[str, float], exits: dict[str, float]) -> LinearPredictor:
+    """Predictor from given coefficients by feature name; the name ``""`` holds the intercept."""
+    return LinearPredictor(entries, exits)
+
+
+def _mean(tail: Column | str) -> Column:
+    total = F.aggregate(tail, F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return total.cast("double") / F.size(tail)
+
+
+def _last_seven(tail: Column, value: Column) -> Column:
+    return F.slice(F.concat(tail, F.array(value)), F.greatest(F.size(tail) - 5, F.lit(1)), 7)
+
+
+def _folded_days(predictor: LinearPredictor, horizon: int, update: bool, clamp: bool) -> Column:
+    """All forecast days of a series as an array, folded over the horizon from the columns of its state."""
+    calendar = {
+        "dayOfWeek": monday_weekday,
+        "dayOfMonth": F.dayofmonth,
+        "isWeekend": is_weekend,
+        "week_number": week_number,
+    }
+    none = F.array().cast("array<struct<date:date,dayOfWeek:int,inNums:bigint,outNums:bigint>>")
+    start = {"in": F.col("_now_in").cast("bigint"), "out": F.col("_now_out").cast("bigint"), "days": none}
+    if update:
+        start |= {"tail_in": F.col("_tail_in"), "tail_out": F.col("_tail_out")}
+
+    def step(state: Column, number: Column) -> Column:
+        date = F.date_add(F.col("_last"), number)
+
+        def feature(name: str) -> Column:
+            if name in calendar:
+                return calendar[name](date)
+            for side in ("in", "out"):
+                if name == f"prev_day_{side}":
+                    return state[side]
+                if name == f"rolling_mean_{side}_7d":
+                    return _mean(state[f"tail_{side}"]) if update else F.col(f"_mean_{side}")
+            return F.col(name)
+
+        def counted(coefficients: dict[str, float]) -> Column:
+            value = half_even(predictor.line(coefficients, feature))
+            return clamp_zero(value) if clamp else value
+
+        def moved(now: Column) -> Column:
+            day = F.struct(
+                date.alias("date"), monday_weekday(date).cast("int").alias("dayOfWeek"), now["in"].alias("inNums"), now["out"].alias("outNums")
+            )
+            out = {"in": now["in"], "out": now["out"], "days": F.concat(state["days"], F.array(day))}
+            if update:
+                out |= {f"tail_{side}": _last_seven(state[f"tail_{side}"], now[side]) for side in ("in", "out")}
+            return F.struct(*[c.alias(n) for n, c in out.items()])
+
+        # The day's two numbers are computed once, as the one element of an array.
+        both = F.struct(counted(predictor.entries).alias("in"), counted(predictor.exits).alias("out"))
+        return F.transform(F.array(both), moved)[0]
+
+    steps = F.sequence(F.lit(1), F.lit(horizon)) if horizon > 0 else F.array().cast("array<int>")
+    return F.aggregate(steps, F.struct(*[c.alias(n) for n, c in start.items()]), step)["days"]
 
 
 def forecast_recursive(
@@ -88,8 +155,10 @@ def forecast_recursive(
     A predicted day is the next day's lag. The seven-day means stay those of the last seven
     actual days with ``roll="frozen"``; ``roll="update"`` lets predictions enter them.
 
-    Each series is reduced to one row that holds its last seven days. Every step adds columns
-    to that row, for all series at once: no step shuffles, collects or needs a checkpoint.
+    Each series is reduced to one row that holds its last seven days. With a linear predictor a
+    series' days are folded over the horizon within that row: the plan is the same for any horizon.
+    With other predictors every step adds columns to that row, for all series at once. No step
+    shuffles, collects or needs a checkpoint.
     """
     if roll not in ("frozen", "update"):
         raise ValueError("roll must be 'frozen' or 'update'")
@@ -110,11 +179,11 @@ def forecast_recursive(
         )
     )
 
-    def mean(tail: str) -> Column:
-        total = F.aggregate(tail, F.lit(0).cast("bigint"), lambda a, v: a + v)
-        return total.cast("double") / F.size(tail)
-
-    state = state.withColumns({"_mean_in": mean("_tail_in"), "_mean_out": mean("_tail_out")})
+    state = state.withColumns({"_mean_in": _mean("_tail_in"), "_mean_out": _mean("_tail_out")})
+    if isinstance(predictor, LinearPredictor):
+        days = _folded_days(predictor, horizon, roll == "update", clamp)
+        rows = state.select(*keys, F.explode(days).alias("_day"))
+        return rows.select(*keys, "_day.*", F.lit(True).alias("isPrediction"))
     kept = state.columns
     steps = []
     for step in range(1, horizon + 1):
@@ -135,12 +204,10 @@ def forecast_recursive(
         moved = {"_now_in": F.col("_in"), "_now_out": F.col("_out")}
         if roll == "update":
             for side in ("in", "out"):
-                moved[f"_tail_{side}"] = F.slice(
-                    F.concat(f"_tail_{side}", F.array(f"_{side}")), F.greatest(F.size(f"_tail_{side}") - 5, F.lit(1)), 7
-                )
+                moved[f"_tail_{side}"] = _last_seven(F.col(f"_tail_{side}"), F.col(f"_{side}"))
         state = predicted.withColumn(f"_day_{step}", one_day).withColumns(moved)
         if roll == "update":
-            state = state.withColumns({"_mean_in": mean("_tail_in"), "_mean_out": mean("_tail_out")})
+            state = state.withColumns({"_mean_in": _mean("_tail_in"), "_mean_out": _mean("_tail_out")})
         steps.append(f"_day_{step}")
         state = state.select(*kept, *steps)
     rows = state.select(*keys, F.explode(F.array(*steps)).alias("_day"))

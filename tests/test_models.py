@@ -380,6 +380,32 @@ def test_recursion_against_brute_force(spark, roll, days):
     assert got == {k: brute_recursive(v, line, 9, roll) for k, v in series.items()}
 
 
+@pytest.mark.parametrize("roll", ["frozen", "update"])
+def test_folded_days_equal_unrolled_columns(daily, roll):
+    """The same lines as columns step by step, with all calendar features and negative results."""
+    lines = [
+        {"": -9.5, "dayOfWeek": 1.25, "dayOfMonth": -0.5, "isWeekend": 3.0, "week_number": 0.125, "prev_day_in": 0.5, "rolling_mean_in_7d": 0.25},
+        {"": -2e6, "prev_day_out": 0.75, "prev_day_in": 0.125, "rolling_mean_out_7d": 0.5, "rolling_mean_in_7d": 0.0625},
+    ]
+    folded = linear_predictor(*lines)
+    for clamp in (False, True):
+        unrolled = forecast_recursive(daily, lambda df: folded(df), 5, roll=roll, clamp=clamp)
+        ours = forecast_recursive(daily, folded, 5, roll=roll, clamp=clamp)
+        assert ours.columns == unrolled.columns and rows_of(ours) == rows_of(unrolled)
+    assert forecast_recursive(daily, folded, 0, roll=roll).count() == 0
+    assert forecast_recursive(daily.where("inNums < 0"), folded, 5, roll=roll).count() == 0
+
+
+def test_plan_does_not_grow_with_the_horizon(daily):
+    def plan(horizon):
+        df = forecast_recursive(daily, linear_predictor({"": 1.0, "prev_day_in": 0.5}, {"": 1.0}), horizon, roll="update")
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert abs(len(plan(62)) - len(plan(6))) < 2_000 and len(plan(400)) < 2 * len(plan(6)) + 4_000
+    df = forecast_recursive(daily, linear_predictor({"": 7.0}, {"": 1.0}), 400)
+    assert df.count() == 400
+
+
 def test_recursive_clamp_is_a_choice(daily):
     below = linear_predictor({"": -5.0}, {"": -5.0})
     assert forecast_recursive(daily, below, 1).first()["inNums"] == -5
