@@ -1,53 +1,67 @@
 """Descriptions and scores."""
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowgauge.operators.ranks import counted_values, double_of_key, keys_at_ranks
 from flowgauge.operators.rows import last_rows
 
-MOST_VALUES = 5_000_000
+QUARTERS = {"p25": 1, "p50": 2, "p75": 3}
 
 
 def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, a row per column.
 
-    For count columns. Rows are first reduced to (value, frequency). Distinct counts are few:
-    k different non-negative counts add up to at least k(k-1)/2 events, so 10^13 events have
-    fewer than five million of them, and the last step reads no more than that. A column with
-    more than ``MOST_VALUES`` values is no count, and the job ends with an error that says so.
+    For any numeric columns: whole ones are exact to the last digit, others are read as doubles. Nulls and NaN do not count; a
+    column without values has a count of 0 and nulls. Rows are reduced to (value, frequency) once; the quartiles, which lie
+    between two neighbouring ranks each, are then found by counting leading digits of the values, of all columns at once
+    (``keys_at_ranks``). No number of values is too many. Runs at once, as the passes depend on each other; the driver sees
+    a few numbers per column.
     """
-    for name in columns:
-        if not isinstance(df.schema[name].dataType, T.IntegralType):
-            raise TypeError(f"{name} is not an integer column")
-    values = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns])
-    long = values.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("times"))
-    most = counted.groupBy("column").count().agg(F.max("count")).scalar()
-    few = F.when(F.coalesce(most, F.lit(0)) <= MOST_VALUES, F.lit(True))
-    counted = counted.where(few.otherwise(F.raise_error(F.lit("describe_exact is for counts: too many values")).cast("boolean")))
-    value, times = F.col("value").cast("decimal(38,0)"), F.col("times")
+    kinds = {c: df.schema[c].dataType for c in columns}
+    for name, kind in kinds.items():
+        if not isinstance(kind, T.NumericType):
+            raise TypeError(f"{name} is not a numeric column")
+    whole = [c for c in columns if isinstance(kinds[c], T.IntegralType)]
+    counted = counted_values(df, whole, [c for c in columns if c not in whole])
+    value, times = F.col("value"), F.col("times")
     sums = counted.groupBy("column").agg(
-        F.sum("times").alias("count"),
-        F.sum(F.col("value").cast("double") * times).alias("_sum"),
-        F.sum((value * value * times).cast("decimal(38,0)")).cast("double").alias("_squares"),
-        F.min("value").alias("min"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), times).alias("_q"),
-        F.max("value").alias("max"),
-    )
-    n = F.col("count").cast("double")
-    variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / n) / (n - 1)
-    return sums.select(
-        "column",
-        "count",
-        (F.col("_sum") / n).alias("mean"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
-        "min",
-        F.col("_q")[0].alias("p25"),
-        F.col("_q")[1].alias("p50"),
-        F.col("_q")[2].alias("p75"),
-        "max",
+        F.sum("times").alias("n"), F.sum(value * times).alias("total"), F.min("key").alias("least"), F.max("key").alias("greatest")
     )
+    found = {r["column"]: r for r in sums.collect()}
+    ranks = {c: {(r["n"] - 1) * k // 4 + up for k in QUARTERS.values() for up in (0, 1)} for c, r in found.items()}
+    ranks = {c: {min(rank, found[c]["n"] - 1) for rank in wanted} for c, wanted in ranks.items()}
+    keys = keys_at_ranks(counted, {c: (r["least"], r["greatest"]) for c, r in found.items()}, ranks)
+    squares = {}
+    if found:
+        means = F.create_map(*[F.lit(x) for c, r in found.items() for x in (c, r["total"] / r["n"])])
+        off = value - means[F.col("column")]
+        squares = dict(counted.groupBy("column").agg(F.sum(off * off * times)).collect())
+
+    def number(column: str, key: int) -> float:
+        return key if column in whole else double_of_key(key)
+
+    rows = []
+    for column in columns:
+        if column not in found:
+            rows.append((column, 0, *[None] * 7))
+            continue
+        n, quartiles = found[column]["n"], []
+        for k in QUARTERS.values():
+            rank, part = divmod((n - 1) * k, 4)
+            low, high = (float(number(column, keys[column, min(r, n - 1)])) for r in (rank, rank + 1))
+            quartiles.append(low if low == high else low * (1 - part / 4) + high * (part / 4) if part else low)
+        ends = [number(column, found[column][e]) for e in ("least", "greatest")]
+        if len(whole) < len(columns):
+            ends = [float(e) for e in ends]
+        std = math.sqrt(squares[column] / (n - 1)) if n > 1 else None
+        rows.append((column, n, found[column]["total"] / n, std, ends[0], *quartiles, ends[1]))
+    end = "bigint" if len(whole) == len(columns) else "double"
+    schema = f"column string, count bigint, mean double, std double, min {end}, {', '.join(f'{q} double' for q in QUARTERS)}, max {end}"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: list[str] | None = None) -> DataFrame:

@@ -1,3 +1,4 @@
+import decimal
 import math
 import random
 import statistics
@@ -82,7 +83,7 @@ def test_describe_known_values(spark):
     assert round(row["std"], 6) == 4.082483
     assert describe_exact(spark.createDataFrame([(1,)], "v int"), ["v"]).first()["std"] is None
     with pytest.raises(TypeError):
-        describe_exact(spark.createDataFrame([(1.5,)], "v double"), ["v"])
+        describe_exact(spark.createDataFrame([("1.5",)], "v string"), ["v"])
 
 
 def test_describe_against_numpy(spark):
@@ -94,6 +95,51 @@ def test_describe_against_numpy(spark):
     assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(list(np.percentile(values, [25, 50, 75])))
 
 
+def test_describe_any_numbers_against_numpy(spark):
+    """Doubles of all sizes and signs, the largest whole numbers, decimals, nulls, NaN, ties, a column without values."""
+    draw = random.Random(9)
+    rows = []
+    for i in range(2000):
+        wide = draw.choice([0.0, -0.0, 1.0, draw.uniform(-1, 1) * 10.0 ** draw.randrange(-300, 300), draw.gauss(0, 1)])
+        rows.append((wide if i % 50 else None, draw.randrange(-(2**63), 2**63), decimal.Decimal(draw.randrange(10**9)) / 100, None, draw.gauss(5, 1) if i % 9 else math.nan, float(i % 2)))
+    df = spark.createDataFrame(rows, "wide double, long long, money decimal(12,2), none int, some float, flag float")
+    got = {r["column"]: r for r in describe_exact(df, df.columns).collect()}
+    assert list(got) == df.columns and got["none"]["count"] == 0 and got["none"]["p50"] is None
+    for place, name in enumerate(df.columns):
+        values = [float(r[place]) for r in rows if r[place] is not None and not math.isnan(r[place])]
+        if name == "some":
+            values = np.array(values, np.float32).astype(float)
+        if name != "none":
+            r = got[name]
+            assert (r["count"], r["min"], r["max"]) == (len(values), min(values), max(values))
+            assert [r["p25"], r["p50"], r["p75"]] == pytest.approx(list(np.percentile(values, [25, 50, 75])), rel=1e-15)
+    only = describe_exact(df.select("long"), ["long"]).first()
+    ordered = sorted(r[1] for r in rows)
+    assert (only["min"], only["max"]) == (ordered[0], ordered[-1]) and isinstance(only["min"], int)
+    assert describe_exact(df.where("long is null"), ["long", "wide"]).first()["count"] == 0
+
+
+def test_describe_ten_million_distinct_doubles(spark):
+    """Quartiles of more values than any buffer should hold, in four counting passes at most."""
+    n = 10_000_000
+    df = spark.range(n).select(((F.col("id") * 7_368_787 % n) / F.lit(8.0) - 1e5).alias("v"))
+    r = describe_exact(df, ["v"]).first()
+    assert (r["count"], r["min"], r["max"]) == (n, -1e5, (n - 1) / 8 - 1e5)
+    assert [r["p25"], r["p50"], r["p75"]] == [(n - 1) * k / 4 / 8 - 1e5 for k in (1, 2, 3)]
+    assert r["mean"] == pytest.approx((n - 1) / 16 - 1e5) and r["std"] == pytest.approx(n / 8 / math.sqrt(12), rel=1e-6)
+
+
+def test_description_takes_few_passes_over_counts(spark):
+    """Small counts need one pass for their quartiles; the number of jobs is that of any table."""
+    jobs = []
+    for n in (1_000, 100_000):
+        spark.sparkContext.setJobGroup(f"describe-{n}", "")
+        describe_exact(spark.range(n).select((F.col("id") % 300).alias("v")), ["v"]).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"describe-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] < 20
+
+
 @pytest.mark.parametrize("n", [1, 4, 5, 27, 1000, 5003])
 def test_exact_split_is_exact_disjoint_and_stable(spark, n):
     df = spark.range(n).withColumn("v", F.col("id") % 7)
