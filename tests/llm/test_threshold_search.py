@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowgauge.llm import threshold_search
-from flowgauge.llm.threshold_search import exact_topk, threshold_topk
+from flowgauge.llm.threshold_search import SortedLists, exact_topk, threshold_topk, topk_with_work
 
 
 def plain(ids, vectors, query_ids, queries, k):
@@ -25,19 +25,68 @@ def test_block_equals_all_products(spread):
     x = rng.integers(-spread, spread + 1, (3000, 8)).astype(float)
     q = np.vstack([x[:20], rng.integers(-spread, spread + 1, (20, 8)) * np.array([9, 0, 0, 0, 1, 0, 0, 0]), np.zeros((1, 8))])
     ids, query_ids = rng.permutation(3000), np.arange(41)
-    assert sorted(threshold_topk(ids, x, query_ids, q, 20)) == plain(ids, x, query_ids, q, 20)
+    found, work = threshold_topk(ids, x, query_ids, q, 20)
+    assert sorted(found) == plain(ids, x, query_ids, q, 20) and (work <= 3000).all()
+    # With the k-th score of elsewhere, only what reaches it.
+    floors = rng.integers(-spread, 20 * spread * spread, len(q)).astype(float)
+    found, _ = threshold_topk(ids, x, query_ids, q, 20, floors)
+    of = dict(zip(query_ids.tolist(), floors, strict=True))
+    assert sorted(found) == [f for f in plain(ids, x, query_ids, q, 20) if f[2] >= of[f[0]]]
 
 
-def test_search_stops_early(monkeypatch):
-    """A query on one dimension is answered from the end of one list."""
+def test_search_stops_early():
+    """A query on one dimension is answered from the end of one list; one of the common kind reads a part of each."""
     x = np.zeros((5000, 4))
     x[:, 0] = np.arange(5000)
     x[:, 1:] = np.random.default_rng(1).integers(-3, 4, (5000, 3))
-    read = []
-    real = np.partition
-    monkeypatch.setattr(threshold_search.np, "partition", lambda a, k: read.append(len(a)) or real(a, k))
-    found = threshold_topk(np.arange(5000), x, np.array([-1]), np.array([[5.0, 1.0, 0.0, 0.0]]), 5)
-    assert sorted(found) == plain(np.arange(5000), x, [-1], np.array([[5.0, 1.0, 0.0, 0.0]]), 5) and max(read) < 500
+    q = np.array([[5.0, 1.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0], [-300.0, 0.0, 1.0, 0.0]])
+    found, work = threshold_topk(np.arange(5000), x, np.array([-1, -2, -3]), q, 5)
+    assert sorted(found) == plain(np.arange(5000), x, [-1, -2, -3], q, 5) and work.max() < 700
+    x = np.random.default_rng(3).normal(0, 1000, (20_000, 3)).round()
+    found, work = threshold_topk(np.arange(20_000), x, np.arange(50), x[:50], 10)
+    assert sorted(found) == plain(np.arange(20_000), x, range(50), x[:50], 10) and work.mean() < 0.1 * len(x)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_unseen_vectors_score_less(seed):
+    """Whatever the floor, the stops of all lists leave no vector unseen that reaches it, or are their ends."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-20, 21, (300, 5)).astype(float) * np.array([9, 1, 1, 0, 3])
+    lists = SortedLists(np.arange(300), x)
+    for w in rng.integers(-3, 4, (20, 5)).astype(float):
+        values = lists.values(w)
+        for floor in np.quantile(x @ w, [0.0, 0.3, 0.9, 1.0]).tolist() + [1e6]:
+            stops = lists.stops_below(w, values, floor)
+            seen = np.zeros(300, bool)
+            for i, depth in enumerate(lists.depths[stops]):
+                if w[i] and depth:
+                    seen[lists.order[i, 300 - depth :] if w[i] > 0 else lists.order[i, :depth]] = True
+            assert (x[~seen] @ w < floor).all() or (stops == len(lists.depths) - 1)[w != 0].all()
+
+
+def test_blocks_are_skipped(spark, monkeypatch):
+    """Vectors of unlike length: after the block with the longest ones, few others can hold anything better."""
+    monkeypatch.setattr(threshold_search, "BLOCK", 100)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 8)) * np.exp(rng.normal(0, 1.5, (4000, 1)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = topk_with_work(df, F.col("vec_id") % 20 == 0, 20)
+    whole = np.floor(64 * x)
+    want = plain(np.arange(4000), whole, range(0, 4000, 20), whole[::20], 20)
+    assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in got.rows.collect()) == want
+    work = got.work.agg(F.sum("blocks"), F.sum("scored"), F.count("*")).first()
+    assert work[2] == 200 and work[0] < 0.5 * 200 * 40 and work[1] < 0.25 * 200 * 4000
+
+
+def test_large_components(spark):
+    """Beyond what doubles hold exactly, whole numbers are used; beyond those, an error."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(-(2**28), 2**28, (200, 4)) * 3 + 1
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["vec_id"], r["score"]) for r in exact_topk(df, F.col("vec_id") % 20 == 0, 7, scale=1).collect())
+    assert got == plain(np.arange(200), x, range(0, 200, 20), x[::20], 7)
+    with pytest.raises(ValueError, match="too large"):
+        exact_topk(spark.createDataFrame([(0, [1e12]), (1, [1.0])], "vec_id long, embedding array<double>"), F.lit(True))
 
 
 @pytest.mark.parametrize(("block", "side"), [(8192, 1024), (40, 6)])
