@@ -19,6 +19,7 @@ from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_fe
 from flowgauge.operators.flow import daily_totals, merge_directions, union_all
 from flowgauge.operators.lookup import with_line_name, with_station_label, with_station_name
 from flowgauge.operators.quality import missing_days, quality_audit, rollup_audit, unmapped
+from flowgauge.operators.order import with_row_number
 from flowgauge.operators.rows import (
     align_columns,
     boardings,
@@ -384,6 +385,17 @@ def baseline_winner(spark: SparkSession, sf: str) -> DataFrame:
     return best_model(baseline_leaderboard(spark, sf), "r2_mean", ["target"], "place", highest=True)
 
 
+def observed_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Observed slots with their place in the order of station and time, in which flow is written."""
+    return with_row_number(observed_flow(event_swipes(spark, sf)), ["stationID", "startTime"], "place")
+
+
+def profile_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Boardings per line and station name with their place in chart order."""
+    profile = line_station_profile(event_swipes(spark, sf))
+    return with_row_number(profile, ["lineName", "station_order", "stationName"], "place")
+
+
 # ---------------------------------------------------------------- forecasts
 
 
@@ -573,6 +585,8 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_hash": split_hash_query,
         "folds": lambda spark, sf: contiguous_folds(_daily(spark, sf), "date"),
         "regression_metrics": regression_metrics_query,
+        "observed_in_order": observed_in_order,
+        "profile_in_order": profile_in_order,
         "linear_trend": linear_trend,
         "linear_cv": linear_cv_query,
         "kernel_waves": kernel_waves,
@@ -1026,6 +1040,17 @@ def flow_oracles() -> dict[str, str]:
             FROM (SELECT "stationID", CAST("inNums" AS DOUBLE) AS y,
                 avg("inNums") OVER (PARTITION BY "stationID") AS p FROM flow) GROUP BY 1""",
         ),
+        "observed_in_order": _with(
+            "swipes valid observed",
+            """SELECT "stationID", "startTime", "inNums", "outNums",
+            row_number() OVER (ORDER BY "stationID", "startTime") AS place FROM observed""",
+        ),
+        "profile_in_order": _with(
+            f"{_NAMED} profile places",
+            """SELECT "lineName", "stationName", "count", station_order,
+            row_number() OVER (ORDER BY "lineName", station_order, "stationName") AS place
+            FROM profile LEFT JOIN places USING ("stationName")""",
+        ),
         "linear_trend": _with(f"{_FLOW} features", trends),
         "linear_cv": _linear_cv_sql(),
         "kernel_waves": _kernel_waves_sql(),

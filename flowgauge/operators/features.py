@@ -1,10 +1,10 @@
 """Feature columns for the forecasts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import is_weekend, monday_weekday, week_number
-from flowgauge.operators.series import lag_or_self, rolling_mean
+from flowgauge.operators.order import over_long_order
 
 SLOT_BASE = ["hour", "minute", "weekday"]
 DAILY_CALENDAR = ["dayOfWeek", "dayOfMonth", "isWeekend", "week_number"]
@@ -69,13 +69,24 @@ def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def daily_features(daily: DataFrame, keys: list[str] | None = None, include_current: bool = True) -> DataFrame:
-    """Calendar, lag and rolling columns for daily totals; one series per key."""
-    keys = keys or []
+    """Calendar, lag and rolling columns for daily totals; one series per key.
+
+    Without keys the table is one series, which is numbered once and taken through its windows in blocks.
+    """
+    frame = (-6, 0) if include_current else (-7, -1)
+
+    def columns(window: Window) -> dict[str, Column]:
+        found = {}
+        for side in ("in", "out"):
+            value = F.col(f"{side}Nums")
+            found[f"prev_day_{side}"] = F.coalesce(F.lag(value).over(window), value)
+            found[f"rolling_mean_{side}_7d"] = F.avg(value).over(window.rowsBetween(*frame))
+        return found
+
     out = calendar_features(daily)
-    for side in ("in", "out"):
-        out = lag_or_self(out, keys, "date", f"{side}Nums", f"prev_day_{side}")
-        out = rolling_mean(out, keys, "date", f"{side}Nums", 7, f"rolling_mean_{side}_7d", include_current)
-    return out
+    if keys:
+        return out.withColumns(columns(Window.partitionBy(*keys).orderBy("date")))
+    return over_long_order(out, ["date"], 7, columns)
 
 
 def standardize(df: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:

@@ -1,8 +1,15 @@
 """Train/test splits and folds that give the same rows at any partitioning."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowgauge.session import scratch_path
+
+#: Deviations around the expected place of the last test row within which its digest is looked for at once.
+SPREADS = 6
+
 
 def _digest(keys: list[str], seed: int) -> Column:
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
@@ -15,9 +22,9 @@ def split_exact(
     """Train and test rows, the test side of exactly ``ceil(test_share * rows)`` rows.
 
     ``keys`` identify a row. Rows are taken in the order of a digest of their keys. The table
-    is never sorted as a whole: digests are counted in 65,536 ranges, the range that holds the
-    last test row is counted in 65,536 parts again, and only the part with that row, one in four
-    billion, is ranked. The split itself is then a comparison with one digest.
+    is never sorted as a whole: one pass keeps the few digests near the place where the last test
+    row is due and counts those before them, and the split itself is then a comparison with one
+    digest. ``df`` is read twice (and counted), so it should be a stored or kept table.
     """
     flagged = with_test_flag(df, keys, test_share, seed)
     return flagged.where(~F.col("is_test")).drop("is_test"), flagged.where("is_test").drop("is_test")
@@ -37,13 +44,47 @@ def _edge(digests: DataFrame, digits: Column, wanted: Column) -> Column:
 
 
 def with_test_flag(df: DataFrame, keys: list[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``, see :func:`split_exact`."""
+    """Add ``is_test``, see :func:`split_exact`. Runs one pass over ``df`` at once, and another when the result is read."""
     hashed = df.withColumn("_digest", _digest(keys, seed))
     place = F.struct("_digest", *keys)
     digests = hashed.select("_digest", *keys)
-    total = digests.agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).cast("bigint").alias("n")).scalar()
+    n = df.count()
+    wanted = math.ceil(n * test_share)
+    last = _last_test_row(digests, place, n, wanted) if wanted else None
+    if last is None:
+        return df.withColumn("is_test", F.lit(False))
+    return hashed.withColumn("is_test", F.coalesce(place <= last, F.lit(False))).drop("_digest")
+
+
+def _last_test_row(digests: DataFrame, place: Column, n: int, wanted: int) -> Column:
+    """The ``wanted``-th of ``n`` rows in the order of ``place``, as a one-row subquery.
+
+    Digests are even draws, so that the row is all but certain to lie within ``SPREADS`` deviations of where it is due: one
+    pass counts the rows before that stretch and keeps the digests in it, some 2 * SPREADS * sqrt(n / 4) of them.
+    Where it is not there, as with keys that repeat a lot, it is sought by counting digits.
+    """
+    due, off = wanted / n, SPREADS * math.sqrt(wanted * (n - wanted) + n) / n**1.5
+    low, high = (f"{round(min(max(x, 0.0), 1.0) * (2**60 - 1)):015x}" for x in (due - off, due + off))
+    near = digests.where(F.substring("_digest", 1, 15) <= high)
+    near = near.groupBy(F.when(F.col("_digest") >= low, place).alias("place")).agg(F.count(F.lit(1)).alias("times"))
+    path = scratch_path(digests.sparkSession, "digests")
+    near.write.parquet(path)
+    near = digests.sparkSession.read.schema(near.schema).parquet(path)
+    before, inside = near.agg(
+        F.coalesce(F.sum(F.when(F.col("place").isNull(), F.col("times"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("place").isNotNull(), F.col("times"))), F.lit(0)),
+    ).first()
+    if not before < wanted <= before + inside:
+        return _sought_test_row(digests, place, wanted)
+    upto = F.sum("times").over(Window.orderBy("place"))
+    reached = near.where("place is not null").withColumn("upto", upto).where(F.col("upto") >= wanted - before)
+    return reached.agg(F.min("place").alias("last")).scalar()
+
+
+def _sought_test_row(digests: DataFrame, place: Column, wanted: int) -> Column:
+    """The ``wanted``-th row whatever the digests: by 65,536 ranges, the same number of parts of one range, and ranks in one part."""
     high, low = F.substring("_digest", 1, 4), F.substring("_digest", 5, 4)
-    first = _edge(digests.withColumn("_wanted", total), high, F.col("_wanted"))
+    first = _edge(digests.withColumn("_wanted", F.lit(wanted).cast("bigint")), high, F.col("_wanted"))
     inside = digests.withColumn("_edge", first).where(high == F.col("_edge.span"))
     second = _edge(inside, low, F.col("_edge.rank"))
     ranked = (
@@ -52,9 +93,7 @@ def with_test_flag(df: DataFrame, keys: list[str], test_share: float = 0.2, seed
         .select(place.alias("place"), F.col("_low.rank").alias("wanted"))
         .withColumn("rank", F.row_number().over(Window.orderBy("place")))
     )
-    last = ranked.where(F.col("rank") == F.col("wanted")).select("place")
-    is_test = F.coalesce(place <= last.scalar(), F.lit(False))
-    return hashed.withColumn("is_test", is_test).drop("_digest")
+    return ranked.where(F.col("rank") == F.col("wanted")).select("place").scalar()
 
 
 def with_time_test_flag(df: DataFrame, time: str, test_share: float = 0.2) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import bucket, day_start, step_interval, step_seconds
+from flowgauge.operators.order import over_long_order
 
 
 def flow_by_slot(
@@ -123,15 +124,19 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of the last ``n`` rows of the key, fewer at its start.
 
-    Without keys the table is one series and runs in one task: meant for daily totals.
+    Without keys the table is one series of any length, in blocks (``over_long_order``).
     """
     frame = (-(n - 1), 0) if include_current else (-n, -1)
+    if not keys:
+        return over_long_order(df, [order], n, lambda w: {name: F.avg(column).over(w.rowsBetween(*frame))})
     window = Window.partitionBy(*keys).orderBy(order).rowsBetween(*frame)
     return df.withColumn(name, F.avg(column).over(window))
 
 
 def lag_or_self(df: DataFrame, keys: list[str], order: str, column: str, name: str) -> DataFrame:
     """Value of the row before, by row and not by date; the first row has its own value."""
+    if not keys:
+        return over_long_order(df, [order], 1, lambda w: {name: F.coalesce(F.lag(column).over(w), F.col(column))})
     window = Window.partitionBy(*keys).orderBy(order)
     return df.withColumn(name, F.coalesce(F.lag(column).over(window), F.col(column)))
 
