@@ -37,6 +37,7 @@ from flowgauge.operators.sampling import contiguous_folds, split_hash, with_test
 from flowgauge.operators.series import calendar_spine, flow_by_slot, linspace_grid, slot_grid
 from flowgauge.operators.stats import best_model, describe_exact, fold_summary, regression_metrics, tail_mean
 from flowgauge.plans.cleaning import clean_swipes
+from flowgauge.plans.incremental import kept_flow, update_days
 from flowgauge.plans.profiles import (
     date_label,
     line_hourly_counts,
@@ -174,6 +175,24 @@ def read_days_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return read_days(spark, path, first, last).select("date", "time", "lineID", "stationID", "status")
 
 
+def rollup_by_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Day files rolled up all but a late one, then that one and one again; sums and slots per station and day."""
+    path, out = scratch_path(spark, "days"), scratch_path(spark, "kept")
+    swipes = event_swipes(spark, sf).select("time", "lineID", "stationID", "status").withColumn("day", F.to_date("time"))
+    swipes.hint("rebalance", F.col("day")).write.partitionBy("day").option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    ).csv(path)
+    first, last = datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)
+    late = datetime.date(2024, 1, 9)
+    update_days(spark, path, out, first, late - datetime.timedelta(days=1))
+    update_days(spark, path, out, late + datetime.timedelta(days=1), last)
+    for _ in range(2):
+        update_days(spark, path, out, late, late)
+    dated = kept_flow(spark, out).withColumn("date", F.to_date("startTime"))
+    sums = [F.count(F.lit(1)).alias("slots"), *[F.sum(c).alias(c) for c in TARGETS]]
+    return dated.groupBy("stationID", "date").agg(*sums)
+
+
 def flow_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "flow")
     write_flow(_station_flow(spark, sf), path, "csv")
@@ -521,6 +540,7 @@ def flow_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "swipes_csv_roundtrip": swipes_csv_roundtrip,
         "read_days_roundtrip": read_days_roundtrip,
         "read_days_mixed": read_days_mixed,
+        "rollup_by_days": rollup_by_days,
         "flow_csv_roundtrip": flow_csv_roundtrip,
         "flow_parquet_roundtrip": flow_parquet_roundtrip,
         "forecast_csv_roundtrip": forecast_csv_roundtrip,
@@ -1067,6 +1087,11 @@ def flow_oracles() -> dict[str, str]:
             """SELECT "stationID", "startTime", "startTime" + INTERVAL 10 MINUTE AS "endTime", "inNums", "outNums"
             FROM observed""",
         ),
+        "rollup_by_days": _with(
+            _FLOW,
+            """SELECT "stationID", CAST("startTime" AS DATE) AS "date", count(*) AS slots, CAST(sum("inNums") AS BIGINT) AS "inNums",
+            CAST(sum("outNums") AS BIGINT) AS "outNums" FROM flow GROUP BY 1, 2""",
+        ),
         "read_days_mixed": _with("swipes", f'{raw}, CAST("time" AS DATE) AS "date" FROM swipes'),
         "flow_csv_roundtrip": _with(_FLOW, 'SELECT *, CAST("startTime" AS DATE) AS "date" FROM flow'),
         "rollup_audit": _with(
@@ -1093,7 +1118,7 @@ def flow_oracles() -> dict[str, str]:
     }
     dated = """read_days_roundtrip flow_parquet_roundtrip missing_days weekday_rows weekend_rows date_label_by_day
         daily_totals daily_flow station_daily_flow daily_features station_daily_features last_days last_day
-        slot_features folds kernel_waves recursive_linear read_days_mixed flow_csv_roundtrip""".split()
+        slot_features folds kernel_waves rollup_by_days recursive_linear read_days_mixed flow_csv_roundtrip""".split()
     for name in dated:
         statements[name] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({statements[name]})'
     return statements

@@ -5,6 +5,7 @@ import datetime
 
 from pyspark.sql import SparkSession
 
+from flowgauge.plans.incremental import update_days
 from flowgauge.plans.jobs import run_daily_forecast, run_profiles, run_rollup, run_slot_forecast
 
 
@@ -24,6 +25,8 @@ def main() -> None:
     rollup = job("rollup")
     rollup.add_argument("--step", default="10 minutes")
     rollup.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    update = job("update")
+    update.add_argument("--step", default="10 minutes")
     job("profiles", dated=False)
     slots = job("slot-forecast")
     slots.add_argument("base", type=datetime.date.fromisoformat)
@@ -41,6 +44,8 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"flowgauge {args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.job == "rollup":
         run_rollup(spark, args.source, args.out, args.start, args.end, args.step, args.format).show(truncate=False)
+    elif args.job == "update":
+        update_days(spark, args.source, args.out, args.start, args.end, args.step).show(truncate=False)
     elif args.job == "profiles":
         run_profiles(spark, args.source, args.out)
     elif args.job == "slot-forecast":

@@ -98,15 +98,18 @@ def run_slot_forecast(
     """Fit on the flow of ``start..end`` and forecast the slots of ``days`` days from ``base`` on.
 
     Writes the forecast, its description, the scores, the models and a chart table per station
-    and day.
+    and day. Every asked-for station is forecast; ``without_history`` lists those that have no flow
+    in the range, whose numbers come from the calendar alone.
     """
     stations = stations or TARGET_STATIONS
     history = read_flow(spark, flow, start, end, fmt)
     fitted = fit_slot_models(history, stations, candidates, split=split, onehot=onehot)
     fitted.leaderboard.write.mode("overwrite").parquet(f"{out}/leaderboard")
     save_models(fitted, f"{out}/models")
+    asked = spark.createDataFrame([(s,) for s in dict.fromkeys(stations)], "stationID bigint")
     known = for_stations(history, stations).select("stationID").distinct()
-    scored = forecast_slots(fitted.models, known, F.lit(base), days, stations, step, onehot=onehot)
+    asked.join(known, "stationID", "left_anti").write.mode("overwrite").parquet(f"{out}/without_history")
+    scored = forecast_slots(fitted.models, asked, F.lit(base), days, stations, step, onehot=onehot)
     write_forecast(scored, f"{out}/forecast")
     # Scored once: the description and the charts read what was written.
     forecast = spark.read.schema(FLOW).option("header", True).csv(f"{out}/forecast")

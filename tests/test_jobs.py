@@ -9,6 +9,7 @@ from conftest import day, rows_of
 from pyspark.sql import functions as F
 
 from flowgauge.models.estimators import linear
+from flowgauge.plans.incremental import kept_flow, update_days
 from flowgauge.plans.jobs import run_daily_forecast, run_profiles, run_rollup, run_slot_forecast
 from flowgauge.sources.readers import read_flow, read_report
 
@@ -84,9 +85,11 @@ def test_slot_forecast_job(spark, flow, tmp_path):
     run_slot_forecast(spark, flow, out, START, END, day("2019-01-26"), 5, candidates={"linear": linear})
     files = glob.glob(f"{out}/forecast/*.csv")
     lines = [line for f in sorted(files) for line in open(f).read().splitlines()[1:]]
-    assert len(lines) == 2 * 5 * 144
+    # All five asked-for stations; two of them have a history.
+    assert len(lines) == 5 * 5 * 144
+    assert spark.read.parquet(f"{out}/without_history").count() == 3
     assert lines[0].startswith("10,2019-01-26 00:00:00,2019-01-26 00:10:00,")
-    assert len(glob.glob(f"{out}/charts/stationID=*/date=*")) == 10
+    assert len(glob.glob(f"{out}/charts/stationID=*/date=*")) == 25
     assert spark.read.parquet(f"{out}/description").count() == 2
     assert spark.read.parquet(f"{out}/leaderboard").count() == 4
 
@@ -110,3 +113,42 @@ def test_a_day_with_only_skipped_files_is_missing(spark, tmp_path):
     assert rows_of(missing) == [(day("2019-01-02"),), (day("2019-01-03"),), (day("2019-01-04"),)]
     skipped = dict(rows_of(spark.read.parquet(f"{out}/_skipped")))
     assert set(skipped) == {"record_2019-01-02.csv", "record_2019-01-03.csv.gz"}
+
+
+def files_of(folder):
+    return {f: (glob.os.path.getmtime(f), glob.os.path.getsize(f)) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+
+
+def test_days_one_by_one_give_what_all_at_once_give(spark, raw, flow, tmp_path):
+    """A late day writes its own partition; a day run twice, a new station and a gap change no other."""
+    out = str(tmp_path)
+    late = day("2019-01-06")
+    assert rows_of(update_days(spark, raw[0], out, START, late - datetime.timedelta(days=1))) == []
+    assert rows_of(update_days(spark, raw[0], out, late + datetime.timedelta(days=1), END)) == [(ABSENT,)]
+    before = files_of(out)
+    update_days(spark, raw[0], out, late, late)
+    after = files_of(out)
+    assert {f.split("date=")[1][:10] for f in set(after) - set(before)} == {str(late)} and before.items() <= after.items()
+    whole = read_flow(spark, flow).drop("date")
+    assert rows_of(kept_flow(spark, out)) == rows_of(whole)
+    update_days(spark, raw[0], out, late, late)
+    update_days(spark, raw[0], out, START, END)
+    assert rows_of(kept_flow(spark, out)) == rows_of(whole)
+
+
+def test_a_replaced_day_and_swipes_past_midnight(spark, tmp_path):
+    raw, out, head = tmp_path / "raw", str(tmp_path / "out"), "time,stationID,status\n"
+    raw.mkdir()
+    (raw / "record_2019-01-01.csv").write_text(f"{head}2019-01-01 23:59:00,1,1\n2019-01-02 00:05:00,1,1\n")
+    (raw / "record_2019-01-02.csv").write_text(f"{head}2019-01-02 00:01:00,1,1\n2019-01-02 08:00:00,2,0\n")
+    span = (day("2019-01-01"), day("2019-01-02"))
+    update_days(spark, str(raw), out, *span)
+    some = {(r["stationID"], str(r["startTime"])): (r["inNums"], r["outNums"]) for r in kept_flow(spark, out).where("inNums + outNums > 0").collect()}
+    assert some == {(1, "2019-01-01 23:50:00"): (1, 0), (1, "2019-01-02 00:00:00"): (2, 0), (2, "2019-01-02 08:00:00"): (0, 1)}
+    assert kept_flow(spark, out).count() == 2 * 2 * 144
+    # The second day's file is replaced by one without a valid swipe; the first one breaks, so what is kept of it stays.
+    (raw / "record_2019-01-02.csv").write_text(f"{head}2019-01-02 00:01:00,1,7\n")
+    (raw / "record_2019-01-01.csv").write_text("nothing\n")
+    assert rows_of(update_days(spark, str(raw), out, *span)) == [(day("2019-01-01"),)]
+    left = kept_flow(spark, out).where("inNums + outNums > 0")
+    assert [(str(r["startTime"]), r["inNums"]) for r in left.orderBy("startTime").collect()] == [("2019-01-01 23:50:00", 1), ("2019-01-02 00:00:00", 1)]
