@@ -1,4 +1,5 @@
 import datetime
+import math
 
 import numpy as np
 import pandas as pd
@@ -145,3 +146,46 @@ def test_date_label(swipes):
     assert rows_of(date_label(two)) == [("多天数据",)]
     assert rows_of(date_label(two, by=["stationID"])) == [(1, "2024-01-01 (Monday)"), (2, "2024-01-02 (Tuesday)")]
     assert day("2024-01-01").strftime("%A") == "Monday"
+
+
+@pytest.mark.parametrize("block", [4, 5, 8, 100])
+@pytest.mark.parametrize("n", [4, 5, 7, 8, 9, 16, 41])
+def test_spline_by_blocks_is_the_spline(spark, block, n):
+    """Uneven knots, two series and a null key, points that fall on knots, cuts anywhere."""
+    draw = np.random.default_rng(n)
+    series = {k: (np.cumsum(draw.uniform(0.2, 2.0, n + i)), draw.normal(size=n + i)) for i, k in enumerate(["a", "b", None])}
+    rows = [(k, float(u), float(v)) for k, (xs, ys) in series.items() for u, v in zip(xs, ys, strict=True)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame([(r[0], float(r[1]), float(r[2])) for r in rows], "k string, x double, y double").repartition(3)
+    got = {}
+    for r in spline_densify(df, "k", "x", "y", 61, block).collect():
+        got.setdefault(r["k"], []).append((r["x"], r["y"]))
+    for k, (xs, ys) in series.items():
+        at_ = np.linspace(xs[0], xs[-1], 61)
+        mine = sorted(got[k])
+        assert [m[0] for m in mine] == pytest.approx(at_.tolist(), abs=1e-12)
+        assert [m[1] for m in mine] == pytest.approx(spline_values(xs, ys, at_).tolist(), abs=1e-9)
+
+
+def test_spline_of_a_long_series_takes_many_tasks(spark):
+    """Two million knots in blocks of some 65,000: groups of that size, and the curve of the one series."""
+    n = 2_000_000
+    df = spark.range(n).select(F.lit("a").alias("k"), (F.col("id") / 1000).alias("x"), F.sin(F.col("id") / 100_000).alias("y"))
+    out = spline_densify(df, "k", "x", "y", 300)
+    rows = sorted((r["x"], r["y"]) for r in out.collect())
+    assert len(rows) == 300
+    assert max(abs(v - math.sin(u / 100)) for u, v in rows) < 1e-9
+
+
+def test_spline_times_do_not_depend_on_the_time_zone(spark):
+    start = datetime.datetime(2024, 3, 31, 0, 0, 0, 250_001)
+    rows = [("a", start + datetime.timedelta(minutes=30 * i), float(i % 3)) for i in range(9)]
+    got = []
+    for zone in ("UTC", "Europe/Berlin"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+            got.append(sorted(tuple(r) for r in spline_densify(df, "k", "t", "v", 33).collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == got[1] and got[0][0][1] == start and got[0][-1][1] == rows[-1][1]
