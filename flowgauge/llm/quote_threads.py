@@ -31,17 +31,30 @@ def _lines(text: Column) -> Column:
 
 
 def _runs(lines: Column) -> Column:
-    """Array of (level, body) of passages: neighbouring lines of one level joined, cut at blank lines."""
-    empty = F.array().cast("array<struct<level:int,body:string>>")
+    """Array of (level, body) of passages: neighbouring lines of one level joined, cut at blank lines.
 
-    def add(done: Column, line: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        blank = F.trim(line["body"]) == ""
-        joins = F.coalesce((last["level"] == line["level"]) & ~blank & (F.trim(last["body"]) != ""), F.lit(False))
-        longer = F.struct(last["level"].alias("level"), F.concat_ws("\n", last["body"], line["body"]).alias("body"))
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(done, F.array(line)))
+    The lines at which a passage starts are found first, then each passage is a slice: linear in the lines.
+    """
+
+    def starts(all_: Column) -> Column:
+        def begins(i: Column) -> Column:
+            now, last = F.get(all_, i), F.get(all_, i - 1)
+            return (i == 0) | (now["level"] != last["level"]) | (F.trim(now["body"]) == "") | (F.trim(last["body"]) == "")
+
+        return F.filter(F.sequence(F.lit(0), F.size(all_) - 1), begins)
 
-    return F.aggregate(lines, empty, add)
+    def cut(both: Column) -> Column:
+        def passage(start: Column, nth: Column) -> Column:
+            end = F.coalesce(F.get(both["starts"], nth + 1), F.size(both["lines"]))
+            body = F.array_join(F.slice(both["lines"], start + 1, end - start).getField("body"), "\n")
+            return F.struct(F.get(both["lines"], start)["level"].alias("level"), body.alias("body"))
+
+        return F.transform(both["starts"], passage)
+
+    # Lines and starts are elements of arrays, so that they are computed once and not once a line.
+    with_starts = F.transform(F.array(lines), lambda x: F.struct(x.alias("lines"), starts(x).alias("starts")))
+    some = F.filter(with_starts, lambda x: F.size(x["lines"]) > 0)
+    return F.flatten(F.transform(some, cut))
 
 
 def _passages(lines: Column, runs: Column, whole: Column | None = None) -> Column:
@@ -120,33 +133,37 @@ def quote_threads(messages: DataFrame) -> DataFrame:
     read = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
     split = read.withColumn("lines", _lines(F.coalesce("text", F.lit(""))))
     own = F.filter("lines", lambda x: x["level"] == 0)
-    quoted = F.filter("lines", lambda x: x["level"] > 0)
     body = F.regexp_replace(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+$", "")
+    lines = F.when(F.exists("lines", lambda x: x["level"] > 0), F.col("lines"))
     parsed = split.select(
-        "conv_id", "turn", "role", F.when(F.col("text").isNotNull(), body).alias("body"), F.col("lines"),
-        own.alias("own"), quoted.alias("quoted"),
+        "conv_id", "turn", "role", F.when(F.col("text").isNotNull(), body).alias("body"),
+        F.coalesce(F.array_max(F.transform("lines", lambda x: x["level"])), F.lit(0)).cast("long").alias("quote_depth"), lines.alias("lines"),
     )
-    parsed = parsed.withColumn("quote_runs", F.filter(_runs(F.col("lines")), lambda p: (p["level"] > 0) & (F.trim(p["body"]) != "")))
-    parsed = stored(
-        parsed.select(
-            "conv_id", "turn", "role", "body", F.size("quote_runs").cast("long").alias("n_quotes"),
-            F.coalesce(F.array_max(F.transform("lines", lambda x: x["level"])), F.lit(0)).cast("long").alias("quote_depth"),
-            _passages(F.col("own"), _runs(F.col("own")), F.coalesce("body", F.lit(""))).alias("originals"),
-            _passages(F.col("quoted"), F.col("quote_runs")).alias("quotes"),
-            F.transform(
-                "quote_runs",
-                lambda p: F.struct(
-                    p["level"].alias("level"), normalised(p["body"]).alias("text"),
-                    F.transform(F.concat(F.split(p["body"], "\n"), F.array(p["body"])), normalised).alias("parts"),
-                ),
-            ).alias("excerpts"),
-        ),
-        "messages",
+    # Only messages with quotes are cut into passages here.
+    runs = F.filter(_runs(F.coalesce("lines", F.array().cast("array<struct<level:int,body:string>>"))), lambda p: (p["level"] > 0) & (F.trim(p["body"]) != ""))
+    parsed = parsed.withColumn("quote_runs", runs)
+    quoted = F.filter(F.coalesce("lines", F.array().cast("array<struct<level:int,body:string>>")), lambda x: x["level"] > 0)
+    parsed = parsed.select(
+        "conv_id", "turn", "role", "body", F.size("quote_runs").cast("long").alias("n_quotes"), "quote_depth",
+        _passages(quoted, F.col("quote_runs")).alias("quotes"),
+        F.transform(
+            "quote_runs",
+            lambda p: F.struct(
+                p["level"].alias("level"), normalised(p["body"]).alias("text"),
+                F.transform(F.concat(F.split(p["body"], "\n"), F.array(p["body"])), normalised).alias("parts"),
+            ),
+        ).alias("excerpts"),
     )
+    parsed = stored(parsed.withColumn("row", F.monotonically_increasing_id()), "messages")
     known = parsed.where("conv_id is not null and turn is not null")
+    # Own words are keyed in conversations with quotes alone: elsewhere nothing asks for them.
+    quoting = known.where("size(quotes) > 0").select("conv_id").distinct()
+    own_lines = F.transform(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: F.struct(F.lit(0).alias("level"), x.alias("body")))
+    originals = known.join(quoting, "conv_id", "left_semi").withColumn("own", own_lines)
+    originals = originals.withColumn("originals", _passages(F.col("own"), _runs(F.col("own")), F.coalesce("body", F.lit(""))))
     asked = known.where("size(quotes) > 0").select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*")
     asked = asked.distinct()
-    holders = known.select("conv_id", "turn", F.explode("originals.key").alias("key"))
+    holders = originals.select("conv_id", "turn", F.explode("originals.key").alias("key"))
     wanted = asked.select("conv_id", "key").distinct()
     first = holders.join(wanted, ["conv_id", "key"], "left_semi").groupBy("conv_id", "key").agg(F.min("turn").alias("held"))
     hits = asked.join(first, ["conv_id", "key"]).where("held < turn")
@@ -156,17 +173,20 @@ def quote_threads(messages: DataFrame) -> DataFrame:
     best = F.min_by("held", F.struct("level", (-F.col("words")).alias("w"), (-F.col("held")).alias("h")))
     parents = stored(hits.groupBy("conv_id", "turn").agg(best.alias("parent")), "parents")
     chains = _chains(parents)
-    out = parsed.join(
-        parents.join(chains, ["conv_id", "turn"]).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "parent", "root", "depth"),
-        (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")),
-        "left",
+    linked = parents.join(chains, ["conv_id", "turn"]).select(
+        F.col("conv_id").alias("c"), F.col("turn").alias("t"), "parent", "root", "depth"
     )
-    out = out.select(
-        "conv_id", "turn", "role", "body", "n_quotes", "quote_depth", F.col("parent").alias("parent_turn"),
+    # Only what orders messages goes through the ranges; bodies meet their places once, at the end.
+    narrow = parsed.select("row", "conv_id", "turn", "role", F.xxhash64("body").alias("hash"))
+    narrow = narrow.join(linked, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "left")
+    narrow = narrow.select(
+        "row", "conv_id", "turn", "role", "hash", F.col("parent").alias("parent_turn"),
         F.coalesce("root", "turn").alias("thread_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"),
     )
-    order = [F.col("thread_turn"), F.col("turn"), F.col("role"), F.xxhash64("body")]
-    return with_place(out, ["conv_id"], order, "place")
+    placed = with_place(narrow, ["conv_id"], [F.col("thread_turn"), F.col("turn"), F.col("role"), F.col("hash"), F.col("row")], "place")
+    placed = placed.select("row", "parent_turn", "thread_turn", "depth", "place")
+    out = parsed.select("row", "conv_id", "turn", "role", "body", "n_quotes", "quote_depth").join(placed, "row")
+    return out.drop("row")
 
 
 def _chains(parents: DataFrame) -> DataFrame:

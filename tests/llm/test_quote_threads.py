@@ -121,3 +121,46 @@ def test_excerpts_and_rewrapped_quotes_find_their_original(spark):
     parents = {k[:2]: r["parent_turn"] for k, r in out.items()}
     assert parents == {(1, 0): None, (1, 1): None, (1, 2): 1, (1, 3): 1, (1, 4): 0, (1, 5): 2, (1, 6): 1, (1, 7): None, (2, 0): None}
     assert out[1, 5, "assistant"]["thread_turn"] == 1 and out[1, 5, "assistant"]["depth"] == 2
+
+
+def test_long_messages_take_linear_time(spark):
+    """Passages of a message of 20,000 quoted and own lines; four times the lines take about four times as long."""
+    import time
+
+    spent = []
+    for n in (5_000, 20_000):
+        lines = [f"> line {i % 97} of it" if i % 5 else f"answer {i}" for i in range(n)]
+        df = spark.createDataFrame([(1, 0, "user", "\n".join(f"line {i} of it" for i in range(97))), (1, 1, "user", "\n".join(lines))], "conv_id long, turn long, role string, text string")
+        start = time.perf_counter()
+        rows = {r["turn"]: r for r in quote_threads(df).collect()}
+        spent.append(time.perf_counter() - start)
+        assert rows[1]["parent_turn"] == 0 and rows[1]["n_quotes"] == n // 5
+    assert spent[1] < 8 * spent[0]
+
+
+def test_planted_quotes_in_the_given_conversations(spark, small):
+    """Every third message of the given table quotes a passage of an earlier one: each finds it, or one that said it before."""
+    folder = small.replace("sf0.001", "sf0.01")
+    given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    rows = sorted(tuple(r) for r in given.where("text is not null and conv_id is not null").collect())
+    turns, planted = {}, {}
+    out = []
+    for conv, turn, role, text in rows:
+        before = turns.setdefault(conv, [])
+        of = before[(turn * 7) % len(before)] if before and turn % 3 == 0 else None
+        if of and of[1].strip():
+            planted[conv, turn] = of[0]
+            quote = of[1].split("\n")
+            out.append((conv, turn, role, "\n".join(["> " + x for x in quote]) + "\n\n" + text))
+        else:
+            out.append((conv, turn, role, text))
+        before.append((turn, text))
+    assert len(planted) > 50
+    got = {(r["conv_id"], r["turn"]): r for r in quote_threads(spark.createDataFrame(out, given.schema)).collect()}
+    texts = {(c, t): x for c, t, _, x in rows}
+    for (conv, turn), of in planted.items():
+        parent = got[conv, turn]["parent_turn"]
+        assert parent is not None and parent < turn
+        same = {t for (c, t), x in texts.items() if c == conv and texts[conv, of].strip() in x}
+        assert parent == of or parent in same or got[conv, turn]["n_quotes"] > 1
+    assert sum(got[k]["parent_turn"] == of for k, of in planted.items()) > 0.9 * len(planted)
