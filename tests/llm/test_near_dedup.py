@@ -43,6 +43,17 @@ def test_equals_all_pairs(odd_docs, width, percent, cell, monkeypatch):
     assert sum(not r[3] for r in ours) > 30
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 90, 95, 100])
+def test_bands_follow_the_similarity(percent):
+    """The miss at the threshold is within its bound, and one more value a band would go beyond it."""
+    bands, rows = near_dedup.bands_for(percent)
+    assert bands * rows <= near_dedup.VALUES
+    missed = (1 - (percent / 100) ** rows) ** bands
+    longer = (1 - (percent / 100) ** (rows + 1)) ** (near_dedup.VALUES // (rows + 1))
+    assert missed <= near_dedup.MISS < longer or rows == near_dedup.VALUES
+    assert {80: (42, 6), 85: (36, 7)}.get(percent, (bands, rows)) == (bands, rows)
+
+
 def test_no_rows(no_docs):
     out = near_duplicates(no_docs)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and out.isEmpty()
