@@ -17,16 +17,21 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(doc_id, text, y) of at most ``per_class`` labelled documents of each class, held-out ones left out.
 
-    Taken by a hash of the id, so the sample is the same in every run. Rows whose label is not 0 or 1 are passed over; an
-    id labelled more than once takes its smallest label. The ids are broadcast: they are at most twice ``per_class``.
+    Only ids that ``docs`` has count towards the bound. They are taken by a hash of the id, so the sample is the same in
+    every run. Rows whose label is not 0 or 1 are passed over; an id labelled more than once takes its smallest label, and
+    one that stands in several rows of ``docs`` gives one of them, that of the smallest hash of its text. The ids are broadcast:
+    they are at most twice ``per_class``, as are the rows.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     one = [
         known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)
     ]
     ids = one[0].unionAll(one[1]).withColumnRenamed("doc_id", "_id")
-    return docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"]).select("doc_id", "text", "y")
+    rows = docs.join(F.broadcast(ids), docs["doc_id"] == ids["_id"]).select("doc_id", "text", "y")
+    text = F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"), "text"))
+    return rows.groupBy("doc_id", "y").agg(text.alias("text")).select("doc_id", "text", "y")
 
 
 def scored(docs: DataFrame, score: Callable[[list], np.ndarray], columns: list[str]) -> DataFrame:
