@@ -102,7 +102,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4_000) ->
     """Learn ``labels.toxic`` from at most ``per_class`` documents of each class; held-out ids take no part.
 
     Words are counted over the whole sample, and no word is barred by its counts: a toxic text's first witness is its word
-    of the highest smoothed log odds, later ones are the machine's choice among all of its words. The choice is made on
+    of the highest smoothed log odds, later ones are the machine's choice among all of its words. Words of one or two letters
+    are scored like any, but none is taken for an insult or a clean word to learn from. The choice is made on
     the executors; the driver gets one word a toxic text and round, and ``CLEAN_WORDS`` clean words. One text in four only
     sets the final curve. With labels of one class or none, all texts score the smoothed share of label 1; so they do,
     with a warning, if no toxic or no clean text of the sample has a word.
@@ -166,7 +167,7 @@ def _values(bags: DataFrame, model: ToxicityModel) -> pd.DataFrame:
 
 def _landmark_words(words: list[str], weight: np.ndarray, mistaken: list[str], clean: list[str]) -> list[str]:
     """Suspects one by one, each the heaviest of those unlike the earlier ones; mistaken words; clean words, evenly spaced."""
-    order = np.argsort(-weight, kind="stable")[:2000]
+    order = np.argsort(-weight, kind="stable")
     some = [words[i] for i in order]
     word, triple, part = triples(some)
     heavy, far, chosen = np.sqrt(weight[order]), np.ones(len(some)), []
