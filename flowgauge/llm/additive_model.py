@@ -13,7 +13,8 @@ import numpy as np
 #: Shrinkage of a step; rounds without a better validation loss before boosting stops.
 RATE, PATIENCE = 0.1, 25
 RIDGE = 1.0
-
+#: Rows that it takes to grow trees.
+LEAST = 20
 
 @dataclass
 class AdditiveModel:
@@ -84,7 +85,8 @@ def _loss(y: np.ndarray, f: np.ndarray) -> float:
 def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 300, bins: int = 48, coarse_bins: int = 12, pairs: int = 10) -> AdditiveModel:
     """Fit to rows ``x`` with labels 0 and 1. One row in five is kept aside to stop the boosting.
 
-    No rows, or rows of one class only, give a constant score: the smoothed share of label 1.
+    No rows, rows of one class only, or fewer than ``LEAST`` rows, which are too few to keep any aside, give a constant score:
+    the smoothed share of label 1.
     """
     x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
     n, d = x.shape
@@ -93,7 +95,7 @@ def fit_additive(x: np.ndarray, y: np.ndarray, rounds: int = 300, bins: int = 48
     edges = [_cuts(x[:, j], bins) if n else np.empty(0) for j in range(d)]
     coarse = [_cuts(x[:, j], coarse_bins) if n else np.empty(0) for j in range(d)]
     model = AdditiveModel(bias, edges, [np.zeros(len(e) + 1) for e in edges], coarse, [])
-    if n < 20 or not 0 < y.sum() < n:
+    if n < LEAST or not 0 < y.sum() < n:
         return model
     aside = np.zeros(n, bool)
     for label in (0, 1):  # both classes, in the order of the rows

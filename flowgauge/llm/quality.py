@@ -88,7 +88,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 8_000) -> A
     """Learn ``labels.quality`` from at most ``per_class`` documents of each class; held-out ids take no part.
 
     Features are computed on the executors; what reaches the driver is at most ``2 * per_class`` rows of numbers. The
-    classes are weighed back to their shares among all labelled rows, so that a score is a probability.
+    classes are weighed back to their shares among all labelled rows, so that a score is a probability. With fewer than 20
+    such rows, or one class, all texts score the smoothed share of label 1 (``fit_additive``).
     """
     sample = labelled_sample(docs.select("doc_id", "text"), labels, "quality", per_class)
     schema = "doc_id long, y int, " + ", ".join(f"{name} double" for name in FEATURES)
