@@ -1,6 +1,6 @@
 """Mix sources to target weights by systematic sampling."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.llm.tables import stored, with_place
@@ -26,26 +26,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     ``sizes`` has a row per source (source, source_size). Weights go round the sources in the order of their code points,
     null last. What a full source can't take is dealt to the others by weight, until none is above: every target is the
     smaller of its limit and weight times a common level. Sources fill up in the order of limit by weight, which gives
-    the level from two running sums. One row per source goes through the windows, not one per document.
+    the level from two running sums. Ranks and running sums go by ranges (``with_place``): there may be a source per site.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1
-    limits = sizes.select(
-        "source",
-        "source_size",
-        F.element_at(F.array(*[F.lit(w) for w in weights]), turn.cast("int")).alias("weight"),
-        (F.col("source_size") * F.lit(float(most))).alias("limit"),
-    )
-    filled = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = filled.rowsBetween(Window.unboundedPreceding, -1)
-    everything = filled.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    name = F.col("source").asc_nulls_last()
+    ranked = with_place(sizes.select("source", F.col("source_size").cast("long").alias("source_size")), [], [name], "turn")
+    weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.pmod("turn", F.lit(len(weights))) + 1).cast("int"))
+    limit = F.col("source_size") * F.lit(float(most))
+    limits = stored(ranked.select("source", "source_size", weight.alias("weight"), limit.alias("limit")), "limits")
+    all_size, all_weight = limits.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    order = [F.col("limit") / F.col("weight"), name]
+    placed = with_place(with_place(limits, [], order, "sizes_before", "source_size"), [], order, "weights_before", "weight")
     # The level, if all sources before this one are full and this one is not.
-    rest = F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))
-    open_weight = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    levels = limits.withColumn("own", rest / open_weight)
+    rest = F.lit(float(all_size)) * F.lit(float(share)) - F.col("sizes_before") * F.lit(float(most))
+    levels = stored(placed.withColumn("own", rest / (F.lit(all_weight) - F.col("weights_before"))), "levels")
     is_open = F.col("own") * F.col("weight") < F.col("limit")
-    level = F.first(F.when(is_open, F.col("own")), ignorenulls=True).over(everything)
-    target = F.when(level.isNull(), F.col("limit")).otherwise(F.least(F.col("limit"), level * F.col("weight")))
+    # Weights before are a place in the order, as every weight is above none.
+    level = levels.where(is_open).agg(F.min_by("own", "weights_before")).first()[0]
+    target = F.col("limit") if level is None else F.least(F.col("limit"), F.lit(level) * F.col("weight"))
     return levels.select("source", "source_size", target.alias("target"))
 
 
