@@ -2,7 +2,7 @@
 
 import pytest
 
-from flowgauge.llm.queries import SPAM_WORDS, URL_RULES
+from flowgauge.llm.queries import SPAM_WORDS, URL_RULES, op3_lexical_url_trees
 from flowgauge.llm.url_filter import FEATURES, fit_urls, judge_urls, labelled_by_words, lexical_features, url_host, url_path, url_scores
 
 URLS = [
@@ -108,3 +108,16 @@ def test_suffixes_are_counted_on_all_urls_and_rare_spam_is_learned(spark):
     blocked = [r["score"] for r in scores if r["host"].startswith("x--")]
     assert len(scores) == 4_000 and len(blocked) == 20
     assert min(blocked) > 10 * max(r["score"] for r in scores if r["host"].startswith("site"))
+
+
+def test_held_out_hosts_of_the_query(spark):
+    """The query's verdicts on hosts that it did not learn from, against their labels; rules aside."""
+    sf = "/root/testdata/sf0.1"
+    labels = labelled_by_words(spark.read.parquet(f"{sf}/pages.parquet"), SPAM_WORDS).groupBy("host").agg({"label": "max"}).collect()
+    bad = {r["host"]: r["max(label)"] for r in labels}
+    rows = [r for r in op3_lexical_url_trees(spark, sf).where("held_out and rule is null and host <> ''").collect()]
+    hits = [(bad[r["host"]], r["verdict"] == "block") for r in rows]
+    print(len(hits), sum(y for y, _ in hits), sum(p for y, p in hits if y), sum(p for y, p in hits if not y))
+    assert len(hits) > 50 and len({r["host"] for r in rows}) > 4
+    assert sum(p for y, p in hits if y) >= 0.8 * sum(y for y, _ in hits)
+    assert sum(p for y, p in hits if not y) <= 0.05 * sum(not y for y, _ in hits)
