@@ -2,6 +2,7 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowgauge.llm.mixing import mixed_documents, mixing_plan
 from flowgauge.llm.near_dedup import near_duplicates
@@ -12,6 +13,8 @@ from flowgauge.llm.toxicity import civil_documents, fit_toxicity
 
 #: The stages hold fitted models and a tokenizer, which SQL can't express; the tests hold them to plain versions.
 ORACLE_SQL = None
+#: Number of a row within a stage.
+ROW = "_stage_row"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,12 +28,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: shingles of five words, similarity 0.8 or more.
+    """One row of each near-duplicate group stays, that of the smallest doc_id: shingles of five words, similarity 0.8 or more.
 
-    Rows that repeat a doc_id are one document; they stay or go together.
+    Rows are judged by their texts: copies under one doc_id, or without any, leave one row, and unlike texts under one doc_id
+    are no copies. Blank texts are copies of nothing.
     """
-    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(numbered.select(F.col(ROW).alias("doc_id"), "text"), width=5, percent=80)
+    groups = groups.select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    firsts = numbered.select(ROW, "doc_id").join(groups, ROW).groupBy("component_id").agg(F.min(order).getField(ROW).alias(ROW))
+    return numbered.join(firsts, ROW, "left_semi").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
