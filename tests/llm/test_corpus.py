@@ -81,6 +81,17 @@ def test_stages_on_odd_documents(spark, odd_docs, no_docs, tmp_path):
         assert now.isEmpty() == docs.isEmpty()
 
 
+def test_dedup_judges_rows_by_their_texts(spark):
+    """Copies under one id or none leave one row; an unlike text under a repeated id stays."""
+    x, y = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    rows = [(0, x), (1, x.upper()), (1, y), (2, y), (None, x), (None, y + " more"), (3, y), (3, y), (4, ""), (4, ""), (5, None), (None, "a z"), (None, "a z")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(0, x), (1, y), (4, ""), (4, ""), (5, None), (None, "a z")], key=str)
+
+
 def test_rest_works_without_this_subpackage(tmp_path):
     """A copy without the folder and the pipeline still imports and has all other queries."""
     script = f"""
