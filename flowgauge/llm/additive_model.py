@@ -16,6 +16,7 @@ RIDGE = 1.0
 #: Rows that it takes to grow trees.
 LEAST = 20
 
+
 @dataclass
 class AdditiveModel:
     """``edges[j]`` cuts feature j into bins; ``tables[j]`` holds the bins' log odds. Pairs use ``coarse`` edges."""

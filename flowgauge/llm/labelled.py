@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.llm.turns import released
+
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """One row in five, by the CRC-32 of its id as text. A null id is held out, since it has no remainder."""
@@ -38,7 +40,7 @@ def scored(docs: DataFrame, score: Callable[[list], np.ndarray], columns: list[s
     """The given columns of every row, and ``score`` of its whole text: one pass, no shuffle."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(score(_texts(batch)), pa.float64())], [*columns, "score"])
 
@@ -50,7 +52,7 @@ def kept_by_score(docs: DataFrame, score: Callable[[list], np.ndarray], keep: Ca
     """The rows, with all of their columns, whose score ``keep`` says yes to."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             yield batch.filter(pa.array(keep(score(_texts(batch))), pa.bool_()))
 
     return docs.mapInArrow(take, docs.schema)

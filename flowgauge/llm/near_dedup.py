@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowgauge.llm.components import components
 from flowgauge.llm.super_minhash import WordHashes, band_keys, fingerprint, shingle_set, signatures
 from flowgauge.llm.tables import stored
-from flowgauge.llm.turns import take_turn
+from flowgauge.llm.turns import released, take_turn
 
 #: Values of a signature, and how often a pair of just the wanted similarity may share no band.
 VALUES, MISS = 252, 1e-5
@@ -40,7 +40,7 @@ def _texts(batch: pa.RecordBatch) -> list:
 def _signer(width: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_turn("near_dedup", _hashes.clear)
-        for whole in batches:
+        for whole in released(batches):
             for start in range(0, whole.num_rows, DOCS_AT_ONCE):
                 batch = whole.slice(start, DOCS_AT_ONCE)
                 sets = [shingle_set(t, width, _hashes) for t in _texts(batch)]
@@ -61,7 +61,7 @@ def _signer(width: int, bands: int, rows: int):
 
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             sets = [shingle_set(t, width, _hashes).tobytes() for t in _texts(batch)]
             columns = [batch.column(c) for c in ("comp", "chunk", "chunks", "doc_id")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], ["comp", "chunk", "chunks", "doc_id", "elements"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.llm.encoding import encoder, is_joined
 from flowgauge.llm.tables import stored, with_place
+from flowgauge.llm.turns import released
 
 #: Places of a length's documents are below this.
 PLACES = 1 << 44
@@ -95,7 +96,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         encode = encoder(tokenizer, joined).encode
-        for whole in batches:
+        for whole in released(batches):
             for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(first, TEXTS_AT_ONCE)
                 coded = encode([t or "" for t in batch.column("text").to_pylist()])

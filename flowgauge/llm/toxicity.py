@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from flowgauge.llm.labelled import held_out, kept_by_score, labelled_sample, scored
 from flowgauge.llm.string_kernel import TRIPLES, Landmarks, fit_svm, normal, pieces, table_values, triples, words_of
 from flowgauge.llm.tables import stored
-from flowgauge.llm.turns import take_turn
+from flowgauge.llm.turns import released, take_turn
 
 LANDMARKS = 256
 #: Ridge penalty of the machine.
@@ -75,7 +75,7 @@ class ToxicityModel:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         texts = batch.column("text").to_pylist()
         bags = [sorted({n for n in map(normal, words_of(t or "")) if len(n) > 2}) for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(bags, pa.list_(pa.string()))], ["doc_id", "y", "words"])
