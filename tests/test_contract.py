@@ -5,7 +5,7 @@ from check_queries import differences, duck
 
 import __spark_entry__ as entry
 
-FITTED = {"slot_leaderboard", "daily_leaderboard", "best_models", "forecast_slots", "forecast_recursive"}
+FITTED = {"slot_leaderboard", "daily_leaderboard", "best_models", "forecast_slots", "forecast_recursive", "support_vector_days"}
 ORACLES = entry.flow_oracles()
 QUERIES = entry.flow_queries()
 
