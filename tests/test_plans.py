@@ -55,6 +55,14 @@ def test_scaled_features_make_the_dense_table_once(spark, small):
     assert "Generate" not in plan
 
 
+def test_scaled_features_has_a_row_for_every_slot(spark, small):
+    scaled = entry.flow_queries()["scaled_features"](spark, small)
+    flow = station_flow(event_swipes(spark, small)).select("stationID", "startTime")
+    slots = scaled.select("stationID", "startTime")
+    assert slots.exceptAll(flow).isEmpty() and flow.exceptAll(slots).isEmpty()
+    assert {kind for name, kind in scaled.dtypes if name.endswith("_z")} == {"double"}
+
+
 def test_dense_rows_are_made_after_the_last_shuffle(spark, small):
     plan = plan_of(station_flow(event_swipes(spark, small)))
     assert plan.index("Generate") < plan.index("Exchange")
