@@ -195,7 +195,7 @@ def rollup_by_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def flow_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "flow")
-    write_flow(_station_flow(spark, sf), path, "csv")
+    write_flow(_station_flow(spark, sf), path, "csv", compression="gzip")
     return read_flow(spark, path, fmt="csv")
 
 
@@ -206,9 +206,9 @@ def flow_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecast_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Slot rows out to CSV with times as text, and back as text."""
+    """Slot rows out to compressed CSV with times as text, and back as text."""
     path = scratch_path(spark, "forecast")
-    write_forecast(_station_flow(spark, sf), path)
+    write_forecast(_station_flow(spark, sf), path, compression="gzip")
     schema = "stationID bigint, startTime string, endTime string, inNums bigint, outNums bigint"
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -324,7 +324,7 @@ def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_exact_query(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = with_test_flag(_kept_flow(spark, sf), ["stationID", "startTime"])
+    flagged = with_test_flag(_station_flow(spark, sf), ["stationID", "startTime"])
     return flagged.select("stationID", "startTime", "inNums", "outNums", "is_test")
 
 

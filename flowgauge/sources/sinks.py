@@ -8,32 +8,45 @@ from flowgauge.sources.fixed_values import REPORT_COLUMNS
 
 BYTE_ORDER_MARK = "﻿"
 
+#: Rows that a task sorts before it writes them.
+ROWS_AT_ONCE = 2_000_000
+
 
 def _with_time_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: time_text(c) for c, kind in df.dtypes if kind == "timestamp_ntz"})
 
 
-def write_flow(df: DataFrame, path: str, fmt: str = "parquet", time: str = "startTime") -> None:
-    """Write a flow table, one partition per day: Parquet to work on, CSV to hand out.
+def write_flow(df: DataFrame, path: str, fmt: str = "parquet", time: str = "startTime", compression: str = "none") -> None:
+    """Write a flow table, one partition per day: Parquet to work on, CSV to hand out, which large tables want as "gzip".
 
-    Rows are rebalanced by day: small days share no file with others, and a day too large for
-    one task is split over several.
+    Rows are dealt by ranges of day, station and time, each small enough to be sorted in memory, so that small days share
+    no file with others and a day too large for one task is split over several. ``df`` is counted before and is read once more
+    to find the ranges.
     """
-    dated = df.withColumn("date", F.to_date(time)).hint("rebalance", F.col("date"))
+    dated = df.withColumn("date", F.to_date(time))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_AT_ONCE))
+    order = ["date", "stationID", time]
+    ordered = dated.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     if fmt == "csv":
-        dated = _with_time_text(dated)
-    ordered = dated.sortWithinPartitions("date", "stationID", time)
+        ordered = _with_time_text(ordered)
     writer = ordered.write.mode("overwrite").partitionBy("date")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("compression", compression).csv(path)
     else:
         writer.format(fmt).save(path)
 
 
-def write_forecast(df: DataFrame, path: str) -> None:
-    """Write slot forecasts as headered CSV, sorted, with times as text."""
+def write_forecast(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Write slot forecasts as headered CSV, sorted, with times as text; large ones want ``compression="gzip"``.
+
+    Rows go by ranges, each small enough to be sorted in memory.
+    """
     rows = df.select("stationID", "startTime", "endTime", "inNums", "outNums")
-    _with_time_text(rows.orderBy("stationID", "startTime")).write.mode("overwrite").option("header", True).csv(path)
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_AT_ONCE))
+    order = ["stationID", "startTime"]
+    sorted_ = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    writer = _with_time_text(sorted_).write.mode("overwrite").option("header", True)
+    writer.option("compression", compression).csv(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -1,5 +1,6 @@
 import bz2
 import datetime
+import functools
 import glob
 import gzip
 import random
@@ -9,6 +10,7 @@ import pytest
 import zstandard
 from conftest import at, day, rows_of
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from flowgauge.plans.profiles import line_station_profile
 from flowgauge.plans.rollup import station_flow
@@ -289,3 +291,20 @@ def test_errors_that_are_no_fault_of_a_file_end_the_read(spark, tmp_path):
     (tmp_path / "record_2019-01-01.csv").unlink()
     with pytest.raises(PySparkException):
         read_days(spark, str(tmp_path), *SPAN, ledger=ledger).collect()
+
+
+def test_csv_tables_are_compressed_and_dealt_in_parts_that_fit_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("flowgauge.sources.sinks.ROWS_AT_ONCE", 1_000)
+    start = F.timestamp_seconds(F.lit(1546300800) + F.col("id") % 288 * 600).cast("timestamp_ntz")
+    flow = spark.range(28_800).select((F.col("id") / 288).cast("bigint").alias("stationID"), start.alias("startTime"))
+    flow = flow.withColumn("endTime", F.col("startTime") + F.expr("INTERVAL '10' MINUTE"))
+    flow = flow.withColumns({"inNums": F.lit(1).cast("bigint"), "outNums": F.lit(0).cast("bigint")})
+    for name, writer in (("flow", functools.partial(write_flow, fmt="csv")), ("forecast", write_forecast)):
+        path = str(tmp_path / name)
+        writer(flow, path, compression="gzip")
+        files = list((tmp_path / name).rglob("part-*"))
+        assert len(files) >= 20 and sum(f.stat().st_size for f in files) < 20 * 28_800
+        read = spark.read.option("header", True).csv(path)
+        assert read.groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0] < 4_000
+        back = read.select([F.col(c).cast(kind) for c, kind in flow.dtypes])
+        assert back.exceptAll(flow).isEmpty() and flow.exceptAll(back).isEmpty()
