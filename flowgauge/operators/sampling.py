@@ -9,6 +9,8 @@ from flowgauge.session import scratch_path
 
 #: Deviations around the expected place of the last test row within which its digest is looked for at once.
 SPREADS = 6
+#: Digits of a digest that tell whether its row is near the last test row.
+LEAD = 15
 
 
 def _digest(keys: list[str], seed: int) -> Column:
@@ -22,9 +24,9 @@ def split_exact(
     """Train and test rows, the test side of exactly ``ceil(test_share * rows)`` rows.
 
     ``keys`` identify a row. Rows are taken in the order of a digest of their keys. The table
-    is never sorted as a whole: one pass keeps the few digests near the place where the last test
-    row is due and counts those before them, and the split itself is then a comparison with one
-    digest. ``df`` is read twice (and counted), so it should be a stored or kept table.
+    is never sorted as a whole: one pass makes the digests and writes each row with its side, the few rows
+    near the place where the last test row is due are ranked, and only they are compared with its
+    digest. ``df`` is counted before.
     """
     flagged = with_test_flag(df, keys, test_share, seed)
     return flagged.where(~F.col("is_test")).drop("is_test"), flagged.where("is_test").drop("is_test")
@@ -44,41 +46,45 @@ def _edge(digests: DataFrame, digits: Column, wanted: Column) -> Column:
 
 
 def with_test_flag(df: DataFrame, keys: list[str], test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``is_test``, see :func:`split_exact`. Runs one pass over ``df`` at once, and another when the result is read."""
-    hashed = df.withColumn("_digest", _digest(keys, seed))
-    place = F.struct("_digest", *keys)
-    digests = hashed.select("_digest", *keys)
+    """Add ``is_test``, see :func:`split_exact`. Counts ``df`` and runs one pass over it at once; the result is what that wrote.
+
+    Digests are even draws, so that the last test row is all but certain to lie within ``SPREADS`` deviations of where it is
+    due: rows outside that stretch are settled when they are written. The stretch holds some 2 * SPREADS * sqrt(n / 4) rows,
+    whose digests are made again. Where the row is not there, as with keys that repeat a lot, it is sought by counting digits.
+    """
+    spark, digest = df.sparkSession, _digest(keys, seed)
     n = df.count()
     wanted = math.ceil(n * test_share)
-    last = _last_test_row(digests, place, n, wanted) if wanted else None
-    if last is None:
+    if not wanted:
         return df.withColumn("is_test", F.lit(False))
-    return hashed.withColumn("is_test", F.coalesce(place <= last, F.lit(False))).drop("_digest")
-
-
-def _last_test_row(digests: DataFrame, place: Column, n: int, wanted: int) -> Column:
-    """The ``wanted``-th of ``n`` rows in the order of ``place``, as a one-row subquery.
-
-    Digests are even draws, so that the row is all but certain to lie within ``SPREADS`` deviations of where it is due: one
-    pass counts the rows before that stretch and keeps the digests in it, some 2 * SPREADS * sqrt(n / 4) of them.
-    Where it is not there, as with keys that repeat a lot, it is sought by counting digits.
-    """
     due, off = wanted / n, SPREADS * math.sqrt(wanted * (n - wanted) + n) / n**1.5
-    low, high = (f"{round(min(max(x, 0.0), 1.0) * (2**60 - 1)):015x}" for x in (due - off, due + off))
-    near = digests.where(F.substring("_digest", 1, 15) <= high)
-    near = near.groupBy(F.when(F.col("_digest") >= low, place).alias("place")).agg(F.count(F.lit(1)).alias("times"))
-    path = scratch_path(digests.sparkSession, "digests")
+    low, high = (f"{round(min(max(x, 0.0), 1.0) * (16**LEAD - 1)):0{LEAD}x}" for x in (due - off, due + off))
+    hashed = df.withColumn("_lead", F.substring(digest, 1, LEAD))
+    sided = hashed.withColumn("_test", F.when(F.col("_lead") < low, True).when(F.col("_lead") > high, False)).drop("_lead")
+    path = scratch_path(spark, "sides")
+    sided.write.parquet(path)
+    sided = spark.read.schema(sided.schema).parquet(path)
+    last, found = _last_test_row(sided, keys, digest, wanted)
+    near = F.coalesce(F.struct(digest.alias("_digest"), *keys) <= last, F.lit(False))
+    is_test = F.coalesce(F.col("_test"), near) if found else near
+    return sided.withColumn("is_test", is_test).drop("_test")
+
+
+def _last_test_row(sided: DataFrame, keys: list[str], digest: Column, wanted: int) -> tuple[Column, bool]:
+    """The ``wanted``-th row in the order of digest and keys, as a one-row subquery; and whether it is among those without a side."""
+    place = F.struct(digest.alias("_digest"), *keys)
+    before = sided.where("_test").count()
+    near = sided.where("_test is null").groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("times"))
+    path = scratch_path(sided.sparkSession, "digests")
     near.write.parquet(path)
-    near = digests.sparkSession.read.schema(near.schema).parquet(path)
-    before, inside = near.agg(
-        F.coalesce(F.sum(F.when(F.col("place").isNull(), F.col("times"))), F.lit(0)),
-        F.coalesce(F.sum(F.when(F.col("place").isNotNull(), F.col("times"))), F.lit(0)),
-    ).first()
+    near = sided.sparkSession.read.schema(near.schema).parquet(path)
+    inside = near.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
     if not before < wanted <= before + inside:
-        return _sought_test_row(digests, place, wanted)
+        digests = sided.select(digest.alias("_digest"), *keys)
+        return _sought_test_row(digests, F.struct("_digest", *keys), wanted), False
     upto = F.sum("times").over(Window.orderBy("place"))
-    reached = near.where("place is not null").withColumn("upto", upto).where(F.col("upto") >= wanted - before)
-    return reached.agg(F.min("place").alias("last")).scalar()
+    reached = near.withColumn("upto", upto).where(F.col("upto") >= wanted - before)
+    return reached.agg(F.min("place").alias("last")).scalar(), True
 
 
 def _sought_test_row(digests: DataFrame, place: Column, wanted: int) -> Column:

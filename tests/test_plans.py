@@ -78,3 +78,12 @@ def test_split_does_not_shuffle_the_table(spark):
     plan = plan_of(with_test_flag(spark.range(1000), ["id"]))
     top = plan.split("Subquery")[0]
     assert "Exchange" not in top and "Window" not in top
+
+
+def test_split_makes_digests_once(spark):
+    """Rows are written with their side; what is read again is a comparison for the few rows without one."""
+    flagged = with_test_flag(spark.range(100_000), ["id"])
+    text = final_plan(flagged)
+    assert "Range (" not in text and "sides-" in text
+    sided = spark.read.parquet(*flagged.inputFiles())
+    assert 0 < sided.where("_test is null").count() < 5_000
