@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.timefns import bucket, date_text, parse_time, time_text, two_digits
 from flowgauge.models.competition import TARGETS, fit_daily_models, fit_slot_models, predict
-from flowgauge.models.estimators import KernelRegression, kernel_draws
+from flowgauge.models.estimators import KernelRegression, fit_labels, kernel_draws
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
 from flowgauge.models.normal_equations import linear_cv
 from flowgauge.operators.features import DAILY_FEATURES, daily_features, slot_features, standardize
@@ -377,8 +377,9 @@ def kernel_waves(spark: SparkSession, sf: str) -> DataFrame:
 def support_vector_days(spark: SparkSession, sf: str) -> DataFrame:
     """Support vector regression of daily entries and exits of all stations, as predictions."""
     table = daily_features(_daily(spark, sf, ["stationID"]), ["stationID"])
-    for target in TARGETS:
-        table = predict(table, KernelRegression(DAILY_FEATURES, target, loss="epsilon").fit(table), f"{target}_fit")
+    models = fit_labels(table, [KernelRegression(DAILY_FEATURES, target, loss="epsilon") for target in TARGETS])
+    for target, model in zip(TARGETS, models, strict=True):
+        table = predict(table, model, f"{target}_fit")
     return table.select("stationID", "date", *TARGETS, *[f"{target}_fit" for target in TARGETS])
 
 

@@ -20,7 +20,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.models.support_vectors import SupportVectorFit, fit_support_vectors
+from flowgauge.models.support_vectors import SupportVectorFit, fit_together, support_vector_steps
 
 SCALED = "_z"
 RIDGE = 1e-8
@@ -68,7 +68,7 @@ class KernelRegression(Estimator):
     ``c`` weighs the errors against the penalty. ``loss="huber"`` counts large errors by their
     size and not their square, as a support vector regressor does; it is fitted in several
     passes. ``loss="epsilon"`` is the loss of a support vector regressor itself: errors up to
-    ``epsilon`` cost nothing, others what they are above it (``fit_support_vectors``); ``fit_``
+    ``epsilon`` cost nothing, others what they are above it (``support_vector_steps``); ``fit_``
     then holds the objective and its duality gap.
     """
 
@@ -121,10 +121,10 @@ class KernelRegression(Estimator):
         return Pipeline(stages=self._wave_stages(stats, weights, phases)).fit(dataset)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
+        if self.loss == "epsilon":
+            return fit_labels(dataset, [self])[0]
         n, stats, weights, phases = self._kernel(dataset)
         waves = self._wave_stages(stats, weights, phases)
-        if self.loss == "epsilon":
-            return Pipeline(stages=[*waves, self._fit_epsilon(dataset, stats, weights, phases)]).fit(dataset)
         names = [f"wave_{i}" for i in range(self.size)]
         stages = [
             *waves,
@@ -142,29 +142,44 @@ class KernelRegression(Estimator):
         ]
         return Pipeline(stages=stages).fit(dataset)
 
-    def _fit_epsilon(
-        self, dataset: DataFrame, stats: dict[str, tuple[float, float]], weights: np.ndarray, phases: np.ndarray
-    ) -> SQLTransformer:
+    def _support_line(self, fit: SupportVectorFit) -> SQLTransformer:
         """The last stage: prediction from the waves."""
-        columns, label, scale = self.features, self.label, math.sqrt(2.0 / self.size)
-        mean = np.array([stats[f][0] for f in columns])
-        deviation = np.array([stats[f][1] or 1.0 for f in columns])
-
-        def features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-            x = np.stack([batch.column(f).to_numpy() for f in columns], 1)
-            return scale * np.cos((x - mean) / deviation @ weights.T + phases), batch.column(label).to_numpy()
-
-        rows = dataset.dropna("any", subset=[*columns, label]).select(*[F.col(f).cast("double").alias(f) for f in [*columns, label]])
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.fit_ = fit_support_vectors(rows, label, features, self.size, self.c, self.epsilon)
-        finally:
-            rows.unpersist()
-        literal = ", ".join(f"{float(v)!r}D" for v in self.fit_.weights)
-        line = f"aggregate(zip_with(waves, array({literal}), (a, b) -> a * b), {self.fit_.intercept!r}D, (total, v) -> total + v)"
+        self.fit_ = fit
+        literal = ", ".join(f"{float(v)!r}D" for v in fit.weights)
+        line = f"aggregate(zip_with(waves, array({literal}), (a, b) -> a * b), {fit.intercept!r}D, (total, v) -> total + v)"
         return SQLTransformer(statement=f"SELECT *, {line} AS prediction FROM __THIS__")
 
 
+def fit_labels(dataset: DataFrame, estimators: list[KernelRegression]) -> list[PipelineModel]:
+    """Models of estimators with ``loss="epsilon"`` that differ in their labels, or in ``c`` and ``epsilon``, alone.
+
+    The same as one fit after the other, but the waves are made once in every pass, for all labels that still need it.
+    """
+    first = estimators[0]
+    if any((e.loss, e.features, e.size, e.gamma, e.seed) != ("epsilon", first.features, first.size, first.gamma, first.seed) for e in estimators):
+        raise ValueError("estimators must share loss 'epsilon', features, size, gamma and seed")
+    _, stats, weights, phases = first._kernel(dataset)
+    columns, labels, scale = first.features, [e.label for e in estimators], math.sqrt(2.0 / first.size)
+    mean = np.array([stats[f][0] for f in columns])
+    deviation = np.array([stats[f][1] or 1.0 for f in columns])
+
+    def features(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+        x = np.stack([batch.column(f).to_numpy() for f in columns], 1)
+        y = [batch.column(f"_label_{i}").to_numpy(zero_copy_only=False) for i in range(len(labels))]
+        return scale * np.cos((x - mean) / deviation @ weights.T + phases), y
+
+    rows = dataset.dropna("any", subset=columns).dropna("all", subset=labels)
+    doubles = [F.col(f).cast("double").alias(f) for f in columns]
+    doubles += [F.col(label).cast("double").alias(f"_label_{i}") for i, label in enumerate(labels)]
+    rows = rows.select(*doubles).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fits = fit_together(rows, features, [support_vector_steps(e.size, e.c, e.epsilon) for e in estimators])
+    finally:
+        rows.unpersist()
+    waves = first._wave_stages(stats, weights, phases)
+    return [Pipeline(stages=[*waves, e._support_line(fit)]).fit(dataset) for e, fit in zip(estimators, fits, strict=True)]
+
+
 def scaled_pipeline(features: list[str], regressor: Estimator) -> Pipeline:
     assembler = VectorAssembler(inputCols=[f"{f}{SCALED}" for f in features], outputCol="features")
     return Pipeline(stages=[PopulationScaler(features), assembler, regressor])

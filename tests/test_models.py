@@ -15,7 +15,7 @@ from flowgauge.models.competition import (
     predict,
     save_models,
 )
-from flowgauge.models.estimators import KernelRegression, PopulationScaler, linear, random_forest
+from flowgauge.models.estimators import KernelRegression, PopulationScaler, fit_labels, linear, random_forest
 from flowgauge.models.forecast import forecast_recursive, forecast_slots, linear_predictor, model_predictor
 from flowgauge.models.normal_equations import Moments, linear_cv, linear_folds
 from flowgauge.operators.features import DAILY_FEATURES, daily_features
@@ -426,3 +426,26 @@ def test_report_text(spark, daily):
     assert rows[0] == ("2019-01-01", "周二", "1,270,547", "1,269,045", "实际值")
     assert rows[24] == ("2019-01-25", "周五", "1,288,580", "1,287,602", "实际值")
     assert rows[25] == ("2019-01-26", "周六", "1,082,152", "1,083,120", "预测值")
+
+
+def test_labels_fitted_together_are_as_fitted_alone(spark, monkeypatch):
+    """The passes are those of the longest fit, not of all; a row without one label counts for the other."""
+    import flowgauge.models.support_vectors as support_vectors
+
+    passes, total = [], support_vectors._total
+    monkeypatch.setattr(support_vectors, "_total", lambda *a: passes.append(1) or total(*a))
+    rows = [(float(i % 17), float(i % 5), float(i % 7) if i % 10 else None, float(i % 3 * (i % 17))) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, u double, v double").repartition(2)
+    made = lambda label: KernelRegression(["a", "b"], label, size=8, loss="epsilon")
+    alone = []
+    for label in "uv":
+        alone.append(made(label))
+        alone[-1].fit(df)
+    apart, together = len(passes), [made(label) for label in "uv"]
+    passes.clear()
+    fit_labels(df, together)
+    assert len(passes) == max(e.fit_.passes for e in together) < apart
+    for a, b in zip(alone, together, strict=True):
+        assert a.fit_.weights == pytest.approx(b.fit_.weights, abs=1e-6) and b.fit_.gap <= 1e-3 * b.fit_.objective
+    with pytest.raises(ValueError):
+        fit_labels(df, [made("u"), KernelRegression(["a"], "v", loss="epsilon")])
