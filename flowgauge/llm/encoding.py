@@ -1,23 +1,27 @@
 """Token ids of whole texts, by remembering those of the stretches that a tokenizer never joins."""
 
-import gc
 import os
 import re
 import unicodedata
-from itertools import islice
+from collections.abc import Iterator
+from itertools import chain, compress, islice, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from flowgauge.llm.turns import take_turn
 
-#: Stretches that a worker remembers, and the longest of them. Beyond, the half that came first stays: the most frequent.
-REMEMBERED, LONGEST = 800_000, 48
-#: Words that go through the tokenizer as one text.
-AT_ONCE = 256
+#: Stretches that a worker remembers, and the longest of them. Beyond, the three quarters that came first stay: the most frequent.
+REMEMBERED, LONGEST = 500_000, 48
+#: Words that go through the tokenizer as one text; bytes of text that are cut, and texts whose ids are put, together.
+AT_ONCE, BYTES, TOGETHER = 256, 1 << 21, 64
 #: Places before a space that a word follows.
 _WORD_STARTS = re.compile(r"(?= \S)")
 #: Letters, a line end before them or not, and marks of ASCII behind them: none that begins a contraction or special token.
 _WORD = re.compile(r"(\n?[^\W\d_]+)([!-&(-/:;=-@\[-^`{-~]+)")
+#: A mark behind an ASCII letter that ends a cut. It is cut off too, and goes by these line ends before it: no other cut has two.
+_LAST_MARK, _OFF = re.compile(r"([.,])(?= |\Z)(?<=[A-Za-z].)"), "\n\n"
 #: How vocabularies write the space before a word and the end of a word: fixed values.
 _SPACE, _WORD_END = "Ġ", "</w>"
 
@@ -28,16 +32,22 @@ def _stays_word(word: str) -> bool:
 
 
 class _Known(dict):
-    """Ids by stretch. One not known yet gets an empty buffer and is put down as fresh, to be filled before use."""
+    """Numbers of stretches, in order of their first coming. One not known yet is put down as fresh, to be filled before use."""
 
     def __init__(self):
         super().__init__()
         self.fresh: list[str] = []
 
-    def __missing__(self, cut: str) -> bytearray:
+    def __missing__(self, cut: str) -> int:
         self.fresh.append(cut)
-        self[cut] = out = bytearray()
-        return out
+        self[cut] = number = len(self)
+        return number
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Encoder:
@@ -45,7 +55,8 @@ class Encoder:
 
     ``joined`` tokenizers (byte level, a word holds the space before it) never join across the place before a space
     that a word follows, nor around a line end between words; others, which drop white space, never across a space or line
-    end. Texts are cut there and the cuts are encoded once each, as most words come again and again.
+    end. Texts are cut there and the cuts are encoded once each, as most words come again and again: Arrow finds the
+    different cuts of some texts, and only those are looked up among the remembered ones.
 
     A cut of a joined tokenizer goes by its text without the space before it; one after a line end begins with that.
     """
@@ -56,7 +67,9 @@ class Encoder:
 
         self.tokenizer, self.joined = Tokenizer.from_file(path), joined
         self.known, self.marks = _Known(), {}
-        self.learned, self.uncertain = 0, False  # fresh cuts done; whether white space runs came up among them
+        self.learned = 0  # fresh cuts done
+        # Where each cut's ids are in the one array of all, and how many; a start below 0: white space behind white space.
+        self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
         # Where A-Z are the same to the tokenizer as a-z, words are remembered once. "<" may begin a special token.
         self.folds = all((self._ids(chr(c)) == self._ids(chr(c + 32))).all() for c in range(65, 91))
         # Tokens that begin a word with its space, or else that end a word; and the line end.
@@ -67,68 +80,108 @@ class Encoder:
         self.line_end = int(self._ids("\n")[0]) if joined else -1
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _parts(self, text: str) -> tuple[list, int]:
-        """Ids of a text's cuts in order, some yet to be filled, and how many bytes at the start are not the text's."""
-        get = self.known.__getitem__
-        if not self.joined:
+    def _spaced(self, text: str) -> str:
+        """A text with its cuts between spaces; for a joined tokenizer, as if a line end came before it."""
+        if self.joined:
+            text = f"\n{text[:-1] if self._ends_line(text) else text}".replace("\n", " \n")[1:]
+        else:
             if self.folds and "<" not in text:
-                text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-            return list(map(get, text.replace("\n", " ").split(" "))), 0
-        # As if a line end came before the text. One at the end of the last line is a token by itself.
-        last = text[-1:] == "\n" and text[-2:-1].strip() != ""
-        cuts = f"\n{text[:-1] if last else text}".replace("\n", " \n").split(" ")[1:]
-        return [*map(get, cuts), *[self.line] * last], 4
-
-    def _with_runs(self, text: str) -> bytes:
-        """The ids of a text for a joined tokenizer that has white space behind white space."""
-        first, *rest = _WORD_STARTS.split(text)
-        parts = list(map(self.known.__getitem__, [cut[1:] for cut in rest]))
+                text = text.encode().lower().decode()
+            text = text.replace("\n", " ")
+        return _LAST_MARK.sub(rf" {_OFF}\1", text)
+
+    def _ends_line(self, text: str) -> bool:
+        """Whether a line end is the last of the text. Behind a word it is a token by itself."""
+        return text[-1:] == "\n" and text[-2:-1].strip() != ""
+
+    def _numbers(self, cuts: pa.Array) -> np.ndarray:
+        """The cuts' numbers, all of them filled."""
+        coded = cuts.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        met = np.fromiter(map(self.known.__getitem__, different), np.int32, len(different))
         self._learn()
-        return self._ids(first).tobytes() + b"".join(parts)
+        return met[coded.indices.to_numpy()]
+
+    def _joint(self, numbers: np.ndarray, counts: np.ndarray, skip: int = 0) -> list[bytes]:
+        """The ids of texts with so many cuts each, but for the first ``skip``."""
+        out, at = [], np.append(0, np.cumsum(counts))
+        for first in range(0, len(counts), TOGETHER):
+            bounds = at[first : first + TOGETHER + 1]
+            some = numbers[bounds[0] : bounds[-1]]
+            sizes = self.sizes[some]
+            ends = 4 * np.append(0, np.cumsum(sizes))[bounds - bounds[0]]
+            ids = self.flat[_spans(self.starts[some], sizes)].tobytes()
+            out += [ids[a + 4 * skip : b] for a, b in pairwise(ends.tolist())]
+        return out
 
     def _learn(self) -> None:
         """Fill what is fresh. Plain words go through the tokenizer together, as the words of one text."""
         known, fresh = self.known, self.known.fresh
-        words, lines, other, marked = [], [], [], []
+        base = len(known) - len(fresh)
+        words, lines, other, runs, marked, stems, marks = [], [], [], [], [], [], []
+        done, sizes, ids = [], [], []
         while self.learned < len(fresh):  # which grows by words of marked cuts
-            cut = fresh[self.learned]
+            at, cut = self.learned, fresh[self.learned]
             self.learned += 1
             if cut.isalpha():
-                words.append(cut)
+                words.append(at)
+            elif cut[:2] == _OFF:
+                done.append(at)
+                ids.append(self._ids(cut[2:]))
+                sizes.append(len(ids[-1]))
             elif self.joined and not cut[cut[:1] == "\n" :][:1].strip():
-                known[cut], self.uncertain = None, True  # white space behind white space
+                runs.append(base + at)  # white space behind white space
             elif self.joined and cut[:1] == "\n" and cut[1:].isalpha():
-                lines.append(cut)
+                lines.append(at)
             elif (found := _WORD.fullmatch(cut)) and _stays_word(found[1]):
-                marked.append((known[cut], known[found[1]], found[2]))
+                marked.append(at)
+                stems.append(known[found[1]])
+                marks.append(found[2])
             else:
-                other.append(cut)
+                other.append(at)
         for some, lead in ((words, " "), (lines, "")):
             for start in range(0, len(some), AT_ONCE):
                 part = some[start : start + AT_ONCE]
-                ids = self._ids("".join([lead + cut for cut in part]))
-                pieces = self._apart(ids, bool(lead))
-                if len(pieces) == len(part):
-                    for cut, piece in zip(part, pieces, strict=True):
-                        known[cut].extend(piece)
+                new = self._ids("".join([lead + fresh[at] for at in part]))
+                apart = self._apart(new, bool(lead))
+                if len(apart) == len(part):
+                    done += part
+                    sizes += apart
+                    ids.append(new)
                 else:
                     other += part
         for start in range(0, len(other), 4096):
             part = other[start : start + 4096]
-            whole = [" " + cut if self.joined and cut[:1] != "\n" else cut for cut in part]
-            for cut, out in zip(part, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
-                known[cut].extend(np.array(out.ids, "<u4").tobytes())
+            cuts = [fresh[at] for at in part]
+            whole = [" " + cut if self.joined and cut[:1] != "\n" else cut for cut in cuts]
+            new = [out.ids for out in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+            done += part
+            sizes += map(len, new)
+            ids.append(np.fromiter(chain.from_iterable(new), "<u4"))
+        more = len(known) - len(self.starts)
+        self.starts, self.sizes = np.pad(self.starts, (0, more)), np.pad(self.sizes, (0, more))
+        self._fill(np.array(done, np.int64) + base, sizes, ids)
+        self.starts[runs] = -1
         # Marks after a word are a stretch of their own.
-        for buffer, word, marks in marked:
-            if marks not in self.marks:
-                self.marks[marks] = self._ids(marks).tobytes()
-            buffer.extend(word)
-            buffer.extend(self.marks[marks])
-
-    def _apart(self, ids: np.ndarray, words: bool) -> list[bytes]:
-        """The ids of cuts that were encoded as one text; another number of pieces if some cut is not one piece."""
+        for new in set(marks).difference(self.marks):
+            self.marks[new] = self._ids(new)
+        ends = [self.marks[m] for m in marks]
+        stems = np.array(stems, np.int64)
+        parts = np.split(self.flat[_spans(self.starts[stems], self.sizes[stems])], np.cumsum(self.sizes[stems])[:-1])
+        sizes = self.sizes[stems] + np.fromiter(map(len, ends), np.int64)
+        self._fill(np.array(marked, np.int64) + base, sizes, list(chain.from_iterable(zip(parts, ends, strict=False))))
+
+    def _fill(self, numbers: np.ndarray, sizes: list | np.ndarray, ids: list[np.ndarray]) -> None:
+        """Put down the ids of cuts, which lie one after the other."""
+        if len(numbers):
+            self.sizes[numbers] = sizes
+            self.starts[numbers] = len(self.flat) + np.cumsum(sizes) - sizes
+            self.flat = np.concatenate([self.flat, *ids])
+
+    def _apart(self, ids: np.ndarray, words: bool) -> list[int]:
+        """How many ids each cut has, of those encoded as one text; another number of cuts if some is not one piece."""
         at = np.nonzero(self.edges[ids] if words else ids == self.line_end)[0]
         if self.joined:  # a token that begins each cut
             starts, ends = at, np.append(at[1:], len(ids))
@@ -136,45 +189,56 @@ class Encoder:
             starts, ends = np.append(0, at[:-1] + 1), at + 1
         if not len(at) or starts[0] or ends[-1] != len(ids):
             return []
-        flat = ids.tobytes()
-        return [flat[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+        return (ends - starts).tolist()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # Millions of references and no cycles: the collector would look through them again and again.
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        parts = [self._parts(text) for text in texts]
-        self._learn()
-        if self.uncertain:  # known by now, but with a buffer in the parts
-            parts, self.uncertain = [self._parts(text) for text in texts], False
-        out = []
-        for text, (part, skip) in zip(texts, parts, strict=True):
-            try:
-                out.append(b"".join(part)[skip:])
-            except TypeError:  # a cut without ids
-                out.append(self._with_runs(text))
-        known = self.known
-        for cut in known.fresh:
-            ids = known[cut]
-            if len(cut) > LONGEST:
+        cuts = pc.split_pattern(pa.array(map(self._spaced, texts), pa.large_string()), " ")
+        counts = pc.list_value_length(cuts).to_numpy()
+        numbers = self._numbers(cuts.flatten())
+        out = self._joint(numbers, counts, int(self.joined))
+        if self.joined:
+            out = [ids + self.line if self._ends_line(text) else ids for ids, text in zip(out, texts, strict=True)]
+            runs = np.unique(np.repeat(np.arange(len(texts)), counts)[self.starts[numbers] < 0]).tolist()
+            split = [_WORD_STARTS.split(texts[i]) for i in runs]
+            rest = self._numbers(pa.array([cut[1:] for _, *cuts in split for cut in cuts], pa.large_string()))
+            coded = self._joint(rest, np.array([len(cuts) - 1 for cuts in split], np.int64))
+            for i, (first, *_), ids in zip(runs, split, coded, strict=True):
+                out[i] = self._ids(first).tobytes() + ids
+        self._forget()
+        pa.default_memory_pool().release_unused()
+        return out
+
+    def _forget(self) -> None:
+        """Drop fresh cuts that are too long to come again and, beyond what may be remembered, the quarter that came last."""
+        known, fresh = self.known, self.known.fresh
+        base, stay = len(known) - len(fresh), [len(cut) <= LONGEST for cut in fresh]
+        kept = None
+        if not all(stay):
+            for cut in fresh:
                 del known[cut]
-            elif ids is not None:
-                known[cut] = bytes(ids)
-        known.fresh.clear()
-        self.learned = 0
+            known.update(zip(compress(fresh, stay), range(base, len(self.starts))))  # noqa: B905
+            kept = np.append(np.arange(base), base + np.flatnonzero(stay))
         if len(known) > REMEMBERED:
-            kept = list(islice(known.items(), REMEMBERED // 2))
+            first = list(islice(known, REMEMBERED * 3 // 4))
             known.clear()
-            known.update(kept)
+            known.update(zip(first, range(len(first)), strict=True))
+            kept = (np.arange(len(self.starts)) if kept is None else kept)[: len(first)]
             self.marks.clear()
-        return out
+        if kept is not None:
+            starts, self.sizes = self.starts[kept], self.sizes[kept]
+            self.flat = self.flat[_spans(starts, self.sizes)]
+            self.starts = np.where(starts < 0, -1, np.cumsum(self.sizes) - self.sizes)
+        fresh.clear()
+        self.learned = 0
+
+
+def some_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about BYTES of its column ``text``, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    slices = np.cumsum(sizes, dtype=np.int64) // BYTES
+    bounds = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
+    for a, b in pairwise(bounds):
+        yield batch.slice(a, b - a)
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}

@@ -8,14 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.encoding import encoder, is_joined
+from flowgauge.llm.encoding import encoder, is_joined, some_texts
 from flowgauge.llm.tables import stored, with_place
 from flowgauge.llm.turns import released
 
 #: Places of a length's documents are below this.
 PLACES = 1 << 44
-#: Texts that are encoded together.
-TEXTS_AT_ONCE = 256
 
 
 class OpenBins:
@@ -97,8 +95,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
         end = np.array([end_id], "<u4").tobytes()
         encode = encoder(tokenizer, joined).encode
         for whole in released(batches):
-            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(first, TEXTS_AT_ONCE)
+            for batch in some_texts(whole):
                 coded = encode([t or "" for t in batch.column("text").to_pylist()])
                 rows, pieces = [], []
                 for i, ids in enumerate(coded):

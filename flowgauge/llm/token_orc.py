@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowgauge.llm.encoding import encoder, is_joined
-from flowgauge.llm.packing import TEXTS_AT_ONCE
+from flowgauge.llm.encoding import encoder, is_joined, some_texts
 from flowgauge.llm.tables import stored
+from flowgauge.llm.turns import released
 
 #: ORC packs integers by run-length encoding (version 2), after which a compressor finds little; these set stripes, indexes
 #: and filters.
@@ -37,9 +37,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         encode = encoder(tokenizer, joined).encode
-        for whole in batches:
-            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(first, TEXTS_AT_ONCE)
+        for whole in released(batches):
+            for batch in some_texts(whole):
                 coded = [ids + end for ids in encode([t or "" for t in batch.column("text").to_pylist()])]
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
                 flat = pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32))

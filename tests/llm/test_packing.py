@@ -6,11 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
+from flowgauge.llm import encoding
 from flowgauge.llm.encoding import Encoder, is_joined
 from flowgauge.llm.packing import OpenBins, best_fit_decreasing, pack_documents, packed_sequences
 
@@ -122,3 +124,46 @@ def test_whole_documents(odd_docs, capacity):
 
 def test_no_rows(no_docs):
     assert pack_documents(no_docs, WORD, 64).isEmpty()
+
+
+def test_marks_are_cut_off():
+    texts = ["Alpha. beta, Gamma.\nalpha, beta.", "x.", "a.. b.) 1. é. 's. <|endoftext|>. a<b. c. ", "end.\n", ".", "a.\n\nb.  c.\x00. d.", "a. b. c.\tD,"]
+    for path in (WORD, BYTE):
+        encoder = Encoder(path, is_joined(path))
+        for _ in range(2):
+            for text, ids in zip(texts, encoder.encode(texts), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == ids_of(path, text), repr(text)
+        assert not {"alpha.", "beta,", "beta.", "alpha,", "Alpha."} & set(encoder.known)
+        assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_ids_stay_right_while_cuts_are_forgotten(path, monkeypatch):
+    monkeypatch.setattr(encoding, "REMEMBERED", 60)
+    monkeypatch.setattr(encoding, "LONGEST", 6)
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in ("un", "The", "é", "12", "thinking", "日本") for b in ("", "er", "s.", "ing,", "'s", "!?", "\n", "  ", ".\n")]
+    encoder = Encoder(path, is_joined(path))
+    for _ in range(30):
+        texts = [" ".join(rng.choices(words, k=rng.randint(0, 15))) for _ in range(8)]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(path, text), repr(text)
+        assert len(encoder.known) == len(encoder.starts) <= 60 and max(map(len, encoder.known)) <= 6
+
+
+def test_a_worker_remembers_half_a_million_cuts_at_most():
+    letters = "bcdfghjklmnpqrst"
+    words = ["".join(letters[n >> s & 15] for s in (16, 12, 8, 4, 0)) for n in range(600_000)]
+    encoder = Encoder(WORD, False)
+    for start in range(0, len(words), 100_000):
+        encoder.encode([" ".join(words[start : start + 100_000])])
+    assert 300_000 < len(encoder.known) <= 500_000
+
+
+def test_slices_go_by_bytes(monkeypatch):
+    monkeypatch.setattr(encoding, "BYTES", 10)
+    texts = ["aaaa", None, "bbbb", "cccc", "d" * 35, "", "é" * 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    slices = [s.column("text").to_pylist() for s in encoding.some_texts(batch)]
+    assert slices == [texts[:3], texts[3:4], texts[4:6], texts[6:]]
+    assert sum(s.num_rows for s in encoding.some_texts(batch.slice(0, 0))) == 0
