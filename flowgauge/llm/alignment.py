@@ -5,7 +5,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, islice, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from flowgauge.llm.encoding import is_joined
 from flowgauge.llm.tables import stored
-from flowgauge.llm.turns import take_turn
+from flowgauge.llm.turns import release, take_turn
 
-#: Characters that go through the tokenizers together; characters and different windows that a block of texts may hold.
-AT_ONCE, BLOCK_CHARS, BLOCK_WINDOWS = 1 << 20, 1 << 24, 400_000
+#: Characters that are cut, and that go through the tokenizers, together; characters and different windows that a block of texts may hold.
+AT_ONCE, IN_CALL, BLOCK_CHARS, BLOCK_WINDOWS = 1 << 20, 1 << 16, 1 << 24, 300_000
 #: Words whose ids a worker remembers from block to block.
 REMEMBERED = 150_000
 #: Stands between the ids of a window's two sides; no id of a vocabulary of up to 65,535 tokens.
@@ -104,6 +104,15 @@ class BothSides:
 
     def together(self, texts: list[str]) -> list[list[bytes]]:
         """Ids by side and text; empty where a side's tokens aren't space and text."""
+        calls = np.cumsum([0, *map(len, texts)]) // IN_CALL
+        bounds = [0, *(np.flatnonzero(np.diff(calls)) + 1).tolist(), len(texts)]
+        both: list[list[bytes]] = [[], []]
+        for start, end in pairwise(bounds):
+            for side, ids in zip(both, self._called(texts[start:end]), strict=True):
+                side += ids
+        return both
+
+    def _called(self, texts: list[str]) -> list[list[bytes]]:
         out = [[array("H", ids) for ids in side(texts)] for side in self.sides]
         first, second = ([b"".join(map(t.__getitem__, ids)) for ids in o] for t, o in zip(self.tokens, out, strict=True))
         good = [x == y == f" {text}".encode() for x, y, text in zip(first, second, texts, strict=True)]
@@ -169,7 +178,8 @@ class Aligner:
         self.numbers = _Numbers()
         self.of_place = np.full(len(self.encode.places), -1)  # window of each word; -1 if not met in this block
         self.texts: list[str] = []  # groups of each window, as text
-        self.links: list[bytes] = []  # of each window, a << 32 | b
+        self.links: list[np.ndarray] = []  # of the windows learned together, a << 16 | b
+        self.learned: list[int] = []  # how many those are
         self.sizes = np.zeros((4, 1024), np.int64)  # n_a, n_b, n_groups, n_links by window
         self.counts = np.zeros(1024, np.int64)  # windows in texts
 
@@ -251,7 +261,7 @@ class Aligner:
         low = np.searchsorted(ends_a, ends_b[in_b] - self.length[1][b[in_b]], "right")
         high = np.searchsorted(ends_a, ends_b[in_b], "left") + 1
         partners = high - low
-        links = a[_spans(low, partners)].astype(np.int64) << 32 | np.repeat(b[in_b].astype(np.int64), partners)
+        links = a[_spans(low, partners)].astype(np.uint32) << 16 | np.repeat(b[in_b], partners)
         n_links = np.add.reduceat(partners, np.cumsum(n_b) - n_b)
         closes_a, closes_b = ended[1, ends_a[in_a]], ended[0, ends_b[in_b]]
         n_groups = np.add.reduceat(closes_a.astype(np.int64), np.cumsum(n_a) - n_a)
@@ -262,22 +272,26 @@ class Aligner:
             [np.where(closes_a, self.names[0][1][a[in_a]], self.names[0][0][a[in_a]]), np.where(closes_b, self.names[1][1][b[in_b]], self.names[1][0][b[in_b]])]
         )
         words = words[np.argsort(group, kind="stable")].tolist()
-        # Offsets of every window in the lists above.
-        word_ends, link_ends, packed = np.cumsum(n_a + n_b).tolist(), (8 * np.cumsum(n_links)).tolist(), links.tobytes()
-        w = x = 0
-        for we, xe in zip(word_ends, link_ends, strict=True):
-            self.texts.append("".join(words[w:we]))
-            self.links.append(packed[x:xe])
-            w, x = we, xe
+        begin = 0
+        for end in np.cumsum(n_a + n_b).tolist():
+            self.texts.append("".join(words[begin:end]))
+            begin = end
+        self.links.append(links)
+        self.learned.append(len(start_a))
 
     def summary(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The block's different pairs and how often each is linked; links by window and, as places in the pairs, the links."""
-        flat = np.frombuffer(b"".join(self.links), np.int64)
-        n_links = self.sizes[3, : len(self.links)]
-        pairs, places = np.unique(flat, return_inverse=True)
-        counts = np.zeros(len(pairs), np.int64)
-        np.add.at(counts, places, np.repeat(self.counts[: len(self.links)], n_links))
-        return pairs, counts, n_links, places
+        n_links = self.sizes[3, : len(self.texts)]
+        pairs = np.unique(np.concatenate([np.zeros(0, np.uint32), *map(np.unique, self.links)]))
+        counts, places = np.zeros(len(pairs), np.int64), np.zeros(n_links.sum(), "<u4")
+        begin = window = 0
+        # A part of the windows at a time, as the pairs are few beside the links.
+        for links, windows in zip(self.links, self.learned, strict=True):
+            some = places[begin : begin + len(links)]
+            some[:] = np.searchsorted(pairs, links)
+            np.add.at(counts, some, np.repeat(self.counts[window : window + windows], n_links[window : window + windows]))
+            begin, window = begin + len(links), window + windows
+        return pairs.astype(np.int64) >> 16 << 32 | pairs & 0xFFFF, counts, n_links, places
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -303,12 +317,13 @@ def _batch(n: int, columns: dict) -> pa.RecordBatch:
 def _encoder(a_path: str, b_path: str):
     def closed(aligner: Aligner, block: int) -> Iterator[pa.RecordBatch]:
         pairs, counts, n_links, places = aligner.summary()
-        dictionary = {"block": [block], "lens": [n_links.astype("<u4").tobytes()], "links": [places.astype("<u4").tobytes()]}
+        dictionary = {"block": [block], "lens": [n_links.astype("<u4").tobytes()], "links": [places.tobytes()]}
         yield _batch(1, dictionary)
         for start in range(0, len(pairs), 1 << 16):
             some = pairs[start : start + (1 << 16)]
             yield _batch(len(some), {"block": [block] * len(some), "pair": some, "n": counts[start : start + (1 << 16)]})
         aligner.clear()
+        release()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -1,6 +1,7 @@
 """Tokenizer alignment against a plain version that compares all tokens of a text."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from llm_fixtures import no_docs, odd_docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from flowgauge.llm import alignment
-from flowgauge.llm.alignment import align_tokenizers
+from flowgauge.llm.alignment import Aligner, align_tokenizers
 
 A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -153,3 +154,30 @@ def test_blocks_change_nothing(chars, windows, monkeypatch):
         schema = pa.schema([("pair", pa.int64()), ("count", pa.int64()), ("best", pa.bool_())])
         got += alignment._summer(mine.filter(mine.column("pair").is_null()), pa.Table.from_pylist(right[::-1], schema)).to_pylist()
     assert sorted((tuple(g.values()) for g in got), key=str) == expected(list(enumerate(texts)))[0]
+
+
+def test_calls_are_bounded(monkeypatch):
+    """However many texts come together, the tokenizers get so many characters at once, or one longer text."""
+    aligner, sizes = Aligner(A_PATH, B_PATH), []
+    for kind in (alignment.ByteLevel, alignment.Pieces):
+        call = kind.__call__
+        monkeypatch.setattr(kind, "__call__", lambda self, texts, call=call: sizes.append(list(map(len, texts))) or call(self, texts))
+    words = [f"w{i}x" for i in range(40_000)]
+    texts = [" ".join(words), " " + "a  b " * 30_000, "", " c", *["  d e"] * 20_000]
+    found = aligner.align(texts)
+    assert max(sum(some) - some[-1] for some in sizes) <= alignment.IN_CALL < sum(map(len, texts))
+    assert [len(f[0]) if f else 0 for f in found[:3]] == [40_000, len(Aligner(A_PATH, B_PATH).align(texts[1:2])[0][0]), 0]
+    assert len({f[1] for f in found[4:]}) == 1
+
+
+def test_summary_needs_little_beside_the_links():
+    """A block's pairs and places are made without several copies of all of its links."""
+    aligner = Aligner(A_PATH, B_PATH)
+    for start in range(0, 100_000, 10_000):
+        aligner.align([" ".join(f"w{i}x" for i in range(start, start + 10_000))])
+    tracemalloc.start()
+    pairs, counts, n_links, places = aligner.summary()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(places) == n_links.sum() == counts.sum() > 400_000 and (pairs[1:] > pairs[:-1]).all()
+    assert peak < 16 * len(places)
