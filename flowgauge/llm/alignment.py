@@ -24,6 +24,7 @@ AT_ONCE, IN_CALL, BLOCK_CHARS, BLOCK_WINDOWS = 1 << 20, 1 << 16, 1 << 24, 300_00
 REMEMBERED = 150_000
 #: Stands between the ids of a window's two sides; no id of a vocabulary of up to 65,535 tokens.
 _BETWEEN = 0xFFFF
+_MARK = _BETWEEN.to_bytes(2, "little")
 #: How pieces write a space: a fixed value.
 _SPACE = "▁"
 #: A space before white space.
@@ -100,7 +101,7 @@ class BothSides:
             raise ValueError(f"vocabularies of up to {_BETWEEN} tokens only")
         self.by_word = all(side.by_word for side in self.sides)
         self.places: dict[str, int] = {}  # of words in the lists below
-        self.known: list[list[bytes]] = [[], []]
+        self.known: list[bytes] = []  # ids of both sides with a mark between them, or none
 
     def together(self, texts: list[str]) -> list[list[bytes]]:
         """Ids by side and text; empty where a side's tokens aren't space and text."""
@@ -126,16 +127,14 @@ class BothSides:
         ]
         fresh = list({w for some in cut if some for w in some}.difference(self.places))
         self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh)), strict=True))
-        for known, ids in zip(self.known, self.together(fresh), strict=True):
-            known += ids
+        self.known += [a and a + _MARK + b for a, b in zip(*self.together(fresh), strict=True)]
         return [some and list(map(self.places.__getitem__, some)) for some in cut]
 
     def forget(self) -> None:
         """Keep the words that came first, as they are the most frequent."""
         if len(self.places) > REMEMBERED:
             self.places = dict(islice(self.places.items(), REMEMBERED))
-            for known in self.known:
-                del known[REMEMBERED:]
+            del self.known[REMEMBERED:]
 
 
 def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -144,6 +143,14 @@ def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def _sides(keys: list[bytes]) -> list[list[bytes]]:
+    """The ids of both sides, of keys that hold them."""
+    ends = np.cumsum([0, *map(len, keys)])
+    marks = 2 * np.flatnonzero(np.frombuffer(b"".join(keys), np.uint16) == _BETWEEN) - ends[:-1]
+    at = marks.tolist()
+    return [[key[:m] for key, m in zip(keys, at, strict=True)], [key[m + 2 :] for key, m in zip(keys, at, strict=True)]]
+
+
 class _Numbers(dict):
     """Numbers of windows by their ids, in order of their first coming."""
 
@@ -194,11 +201,14 @@ class Aligner:
         """(numbers of a text's windows, its groups' sha256), or null for a text without tokens on either side."""
         known, places = self.encode.known, self.encode.words(texts)
         flat = np.fromiter(chain.from_iterable(some for some in places if some), np.int64)
-        self.of_place = np.pad(self.of_place, (0, len(known[0]) - len(self.of_place)), constant_values=-1)
+        self.of_place = np.pad(self.of_place, (0, len(known) - len(self.of_place)), constant_values=-1)
         met = np.unique(flat)
         # A word is a window, as both sides end before its space.
-        fresh = [p for p in met[self.of_place[met] == -1].tolist() if known[0][p]]
-        for p, (number,) in zip(fresh, self._windows([[side[p] for p in fresh] for side in known]), strict=True):
+        fresh = [p for p in met[self.of_place[met] == -1].tolist() if known[p]]
+        before, numbers = len(self.numbers), [self.numbers[known[p]] for p in fresh]
+        self.of_place[fresh] = numbers
+        fresh = [p for p, number in zip(fresh, numbers, strict=True) if number >= before]
+        for p, (number,) in zip(fresh, self._windows(_sides([known[p] for p in fresh]), before), strict=True):
             self.of_place[p] = number
         # Words that aren't their tokens are left without a window; so are texts whose words may be joined.
         numbers, found, begin = self.of_place[flat], [], 0
@@ -207,7 +217,7 @@ class Aligner:
             begin += len(some or ())
         whole = [i for i, f in enumerate(found) if texts[i] and (f is None or f.min() < 0)]
         ids = self.encode.together([texts[i] for i in whole])
-        for i, f in zip(whole, self._windows(ids), strict=True):
+        for i, f in zip(whole, self._windows(ids, len(self.numbers)), strict=True):
             found[i] = f
         out: list = [None] * len(texts)
         for i, mine in enumerate(found):
@@ -217,8 +227,11 @@ class Aligner:
                 np.add.at(self.counts, mine, 1)
         return out
 
-    def _windows(self, lists: list[list[bytes]]) -> list[np.ndarray]:
-        """Numbers of the windows of texts, given by their ids on both sides; none for a text without ids."""
+    def _windows(self, lists: list[list[bytes]], known: int) -> list[np.ndarray]:
+        """Numbers of the windows of texts, given by their ids on both sides; none for a text without ids.
+
+        Groups and links of the first ``known`` windows are there already.
+        """
         out = [np.zeros(0, np.int64)] * len(lists[0])
         good = [i for i, ids in enumerate(lists[0]) if ids]
         if not good:
@@ -240,7 +253,7 @@ class Aligner:
         keys[np.arange(len(a)) + np.repeat(start_b + nth, end_a - start_a)] = a
         keys[np.arange(len(b)) + np.repeat(end_a + nth + 1, end_b - start_b)] = b
         bounds, flat = (2 * (end_a + end_b + nth + 1)).tolist(), keys.tobytes()
-        known, number_of = len(self.numbers), self.numbers.__getitem__
+        number_of = self.numbers.__getitem__
         numbers = np.array([number_of(flat[s:e]) for s, e in zip([0, *bounds[:-1]], bounds, strict=True)], np.int64)
         if len(self.numbers) > known:
             first = np.unique(numbers, return_index=True)[1]

@@ -181,3 +181,13 @@ def test_summary_needs_little_beside_the_links():
     tracemalloc.stop()
     assert len(places) == n_links.sum() == counts.sum() > 400_000 and (pairs[1:] > pairs[:-1]).all()
     assert peak < 16 * len(places)
+
+
+def test_words_share_the_ids_of_their_windows():
+    """A word's ids are kept once: what is remembered of it is the key of its window."""
+    aligner = Aligner(A_PATH, B_PATH)
+    first = aligner.align(["one two three", "  two  x", "three two one"])
+    again = aligner.align(["three two one"])
+    assert {id(k) for k in aligner.encode.known} <= {id(k) for k in aligner.numbers}
+    assert (first[2][0] == first[0][0][::-1]).all() and (again[0][0] == first[2][0]).all() and again[0][1] == first[2][1]
+    assert len(aligner.texts) == len(aligner.numbers) == sum(aligner.learned)
